@@ -43,12 +43,25 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- layers
+# Clean tables written so far, by Spark application, session and source folder.
+# The first query that needs one writes it to the shared folder; later ones read
+# only the columns and months they ask for. Kept is the frame (with its file
+# list), so that no query lists the folders again.
+_CLEAN: dict[tuple, tuple[Lake, DataFrame]] = {}
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer, from the source rows."""
     return b.bronze(lineitem.trip_feed(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.silver(bronze(spark, sf_dir))
+    """The clean table of a source folder, written on first use."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _CLEAN or not _CLEAN[key][0].has(S.SILVER_TRIPS):
+        lake = Lake(spark, work_dir(spark, "lake"))
+        _CLEAN[key] = (lake, lake.write(S.SILVER_TRIPS, s.silver(bronze(spark, sf_dir))))
+    return _CLEAN[key][1]
 
 
 def yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +80,11 @@ def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.comparison(silver(spark, sf_dir))
 
 
-def over(layer: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
-    """A query that takes a layer through some steps."""
+def over(start: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query that takes its start through some steps."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = layer(spark, sf_dir)
+        df = start(spark, sf_dir)
         for step in steps:
             df = step(df)
         return plain(df)
@@ -123,8 +136,8 @@ def manifest_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers written, the monthly mart read back."""
-    lake = Lake(spark, work_dir(spark, "lake"))
-    return plain(lake.build(bronze(spark, sf_dir))[S.GOLD_MONTHLY])
+    fresh = Lake(spark, work_dir(spark, "lake"))
+    return plain(fresh.build(bronze(spark, sf_dir))[S.GOLD_MONTHLY])
 
 
 # --------------------------------------------------------------------- quality

@@ -2,6 +2,7 @@
 
 Integer arithmetic only, so that every engine derives the same trips. Each
 order line becomes one trip whose key is the digest of six of its columns.
+Times are UTC; the session's time zone should be too.
 """
 
 from __future__ import annotations
@@ -21,24 +22,22 @@ def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
 
 
-def _minutes(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), n.cast("int"))
-
-
 def _shape(lines: DataFrame) -> DataFrame:
     yellow = F.col("l_linestatus") == "O"
     started = (F.col("l_orderkey") * 37 + F.col("l_partkey") * 11) % MINUTES_PER_DAY
     lasted = (F.col("l_partkey") * 7 + F.col("l_linenumber")) % DURATION_SPAN - DURATION_SHIFT
+    # whole seconds: a filter on the times repeats this in the scan, so it has to be cheap
+    day = F.unix_timestamp("l_shipdate")
     price = hundredths("l_extendedprice")
-    total = F.floor(price / 100) - 2000
+    total = F.col("l_extendedprice").cast("bigint") - 2000
     weight = F.when(yellow, TIP_WEIGHT["yellow"]).otherwise(TIP_WEIGHT["green"])
     tip = F.floor(F.greatest(total, F.lit(0)) * hundredths("l_tax") * weight / 100)
     tolls = F.col("l_linenumber") % 3 * 100
     return lines.select(
         F.when(yellow, "yellow").otherwise("green").alias("taxi_type"),
         (F.col("l_suppkey") % 2 + 1).alias("VendorID"),
-        (F.col("l_shipdate") + _minutes(started)).alias("pickup_datetime"),
-        (F.col("l_shipdate") + _minutes(started + lasted)).alias("dropoff_datetime"),
+        F.timestamp_seconds(day + started * 60).alias("pickup_datetime"),
+        F.timestamp_seconds(day + (started + lasted) * 60).alias("dropoff_datetime"),
         (F.col("l_quantity").cast("int") % 8).cast("double").alias("passenger_count"),
         (F.col("l_partkey") % 300 / 10.0).alias("trip_distance"),
         units(total - tip - tolls).alias("fare_amount"),
@@ -54,19 +53,15 @@ def _shape(lines: DataFrame) -> DataFrame:
             "l_partkey",
             "l_suppkey",
             price,
-            F.date_format("l_shipdate", "yyyy-MM-dd"),
+            F.to_date("l_shipdate").cast("string"),
         ).alias("record_key"),
         F.col("l_orderkey").alias("order_key"),
     )
 
 
 def _source_file() -> Column:
-    return F.format_string(
-        "%s_tripdata_%04d-%02d.parquet",
-        F.col("taxi_type"),
-        F.col("source_year"),
-        F.col("source_month"),
-    )
+    period = F.concat_ws("-", "source_year", F.lpad(F.col("source_month").cast("string"), 2, "0"))
+    return F.concat("taxi_type", F.lit("_tripdata_"), period, F.lit(".parquet"))
 
 
 def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
