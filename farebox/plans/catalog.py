@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from farebox import schema as S
 from farebox.operators import aggregates, bronze as b, ml, quality, silver as s, windows
 from farebox.plans import gold, reports
-from farebox.session import work_dir
+from farebox.session import exists, work_dir
 from farebox.sources import files, layout, lineitem
 from farebox.sources.conform import conformance
 from farebox.sources.lake import Lake
@@ -43,11 +43,20 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- layers
-# Clean tables written so far, by Spark application, session and source folder.
-# The first query that needs one writes it to the shared folder; later ones read
-# only the columns and months they ask for. Kept is the frame (with its file
-# list), so that no query lists the folders again.
-_CLEAN: dict[tuple, tuple[Lake, DataFrame]] = {}
+# What was written so far, by Spark application, session, source folder and
+# label. The first query that needs a table writes it to the shared folder;
+# later ones read only the columns and months they ask for. A frame is kept with
+# its file list, so that no query lists the folders again.
+_WRITTEN: dict[tuple, tuple[str, object]] = {}
+
+
+def written_once(spark: SparkSession, sf_dir: str, label: str, write: Callable) -> object:
+    """What ``write(root)`` returned for this source folder; written again if it is gone."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), label)
+    if key not in _WRITTEN or not exists(spark, _WRITTEN[key][0]):
+        root = work_dir(spark, label)
+        _WRITTEN[key] = (root, write(root))
+    return _WRITTEN[key][1]
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,11 +66,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table of a source folder, written on first use."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    if key not in _CLEAN or not _CLEAN[key][0].has(S.SILVER_TRIPS):
-        lake = Lake(spark, work_dir(spark, "lake"))
-        _CLEAN[key] = (lake, lake.write(S.SILVER_TRIPS, s.silver(bronze(spark, sf_dir))))
-    return _CLEAN[key][1]
+
+    def write(root: str) -> DataFrame:
+        return Lake(spark, root).write(S.SILVER_TRIPS, s.silver(bronze(spark, sf_dir)))
+
+    return written_once(spark, sf_dir, "lake", write)
 
 
 def yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,14 +169,20 @@ def _content(df: DataFrame) -> DataFrame:
     return df.drop("silver_processed_at")
 
 
-def _three_versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+def versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    return written_once(
+        spark, sf_dir, "snapshots", lambda root: _three_versions(spark, sf_dir, root)
+    )
+
+
+def _three_versions(spark: SparkSession, sf_dir: str, root: str) -> SnapshotTable:
     """Valid trips; then one fleet's amounts raised by 1; then the quarantined rows added."""
     raw = bronze(spark, sf_dir)
-    valid, rest = _content(s.silver(raw)), _content(s.quarantine(raw))
+    valid, rest = _content(silver(spark, sf_dir)), _content(s.quarantine(raw))
     raised = valid.filter(F.col("taxi_type") == "yellow").withColumn(
         "total_amount", (aggregates.hundredths("total_amount") + 100) / 100.0
     )
-    table = SnapshotTable(spark, work_dir(spark, "snapshots"), "trip_id")
+    table = SnapshotTable(spark, root, "trip_id")
     table.create(valid, COMMITTED[0])
     table.upsert(raised, COMMITTED[1])
     table.upsert(rest, COMMITTED[2])
@@ -175,21 +190,21 @@ def _three_versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
 
 
 def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_three_versions(spark, sf_dir).as_of())
+    return plain(versions(spark, sf_dir).as_of())
 
 
 def snapshot_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_three_versions(spark, sf_dir).as_of(0))
+    return plain(versions(spark, sf_dir).as_of(0))
 
 
 def snapshot_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     between = datetime(2024, 1, 2, 12)
-    return plain(_three_versions(spark, sf_dir).as_of_time(between))
+    return plain(versions(spark, sf_dir).as_of_time(between))
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The versions with the rows each one wrote."""
-    table = _three_versions(spark, sf_dir)
+    table = versions(spark, sf_dir)
     written = spark.read.parquet(f"{table.root}/data").groupBy("version").agg(
         F.count("*").alias("rows_written")
     )
@@ -198,7 +213,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes folded in, then only the newest version kept."""
-    table = _three_versions(spark, sf_dir)
+    table = _three_versions(spark, sf_dir, work_dir(spark, "snapshots"))
     table.compact()
     return plain(table.retain(1, work_dir(spark, "retained")).as_of())
 

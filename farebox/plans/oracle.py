@@ -200,8 +200,8 @@ def _layers() -> dict[str, str]:
     )
     green = (
         ("VendorID", "bigint", "bigint", "ok"),
-        ("lpep_pickup_datetime", "timestamp", "timestamp_ntz", "type_drift"),
-        ("lpep_dropoff_datetime", "timestamp", "timestamp_ntz", "type_drift"),
+        ("lpep_pickup_datetime", "timestamp", "timestamp", "ok"),
+        ("lpep_dropoff_datetime", "timestamp", "timestamp", "ok"),
         ("passenger_count", "double", "double", "ok"),
         ("trip_distance", "double", "double", "ok"),
         ("RatecodeID", "double", None, "missing"),

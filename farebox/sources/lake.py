@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from farebox import schema as S
@@ -48,14 +47,6 @@ class Lake:
             df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
-    def has(self, name: str) -> bool:
-        """Whether the table was written: asks for one small file, lists no partitions."""
-        try:
-            self.spark.read.format("binaryFile").load(f"{self.path(name)}/_SUCCESS")
-        except AnalysisException:
-            return False
-        return True
-
     def load(self, bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> None:
         """Write the raw layer, and from its table the clean one."""
         raw = self.write(S.BRONZE_TRIPS, bronze)
