@@ -24,7 +24,8 @@ def running_totals(
     first collapse to one (so a crowded instant costs one row), then each
     calendar slice gets its own window and starts at the sum of the slices
     before it. Joining back is an equi-join with one row per key and time on
-    the small side, where AQE can split a crowded key.
+    the small side, where AQE can split a crowded key. A row without key or
+    time stays, with no total.
     """
     names = list(totals)
     part = "_slice"
@@ -51,7 +52,7 @@ def running_totals(
         .join(starts, [*keys, part])
         .select(*keys, order, *[(F.col(n) + F.col(f"_from_{n}")).alias(n) for n in names])
     )
-    return df.join(running, [*keys, order])
+    return df.join(running, [*keys, order], "left")
 
 
 def previous_value(
@@ -84,7 +85,7 @@ def previous_value(
         key, part, F.lag("_end").over(Window.partitionBy(key).orderBy(part)).alias("_carry")
     )
     return (
-        sliced.join(broadcast_if_small(carried), [key, part])
+        sliced.join(broadcast_if_small(carried), [key, part], "left")
         .withColumn(name, F.when(F.col(first), F.col("_carry")).otherwise(F.col(name)))
         .drop(part, first, last, "_carry")
     )
@@ -133,3 +134,8 @@ def peak_hour_per_day(trips: DataFrame) -> DataFrame:
         .select("pickup_date", "pickup_hour", "trips_in_hour")
         .orderBy("pickup_date", "pickup_hour")
     )
+
+
+def first_peak_hours(trips: DataFrame, rows: int = 10) -> DataFrame:
+    """The head of :func:`peak_hour_per_day`, earliest days first."""
+    return peak_hour_per_day(trips).limit(rows)

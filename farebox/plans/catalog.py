@@ -338,6 +338,7 @@ def queries() -> dict[str, Query]:
             windows.previous_trip_amount,
         ),
         "peak_hour_per_day": over(silver, windows.peak_hour_per_day),
+        "peak_hour_first_rows": over(silver, windows.first_peak_hours),
         # quality
         "validation_summary": over(yellow, reports.validation_summary),
         "file_quality": file_quality,

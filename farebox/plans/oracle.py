@@ -534,6 +534,11 @@ def _fleets() -> dict[str, str]:
 
 def _windows() -> dict[str, str]:
     frame = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    peaks = """SELECT CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, trips_in_hour
+        FROM (SELECT *, MAX(trips_in_hour) OVER (PARTITION BY pickup_date) AS most
+              FROM (SELECT pickup_date, pickup_hour, COUNT(*) AS trips_in_hour
+                    FROM clean GROUP BY pickup_date, pickup_hour))
+        WHERE trips_in_hour = most"""
     return {
         "running_hour_count": _trips(
             f"""SELECT trip_id, CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour,
@@ -551,13 +556,8 @@ def _windows() -> dict[str, str]:
               LAG(total_cents) OVER (PARTITION BY vendor_id ORDER BY pickup_ts, trip_id)
                 / 100.0::DOUBLE AS prev_trip_amount FROM clean"""
         ),
-        "peak_hour_per_day": _trips(
-            """SELECT CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, trips_in_hour
-            FROM (SELECT *, MAX(trips_in_hour) OVER (PARTITION BY pickup_date) AS most
-                  FROM (SELECT pickup_date, pickup_hour, COUNT(*) AS trips_in_hour
-                        FROM clean GROUP BY pickup_date, pickup_hour))
-            WHERE trips_in_hour = most"""
-        ),
+        "peak_hour_per_day": _trips(peaks),
+        "peak_hour_first_rows": _trips(peaks + " ORDER BY pickup_date, pickup_hour LIMIT 10"),
     }
 
 

@@ -134,6 +134,41 @@ def test_files_through_a_manifest(spark):
         files.read_manifest(spark, [files.SourceFile("fhv", 2023, 1, root)])
 
 
+def test_arriving_files_enter_once(spark):
+    from farebox.streaming.ingest import ingest_arrivals
+
+    landing, target, state = (work_dir(spark, x) for x in ("landing", "raw", "state"))
+
+    def land(month, rows):
+        start = f"2023-{month:02d}-03 10:00:00"
+        spark.createDataFrame([(1, start, start, 5.0)] * rows, "VendorID long, a string, b string, total_amount double").select(
+            "VendorID",
+            F.col("a").cast("timestamp").alias("lpep_pickup_datetime"),
+            F.col("b").cast("timestamp").alias("lpep_dropoff_datetime"),
+            "total_amount",
+        ).coalesce(1).write.parquet(f"{landing}/{files.file_key('green', 2023, month)}.parquet")
+
+    def months():
+        rows = spark.read.parquet(target).groupBy("taxi_type", "source_month").count().collect()
+        return {r["source_month"]: r["count"] for r in rows}
+
+    land(1, 3)
+    ingest_arrivals(spark, "green", landing, target, state)
+    assert months() == {1: 3}
+    land(2, 4)
+    ingest_arrivals(spark, "green", landing, target, state)
+    ingest_arrivals(spark, "green", landing, target, state)
+    assert months() == {1: 3, 2: 4}
+    assert spark.read.parquet(target).select("trip_id").distinct().count() == 7
+
+
+def test_rows_per_partition(spark):
+    from farebox.operators.aggregates import rows_per_partition
+
+    sizes = {r[0]: r[1] for r in rows_per_partition(spark.range(0, 100, 1, 4)).collect()}
+    assert sizes == {0: 25, 1: 25, 2: 25, 3: 25}
+
+
 def test_lake_reloads_a_month_without_touching_others(spark, small):
     raw = catalog.bronze(spark, small)
     lake = Lake(spark, work_dir(spark, "lake"))
