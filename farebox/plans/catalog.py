@@ -50,10 +50,13 @@ def plain(df: DataFrame) -> DataFrame:
 _WRITTEN: dict[tuple, tuple[str, object]] = {}
 
 
-def written_once(spark: SparkSession, sf_dir: str, label: str, write: Callable) -> object:
-    """What ``write(root)`` returned for this source folder; written again if it is gone."""
+def written_once(spark: SparkSession, sf_dir: str, label: str, proof: str, write: Callable) -> object:
+    """What ``write(root)`` returned for this source folder.
+
+    Written again if the file ``proof`` below the root is gone.
+    """
     key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), label)
-    if key not in _WRITTEN or not exists(spark, _WRITTEN[key][0]):
+    if key not in _WRITTEN or not exists(spark, f"{_WRITTEN[key][0]}/{proof}"):
         root = work_dir(spark, label)
         _WRITTEN[key] = (root, write(root))
     return _WRITTEN[key][1]
@@ -70,7 +73,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(root: str) -> DataFrame:
         return Lake(spark, root).write(S.SILVER_TRIPS, s.silver(bronze(spark, sf_dir)))
 
-    return written_once(spark, sf_dir, "lake", write)
+    return written_once(spark, sf_dir, "lake", f"silver/{S.SILVER_TRIPS}/_SUCCESS", write)
 
 
 def yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +174,11 @@ def _content(df: DataFrame) -> DataFrame:
 
 def versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
     return written_once(
-        spark, sf_dir, "snapshots", lambda root: _three_versions(spark, sf_dir, root)
+        spark,
+        sf_dir,
+        "snapshots",
+        "commits/_SUCCESS",
+        lambda root: _three_versions(spark, sf_dir, root),
     )
 
 

@@ -58,7 +58,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there."""
+    """Whether a file is there."""
     try:
         spark.read.format("binaryFile").load(path)
     except AnalysisException:
