@@ -77,9 +77,13 @@ def bronze(feed: DataFrame, fleet_code: str | None = None) -> DataFrame:
 
     Give ``fleet_code`` for a feed of one fleet in that fleet's own shape; a
     feed that already carries ``taxi_type`` and canonical names needs none.
+    A feed without one of the mandatory columns is refused.
     """
     if fleet_code is not None:
         feed = standardise(feed, fleet_code)
+    absent = [c for c in S.MANDATORY if c not in feed.columns]
+    if absent:
+        raise ValueError(f"mandatory columns missing: {', '.join(absent)}")
     return with_derived(with_provenance(feed, fleet_code).filter(is_valid()))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from farebox import functions as fn
 from farebox.operators import aggregates as agg
+from farebox.session import local_table
 
 # Report texts.
 Q1_TITLE = "PERGUNTA 1: Média de valor total por mês"
@@ -498,9 +499,10 @@ def service_quality(comparison: DataFrame) -> DataFrame:
 
 def strategy_table(spark: SparkSession) -> DataFrame:
     """The positioning of each fleet, with the display name reduced to its code."""
-    names = ["display_name", "primary_market", "positioning", "target_customer", "recommendation"]
+    names = ("display_name", "primary_market", "positioning", "target_customer", "recommendation")
     code = F.lower(F.substring_index("display_name", " ", 1))
-    return spark.createDataFrame(STRATEGIES, names).withColumn("taxi_type", code)
+    texts = local_table(spark, {n: list(column) for n, column in zip(names, zip(*STRATEGIES))})
+    return texts.withColumn("taxi_type", code)
 
 
 def strategy_segments(comparison: DataFrame) -> DataFrame:

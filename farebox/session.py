@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
@@ -66,6 +67,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A short literal table as a local relation.
+
+    Spark knows its exact size, so it broadcasts it in a join if, and only if,
+    it is below the session's threshold.
+    """
+    return spark.createDataFrame(pa.table(columns))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

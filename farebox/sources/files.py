@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox import schema as S
 from farebox.functions import file_record_key
+from farebox.session import local_table
 from farebox.sources.conform import conform
 
 # Fixed value: the naming pattern of a monthly file (or folder of part files).
@@ -48,8 +49,8 @@ def read_manifest(spark: SparkSession, files: Iterable[SourceFile]) -> dict[str,
 
     Year and month come from the manifest through a join on the file key found
     in the path, so the plan has one scan per fleet however many months there
-    are. The manifest is a local relation whose size Spark knows, so Spark
-    itself decides whether to broadcast it.
+    are. The manifest is a local relation of known size, so Spark itself decides
+    whether to broadcast it.
     """
     by_fleet: dict[str, list[SourceFile]] = {}
     for f in files:
@@ -57,10 +58,14 @@ def read_manifest(spark: SparkSession, files: Iterable[SourceFile]) -> dict[str,
         by_fleet.setdefault(f.fleet, []).append(f)
     feeds = {}
     for code, entries in by_fleet.items():
-        months = spark.createDataFrame(
-            [(f.key, f.year, f.month) for f in entries],
-            "file_key string, source_year int, source_month int",
-        )
+        months = local_table(
+            spark,
+            {
+                "file_key": [f.key for f in entries],
+                "source_year": [f.year for f in entries],
+                "source_month": [f.month for f in entries],
+            },
+        ).withColumns({c: F.col(c).cast("int") for c in ("source_year", "source_month")})
         schema = S.raw_schema(code)
         scan = (
             spark.read.schema(schema)

@@ -28,6 +28,11 @@ def test_no_python_and_no_cartesian_product(spark, small, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_literal_side_is_broadcast_by_its_known_size(spark, small):
+    text = plan(catalog.queries()["strategy_segments"](spark, small))
+    assert "BroadcastHashJoin" in text and "LocalTableScan" in text
+
+
 def test_may_report_prunes_folders_and_columns(spark, small):
     text = plan(catalog.queries()["q2_from_silver"](spark, small))
     assert re.search(r"PartitionFilters: \[isnotnull\(source_month\S+, \(source_month\S+ = 5\)", text)

@@ -127,6 +127,11 @@ def test_unknown_fleet_is_refused(spark):
         b.standardise(frame(spark, trip("a")), "fhv")
 
 
+def test_mandatory_columns(spark):
+    with pytest.raises(ValueError, match="passenger_count"):
+        b.bronze(frame(spark, trip("a")).drop("passenger_count"))
+
+
 def test_union_fills_columns_of_one_fleet_only(spark):
     yellow = frame(spark, trip("a")).drop("taxi_type").withColumnsRenamed(
         {"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}
