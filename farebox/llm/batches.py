@@ -113,7 +113,11 @@ class Words:
         self.first = np.searchsorted(self.start, self.offset)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
         if hashes:
-            self.hash = range_hash(byte_prefix(self.buf), self.start, self.end)
+            self.prefix = byte_prefix(self.buf)
+            self.hash = range_hash(self.prefix, self.start, self.end)
+
+    def bytes_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return range_hash(self.prefix, start, end)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of each run of ``k`` words that stays in its text."""

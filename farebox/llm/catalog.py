@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe
+from farebox.llm import bpe, quality
 from farebox.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; the trees are fitted on a bounded labelled sample."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, trees).drop("text")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
     path = tokenizer_path()
@@ -34,6 +41,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
     }
 
