@@ -18,8 +18,8 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` bytes each; a longer text is a range of its own."""
+def chunks(texts: list, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes or characters each; a longer text is a range of its own."""
     start, held = 0, 0
     for i, text in enumerate(texts):
         if i > start and held + len(text) > size:

@@ -30,7 +30,7 @@ LETTER, NUMBER = r"\p{L}", r"\p{N}"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{LN}]+|\s+(?!\S)|\s+"
 # fixed values: white space other than the space and the line feed
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 @lru_cache(maxsize=1)
@@ -229,7 +229,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text, packed as little-endian 32-bit integers."""
         parts = [self._parts(t) for t in texts]
-        if len(self.pieces) > CACHED_WORDS:
+        if len(self.words) > CACHED_WORDS:  # only what is looked up goes; the ids stay the same
             self.pieces, self.words = {}, {}
         pieces: set[str] = set()
         words: set[str] = set()
@@ -262,8 +262,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
         def run(column: pa.Array) -> list[pa.Array]:
             texts = [x or "" for x in column.to_pylist()]
-            sizes = [t.encode() for t in texts]
-            ids = [x for lo, hi in chunks(sizes, 16 << 20) for x in encoder.encode(texts[lo:hi])]
+            ids = [x for lo, hi in chunks(texts) for x in encoder.encode(texts[lo:hi])]
             return [pa.array(ids, pa.binary())]
 
         return run

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe, quality
+from farebox.llm import bpe, licenses, quality, sql, urls
 from farebox.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every document, exact phrases and near templates."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL; the universe is every host of the pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, urls.host_list(pages)).drop("url")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the trees are fitted on a bounded labelled sample."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,10 +52,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_licenses": op4_licenses,
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
+        "op10_urls": op10_urls,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_licenses": sql.LICENSES,
+        "op10_urls": sql.URLS,
+    }

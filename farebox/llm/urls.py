@@ -71,11 +71,92 @@ class Level:
         data = F.lit(bytearray(self.bits))
         out = F.lit(True)
         for p in self.places(key):
-            byte = F.conv(F.hex(F.substring(data, (p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-            bit = F.bitwise_and(byte, F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (p % 8 + 1).cast("int"))) if False else (byte.cast("bigint").bitwiseAND(F.expr("1")))
-            out = out & (bit > 0)
+            byte = F.conv(F.hex(F.substring(data, (F.shiftright(p, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+            out = out & (F.getbit(byte.cast("int"), (p % 8).cast("int")) == 1)
         return out
 
 
 def _place(key: Column, seed: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits))
+
+
+def bloom_level(keys: DataFrame, key: str, n: int, seed: int, bits_per_key: int = 12, hashes: int = 6) -> Level:
+    """A filter of ``n`` keys; its bitmaps are one row per 32768 bits."""
+    bits = max(64, 1 << (n * bits_per_key - 1).bit_length())
+    places = F.explode(F.array(*(_place(F.col(key), seed + i, bits) for i in range(hashes)))).alias("p")
+    rows = (
+        keys.select(places)
+        .groupBy(F.bitmap_bucket_number(F.col("p") + 1).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bitmap"))
+        .collect()  # at most MAX_BITS / 8 bytes
+    )
+    data = bytearray(max(bits, BUCKET_BITS) // 8)
+    for r in rows:
+        at = (r["bucket"] - 1) * BUCKET_BITS // 8
+        data[at : at + len(r["bitmap"])] = r["bitmap"]
+    return Level(bytes(data[: bits // 8]), hashes, seed)
+
+
+@dataclass(frozen=True)
+class Cascade:
+    """Exact membership for the keys of the universe it was built over."""
+
+    levels: tuple[Level, ...]
+
+    def contains(self, key: Column) -> Column:
+        out = F.lit(len(self.levels) % 2 == 1)
+        for i, level in reversed([*enumerate(self.levels)]):
+            out = F.when(~level.holds(key), i % 2 == 1).otherwise(out)
+        return F.coalesce(out, F.lit(False))
+
+
+def cascade(universe: DataFrame, key: str, listed: str, max_bits: int = MAX_BITS, **sizes: int) -> Cascade | None:
+    """Filters for the rows of ``universe`` marked by ``listed``; keys must be distinct and not null.
+
+    The driver holds the filters only, not the keys. None if a filter would
+    need more than ``max_bits``: such a list is no longer small against the
+    data, and the caller joins it instead.
+    """
+    inside, outside = universe.filter(listed), universe.filter(f"NOT {listed}")
+    levels: list[Level] = []
+    while n := inside.count():
+        if n * sizes.get("bits_per_key", 12) > max_bits:
+            return None
+        levels.append(bloom_level(inside, key, n, seed=1000 * len(levels), **sizes))
+        passed = outside.filter(levels[-1].holds(F.col(key)))
+        inside, outside = passed, inside
+    return Cascade(tuple(levels))
+
+
+def host_list(pages: DataFrame, url: str = "url", pattern: str = LISTED_NAME) -> DataFrame:
+    """Every host of the pages once, and whether its name puts it on the list."""
+    hosts = pages.select(host(F.col(url)).alias("key")).filter("key <> ''").distinct()
+    return hosts.withColumn("listed", F.col("key").rlike(pattern))
+
+
+def judge_urls(
+    pages: DataFrame, universe: DataFrame, url: str = "url", rules: tuple = RULES, **sizes: int
+) -> DataFrame:
+    """``pages`` with host, path, rule, verdict and ``listed``.
+
+    A rule decides where one fits; elsewhere hosts listed in ``universe`` (key,
+    listed: the complete key universe) are blocked and all others allowed. A
+    null or malformed URL has an empty host and path, fits no rule and is
+    allowed. Rows are kept as they are; columns of the new names are replaced.
+    """
+    kept = stored(universe.select("key", "listed"), "url-keys")
+    filters = cascade(kept, "key", "listed", **sizes)
+    source = pages.select(F.struct(*pages.columns).alias("row"), F.col(url).alias("u"))
+    parts = source.select("row", host(F.col("u")).alias("h"), path(F.col("u")).alias("p"))
+    if filters is None:
+        names = kept.filter("listed").select("key", "listed")
+        parts = parts.join(names, F.col("h") == F.col("key"), "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    else:
+        parts = parts.withColumn("listed", filters.contains(F.col("h")))
+    rule, verdict = ruled(F.col("h"), F.col("p"), rules)
+    new = ("host", "path", "rule", "verdict", "listed")
+    return parts.select(
+        *(F.col("row").getField(c).alias(c) for c in pages.columns if c not in new),
+        F.col("h").alias("host"), F.col("p").alias("path"), rule.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed",
+    )
