@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe, licenses, quality, sql, urls
+from farebox.llm import bpe, licenses, quality, sql, substrings, suffixes, urls, warc
 from farebox.llm.frames import table
+from farebox.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +20,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that occur elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeated(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named in every document, exact phrases and near templates."""
     return licenses.license_scan(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -30,6 +39,23 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, urls.host_list(pages)).drop("url")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and assembled."""
+    path = work_dir(spark, "warc")
+    warc.write_archives(warc.captures(table(spark, sf_dir, "pages")), path)
+    # of the contents only the short metadata is asked for
+    found = warc.read_archives(spark, path, payload=False)
+    return warc.page_table(warc.assemble(found))
+
+
+def op6_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows of 50 that an earlier document has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", substrings.digest(F.col("kept_text")).alias("kept_sha256")
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the trees are fitted on a bounded labelled sample."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,7 +78,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_suffixes": op3_suffixes,
         "op4_licenses": op4_licenses,
+        "op5_warc": op5_warc,
+        "op6_blocks": op6_blocks,
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
         "op10_urls": op10_urls,
@@ -62,5 +91,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_licenses": sql.LICENSES,
+        "op5_warc": sql.WARC,
         "op10_urls": sql.URLS,
     }

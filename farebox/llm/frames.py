@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from farebox.session import work_dir
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def mapped(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = df.sparkSession.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(run, schema)
+
 
 def with_columns(df: DataFrame, source: str, added: dict[str, str], start: Callable) -> DataFrame:
     """``df`` with columns computed in Arrow batches from one of its columns.
@@ -30,14 +43,23 @@ def with_columns(df: DataFrame, source: str, added: dict[str, str], start: Calla
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names] + compute(column)
             yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow, strict=True)], names=arrow.names)
 
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: lineage ends there, executors may be lost."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back: lineage ends there, executors may be lost.
+
+    The shuffle files of the write are of no more use and go when it is done.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +71,3 @@ def hidden(name: str, df: DataFrame) -> str:
     while name in df.columns:
         name += "_"
     return name
-
-
-def sha256_of(column: str) -> F.Column:
-    return F.sha2(column, 256)

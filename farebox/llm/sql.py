@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import licenses, urls
+from farebox.llm import licenses, urls, warc
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,3 +73,18 @@ SELECT d.doc_id, len(any_value(d.w))::BIGINT AS n_words, count(e.start_word)::BI
   coalesce(max(e.score), 0.0)::DOUBLE AS score
 FROM docs d LEFT JOIN every e USING (r) GROUP BY d.r, d.doc_id
 """
+
+
+WARC = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), o AS (
+  SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= {warc.LEAST_REVISIT} GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN original IS DISTINCT FROM page_id AND o.payload_digest IS NOT NULL AND payload_bytes >= {warc.LEAST_REVISIT}
+    THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original IS DISTINCT FROM page_id AND payload_bytes >= {warc.LEAST_REVISIT} THEN original END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest)
+"""

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from farebox.llm.frames import mapped
+
 ARCHIVE_BYTES = 8 << 20
 LEAST_REVISIT = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -114,8 +116,6 @@ def write_archives(found: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     total = found.agg(F.sum(F.col("n_bytes") + 1500)).first()[0] or 0
     n = max(1, -(-int(total) // archive_bytes))
     dealt = found.repartition(n, "record")
-    per_record = F.explode(records(dealt)["records"]) if False else None
-    del per_record
     rows = records(dealt).select(F.explode("records").alias("value"))
     rows.write.option("lineSep", END).option("compression", "gzip").text(path)
 
@@ -160,7 +160,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
                     columns = zip(*rows[start : start + 1000], strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return files.mapInArrow(run, RECORD_SCHEMA)
+    return mapped(files, run, RECORD_SCHEMA)
 
 
 def _row(fields: dict[str, str], content: bytes, payload: bool) -> tuple:
