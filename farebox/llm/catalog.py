@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe, licenses, quality, sql, substrings, suffixes, urls, warc
+from farebox.llm import bpe, contamination, licenses, quality, sql, substrings, suffixes, urls, warc
 from farebox.llm.frames import table
 from farebox.session import work_dir
 
@@ -33,6 +33,16 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL; the universe is every host of the pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -84,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op6_blocks": op6_blocks,
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
+        "op9_contamination": op9_contamination,
         "op10_urls": op10_urls,
     }
 
@@ -92,5 +103,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_licenses": sql.LICENSES,
         "op5_warc": sql.WARC,
+        "op9_contamination": sql.CONTAMINATION,
         "op10_urls": sql.URLS,
     }

@@ -88,3 +88,29 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN original IS DISTINCT FROM page_id AND payload_bytes >= {warc.LEAST_REVISIT} THEN original END AS refers_to
 FROM p LEFT JOIN o USING (payload_digest)
 """
+
+
+CONTAMINATION = f"""
+WITH items AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {_word_list('text')} AS w FROM benchmark
+), spans AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM items, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_word_list('text')} AS w FROM documents
+), sizes AS (
+  SELECT DISTINCT n FROM spans
+), places AS (
+  SELECT r, n, i AS start, array_to_string(w[i : i + n - 1], ' ') AS phrase
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS u(i)
+), found AS (
+  SELECT DISTINCT p.r, p.n, p.start, s.item FROM places p JOIN spans s ON p.n = s.n AND p.phrase = s.phrase
+), hit AS (
+  SELECT r, count(DISTINCT start + j) AS n_hit FROM found, unnest(range(0, n)) AS u(j) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
