@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe, contamination, licenses, quality, sql, substrings, suffixes, urls, warc
+from farebox.llm import bpe, contamination, licenses, lines, quality, sql, substrings, suffixes, urls, warc
 from farebox.llm.frames import table
 from farebox.session import work_dir
 
@@ -20,6 +20,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that occur elsewhere."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,6 +96,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_lines": op1_lines,
         "op3_suffixes": op3_suffixes,
         "op4_licenses": op4_licenses,
         "op5_warc": op5_warc,
@@ -101,6 +110,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_lines": sql.LINES,
         "op4_licenses": sql.LICENSES,
         "op5_warc": sql.WARC,
         "op9_contamination": sql.CONTAMINATION,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import licenses, urls, warc
+from farebox.llm import licenses, lines, urls, warc
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -114,3 +114,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+
+_SPLIT = r"[ \t\x0B\f\r]+"
+
+LINES = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
+), raw AS (
+  SELECT r, doc_id, i - 1 AS pos, list_filter(string_split_regex(l[i], '{_SPLIT}'), lambda x: x <> '') AS parts,
+    CASE WHEN i < len(l) THEN array_to_string(string_split(l[i + 1], ' ')[1:2], ' ') END AS context
+  FROM docs, unnest(range(1, len(l) + 1)) AS u(i)
+), lines AS (
+  SELECT r, doc_id, pos, context, n, list_transform(parts, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.FIELD}' ELSE x END) AS tokens
+  FROM (SELECT *, len(parts) AS n FROM raw) WHERE n > 0
+), leaf_lines AS (
+  SELECT *, array_to_string(tokens[1:{lines.DEPTH}], ' ') AS head, tokens[{lines.DEPTH + 1}:] AS rest FROM lines
+), leaves AS (
+  SELECT n, head FROM leaf_lines GROUP BY ALL HAVING count(DISTINCT r) >= {lines.MIN_DOCS}
+), taken AS (
+  SELECT * FROM leaf_lines SEMI JOIN leaves USING (n, head)
+), sizes AS (
+  SELECT n, head, count(*) AS members FROM taken GROUP BY ALL
+), counted AS (
+  SELECT n, head, i, rest[i] AS token, count(*) AS c FROM taken, unnest(range(1, len(rest) + 1)) AS u(i) GROUP BY ALL
+), top AS (
+  SELECT n, head, i, max({{'c': c, 'token': token}}) AS t FROM counted GROUP BY ALL
+), template AS (
+  SELECT n, head, list(CASE WHEN t.c >= {lines.CONSTANT} * members THEN t.token ELSE '{lines.FIELD}' END ORDER BY i) AS template
+  FROM top JOIN sizes USING (n, head) GROUP BY ALL
+), rated AS (
+  SELECT t.*, len(list_filter(coalesce(template, []), lambda x: x <> '{lines.FIELD}')) AS constants,
+    len(list_filter(range(1, len(rest) + 1), lambda i: rest[i] = template[i] AND template[i] <> '{lines.FIELD}')) AS same
+  FROM taken t LEFT JOIN template USING (n, head)
+), members AS (
+  SELECT * FROM rated WHERE same >= {lines.AGREE} * constants AND 2 * ({lines.DEPTH} + constants) >= n
+), chosen AS (
+  SELECT n, head, min({{'d': doc_id, 'r': r, 'pos': pos}}) AS first FROM members GROUP BY ALL
+  HAVING count(DISTINCT r) >= {lines.MIN_DOCS} AND count(DISTINCT coalesce(context, chr(0))) >= {lines.MIN_CONTEXTS}
+), gone AS (
+  SELECT r, list(pos) AS gone FROM members JOIN chosen USING (n, head) WHERE NOT (r = first.r AND pos = first.pos) GROUP BY r
+)
+SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
+  sha256(coalesce(array_to_string(
+    list_transform(list_filter(range(1, len(l) + 1), lambda i: gone IS NULL OR NOT list_contains(gone, i - 1)), lambda i: l[i]), chr(10)), '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (r)
+"""
