@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe, contamination, licenses, lines, quality, sql, substrings, suffixes, urls, warc
+from farebox.llm import bpe, contamination, jaccard, licenses, lines, quality, sql, substrings, suffixes, urls, warc
 from farebox.llm.frames import table
 from farebox.session import work_dir
 
@@ -28,6 +28,11 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard.classes_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that occur elsewhere."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +102,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_lines": op1_lines,
+        "op2_jaccard": op2_jaccard,
         "op3_suffixes": op3_suffixes,
         "op4_licenses": op4_licenses,
         "op5_warc": op5_warc,
