@@ -12,6 +12,10 @@ from farebox.llm.frames import stored, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", stages.quality_rules),
+    ("line_dedup", stages.line_dedup),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
     ("bpe_encoding", stages.bpe_encoding),
 ]
 

@@ -1,19 +1,59 @@
-"""The corpus operators as stages of the pipeline: ``(spark, docs, sf_dir) -> DataFrame``."""
+"""The corpus operators as stages of the pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
+
+Every stage but the last returns the columns of its input and takes effect on
+all of it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import bpe
+from farebox.llm import bpe, contamination, jaccard, lines, quality
 from farebox.llm.catalog import tokenizer_path
+from farebox.llm.frames import table
+
+
+def _with_text(docs: DataFrame, changed: DataFrame, kept: str) -> DataFrame:
+    """The columns of ``docs`` with the text in ``kept``; ``n_chars`` follows it."""
+    new = {"text": F.col(kept)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(
+            F.col(kept).eqNullSafe(F.col("text")), F.col("n_chars")
+        ).otherwise(F.char_length(kept).cast(docs.schema["n_chars"].dataType))
+    return changed.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the trees reject go."""
+    trees = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, trees)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go, but for the first; so do documents of which no word is left."""
+    changed = lines.drop_recurring_lines(docs)
+    left = changed.filter("n_dropped = 0 OR kept_text RLIKE '[^ \\\\t\\\\n\\\\r\\\\f\\\\x0B]'")
+    return _with_text(docs, left, "kept_text")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    found = contamination.contamination(
+        docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), table(spark, sf_dir, "benchmark")
+    )
+    return found.filter("NOT contaminated").select("row.*")
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids; the ids decode to the text again."""
+    """Every document with its token ids, which decode to the text again."""
     path = tokenizer_path()
-    ids = bpe.encode(docs, path)
-    both = bpe.decode(ids, path, out="decoded")
-    return both.select(
+    ids = bpe.decode(bpe.encode(docs, path), path)
+    return ids.select(
         *docs.columns,
         "ids",
         F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
