@@ -28,19 +28,24 @@ def tokens(line: Column) -> Column:
 
 
 def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFrame:
-    """(d, h, pos, line, leaf, context): the lines with a token; the context is the start of the next line."""
+    """(d, h, pos, line, leaf, before, after): the lines with a token, and the starts of their neighbours."""
     docs = df.select(F.col(key).alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.split(F.col(text), "\n").alias("l"))
     split = r"[ \t\x0B\f\r]+"
-    pairs = docs.select("d", "h", F.posexplode(F.arrays_zip(F.col("l").alias("a"), F.expr("slice(l, 2, size(l))").alias("b"))).alias("pos", "ab"))
+    pairs = docs.select("d", "h", F.posexplode(F.arrays_zip(
+        F.col("l").alias("a"), F.expr("slice(l, 2, size(l))").alias("b"), F.expr("concat(array(CAST(NULL AS STRING)), slice(l, 1, size(l) - 1))").alias("c"),
+    )).alias("pos", "ab"))
 
     def leaf(line: Column) -> Column:
         parts = F.array_remove(F.split(line, split), "")
         head = F.regexp_replace(F.array_join(F.slice(parts, 1, depth), " "), r"[^ ]*[0-9][^ ]*", FIELD)
         return F.when(F.size(parts) > 0, F.xxhash64(F.size(parts), head))
 
+    def start(line: Column) -> Column:
+        return F.when(line.isNotNull(), F.xxhash64(F.substring_index(line, " ", 2)))
+
     out = pairs.select(
         "d", "h", "pos", F.col("ab.a").alias("line"), leaf(F.col("ab.a")).alias("leaf"),
-        F.coalesce(F.xxhash64(F.substring_index(F.col("ab.b"), " ", 2)), F.lit(0)).alias("context"),
+        start(F.col("ab.c")).alias("before"), start(F.col("ab.b")).alias("after"),
     )
     return out.filter("leaf IS NOT NULL")
 
@@ -91,12 +96,14 @@ def dropped_lines(
     taken = stored(
         lines.join(leaves, "leaf").withColumn("tokens", tokens(F.col("line"))).drop("line"), "leaf-lines"
     )
-    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "leaf", "context"), "template-lines")
+    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "leaf", "before", "after"), "template-lines")
     by_doc = members.groupBy("leaf", "d", "h").agg(F.min("pos").alias("pos"))
     spread = by_doc.groupBy("leaf").agg(
         F.count("*").alias("docs"), F.min(F.struct("d", "h", "pos")).alias("first")
     ).filter(F.col("docs") >= min_docs)
-    around = members.groupBy("leaf", "context").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("contexts"))
+    sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("start")) for c in ("before", "after")))).alias("context")
+    each = members.select("leaf", sides).groupBy("leaf", "context").agg(F.lit(1).alias("one"))
+    around = each.groupBy("leaf", "context.side").agg(F.count("*").alias("n")).groupBy("leaf").agg(F.max("n").alias("contexts"))
     chosen = spread.join(around.filter(F.col("contexts") >= min_contexts), "leaf").select("leaf", "first")
     out = members.join(chosen, "leaf")
     if keep_first:
@@ -112,8 +119,8 @@ def drop_recurring_lines(
 
     Lines are cut at line feeds; lines without a token are never dropped. A
     template is dropped if its lines stand in ``min_docs`` documents or more and
-    before ``min_contexts`` different continuations or more (copies of one
-    document share theirs); with ``keep_first`` the line with the smallest key,
+    next to ``min_contexts`` different lines or more, on either side (copies of
+    one document share theirs); with ``keep_first`` the line with the smallest key,
     hash of its text and place stays. A null text has no lines and stays null;
     an empty one has one. Rows that repeat a key and text are one document and
     lose the same lines. Columns of the new names are replaced.

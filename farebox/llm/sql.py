@@ -123,10 +123,11 @@ WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
 ), raw AS (
   SELECT r, doc_id, i - 1 AS pos, list_filter(string_split_regex(l[i], '{_SPLIT}'), lambda x: x <> '') AS parts,
-    CASE WHEN i < len(l) THEN array_to_string(string_split(l[i + 1], ' ')[1:2], ' ') END AS context
+    CASE WHEN i < len(l) THEN array_to_string(string_split(l[i + 1], ' ')[1:2], ' ') END AS after,
+    CASE WHEN i > 1 THEN array_to_string(string_split(l[i - 1], ' ')[1:2], ' ') END AS before
   FROM docs, unnest(range(1, len(l) + 1)) AS u(i)
 ), lines AS (
-  SELECT r, doc_id, pos, context, n, list_transform(parts, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.FIELD}' ELSE x END) AS tokens
+  SELECT r, doc_id, pos, before, after, n, list_transform(parts, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.FIELD}' ELSE x END) AS tokens
   FROM (SELECT *, len(parts) AS n FROM raw) WHERE n > 0
 ), leaf_lines AS (
   SELECT *, array_to_string(tokens[1:{lines.DEPTH}], ' ') AS head, tokens[{lines.DEPTH + 1}:] AS rest FROM lines
@@ -151,7 +152,7 @@ WITH docs AS (
   SELECT * FROM rated WHERE same >= {lines.AGREE} * constants AND 2 * ({lines.DEPTH} + constants) >= n
 ), chosen AS (
   SELECT n, head, min({{'d': doc_id, 'r': r, 'pos': pos}}) AS first FROM members GROUP BY ALL
-  HAVING count(DISTINCT r) >= {lines.MIN_DOCS} AND count(DISTINCT coalesce(context, chr(0))) >= {lines.MIN_CONTEXTS}
+  HAVING count(DISTINCT r) >= {lines.MIN_DOCS} AND greatest(count(DISTINCT coalesce(before, chr(0))), count(DISTINCT coalesce(after, chr(0)))) >= {lines.MIN_CONTEXTS}
 ), gone AS (
   SELECT r, list(pos) AS gone FROM members JOIN chosen USING (n, head) WHERE NOT (r = first.r AND pos = first.pos) GROUP BY r
 )
