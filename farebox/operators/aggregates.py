@@ -69,6 +69,13 @@ def discrete_median(df: DataFrame, keys: list[str], value: str, name: str) -> Da
     )
 
 
+def hours_and_days(trips: DataFrame) -> DataFrame:
+    """Trips and revenue per hour and day."""
+    return trips.groupBy("pickup_hour", "pickup_date").agg(
+        F.count("*").alias("total_trips"), units(F.sum(hundredths("total_amount"))).alias("total_revenue")
+    )
+
+
 def rows_per_layout_key(df: DataFrame, *keys: str, rsd: float = 0.05) -> DataFrame:
     """How rows, vendors (approximately) and revenue spread over a layout key."""
     return df.groupBy(*keys).agg(

@@ -33,6 +33,10 @@ def quality_rules(t: S.Thresholds = S.Thresholds()) -> dict[str, Column]:
     return {name: F.coalesce(rule, F.lit(False)) for name, rule in known.items()}
 
 
+# What a raw row must have.
+NEEDED = ("VendorID", "pickup_datetime", "dropoff_datetime", "total_amount")
+
+
 def with_provenance(df: DataFrame, fleet_code: str | None = None) -> DataFrame:
     """Add where and when a row came from, and the share of rules it keeps."""
     rules = list(quality_rules().values())
@@ -49,13 +53,21 @@ def with_provenance(df: DataFrame, fleet_code: str | None = None) -> DataFrame:
 
 def is_valid() -> Column:
     """Whether a raw row enters the raw layer; NULL where a needed time is missing."""
-    return (
-        F.col("VendorID").isNotNull()
-        & F.col("pickup_datetime").isNotNull()
-        & F.col("dropoff_datetime").isNotNull()
-        & F.col("total_amount").isNotNull()
-        & (F.col("pickup_datetime") <= F.col("dropoff_datetime"))
-    )
+    present = reduce(lambda a, c: a & F.col(c).isNotNull(), NEEDED, F.lit(True))
+    return present & (F.col("pickup_datetime") <= F.col("dropoff_datetime"))
+
+
+def refusal() -> Column:
+    """Why a raw row does not enter the raw layer; NULL if it does."""
+    missing = [F.when(F.col(c).isNull(), f"missing_{c}") for c in NEEDED]
+    return F.coalesce(*missing, F.when(F.col("pickup_datetime") > F.col("dropoff_datetime"), "dropoff_before_pickup"))
+
+
+def refused(feed: DataFrame, fleet_code: str | None = None) -> DataFrame:
+    """The rows that :func:`bronze` leaves out, as they came, with the reason."""
+    if fleet_code is not None:
+        feed = standardise(feed, fleet_code)
+    return feed.withColumn("refusal", refusal()).filter("refusal IS NOT NULL")
 
 
 def with_derived(df: DataFrame) -> DataFrame:

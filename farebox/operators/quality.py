@@ -65,14 +65,14 @@ def bronze_stats(bronze: DataFrame) -> DataFrame:
     ).select(F.lit("Bronze").alias("layer"), "*")
 
 
-def silver_stats(flagged: DataFrame) -> DataFrame:
-    return flagged.agg(
+def silver_stats(trips: DataFrame, layer: str = "Silver") -> DataFrame:
+    return trips.agg(
         F.count("*").alias("total_records"),
         F.countDistinct("quality_flag").alias("quality_flags"),
         F.sum(F.when(F.col("quality_flag") == silver_ops.VALID, 1).otherwise(0)).alias(
             "valid_records"
         ),
-    ).select(F.lit("Silver").alias("layer"), "*")
+    ).select(F.lit(layer).alias("layer"), "*")
 
 
 def gold_stats(monthly: DataFrame) -> DataFrame:

@@ -86,12 +86,10 @@ def flag_counts(bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> DataFram
     return bronze.groupBy(quality_flag(t).alias("quality_flag")).agg(F.count("*").alias("trips"))
 
 
-def staging(silver_trips: DataFrame, rows: int = 1000) -> DataFrame:
-    """A sample view with fare tiers: the first ``rows`` trips by trip id."""
+def staging(silver_trips: DataFrame) -> DataFrame:
+    """The valid trips with fare tiers."""
     return (
         silver_trips.filter(F.col("quality_flag") == VALID)
-        .orderBy("trip_id")
-        .limit(rows)
         .select(
             "taxi_type",
             "pickup_datetime",

@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farebox.functions import hundredths, units
-from farebox.session import materialize
-
-BROADCAST_ROWS = 200_000
 
 
 def running_totals(
@@ -29,10 +26,13 @@ def running_totals(
     """
     names = list(totals)
     part = "_slice"
+    # without this filter the two uses below would be filtered apart and aggregate twice
     instants = (
-        df.groupBy(*keys, order)
+        df.dropna(subset=[*keys, order])
+        .groupBy(*keys, order)
         .agg(*[F.sum(c).alias(n) for n, c in totals.items()])
         .withColumn(part, F.date_trunc(slice_unit, order))
+        .filter(F.col(part).isNotNull())
     )
     inside = Window.partitionBy(*keys, part).orderBy(order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -56,48 +56,33 @@ def running_totals(
 
 
 def previous_value(
-    df: DataFrame, key: str, order: list[str], value: str, name: str
+    df: DataFrame, key: str, order: list[str], value: str, name: str, slices: list[list[str]]
 ) -> DataFrame:
     """``lag(value)`` per ``key`` along ``order``, which must be unique within ``key``.
 
-    Range partitioning on (key, order) cuts even a single key into even slices,
-    because the order is unique. The slices are written once, so that each row
-    has one slice whatever is recomputed later. Only the first row of a slice
-    lacks its predecessor: the last row of the slice before, found among one
-    row per slice and key.
+    Each entry of ``slices`` names columns of ``df`` that cut the one before more
+    finely, along the order: they must never fall while the order rises. A window runs within each
+    of the finest slices; only its first row lacks a predecessor, which is the
+    last value of the slice before. Those last values, one row per slice, are
+    lagged in the same way over the coarser slices, and over the key at the end.
+    Rows are shuffled once; a NULL key is a key of its own.
     """
-    part, last, first = "_slice", "_last", "_first"
-    along = Window.partitionBy(part, key).orderBy(*order)
-    sliced = materialize(
-        df.repartitionByRange(key, *order)
-        .withColumn(part, F.spark_partition_id())
-        .withColumns(
-            {
-                name: F.lag(value).over(along),
-                first: F.lag(F.lit(True), 1, False).over(along) == F.lit(False),
-                last: F.lead(F.lit(True), 1, False).over(along) == F.lit(False),
-            }
-        ),
-        "slices",
-    )
-    ends = sliced.filter(F.col(last)).select(key, part, F.col(value).alias("_end"))
-    carried = ends.select(
-        key, part, F.lag("_end").over(Window.partitionBy(key).orderBy(part)).alias("_carry")
+    if not slices:
+        along = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn(name, F.lag(value).over(along))
+    *coarser, parts = slices
+    last, carry, first = f"_last{len(slices)}", f"_carry{len(slices)}", f"_first{len(slices)}"
+    ends = df.groupBy(key, *parts).agg(F.max_by(value, F.struct(*order)).alias(last))
+    carried = previous_value(ends, key, parts, last, carry, coarser).select(
+        F.col(key).alias("_key"), *(F.col(p).alias(f"_{p}") for p in parts), carry
     )
-    return (
-        sliced.join(broadcast_if_small(carried), [key, part], "left")
-        .withColumn(name, F.when(F.col(first), F.col("_carry")).otherwise(F.col(name)))
-        .drop(part, first, last, "_carry")
-    )
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has at most ``rows`` rows.
-
-    Beyond that it is returned as it is and joins by shuffle.
-    """
-    small = df.select(F.lit(1)).limit(rows + 1).count() <= rows
-    return F.broadcast(df) if small else df
+    along = Window.partitionBy(key, *parts).orderBy(*order)
+    inside = df.withColumns({name: F.lag(value).over(along), first: F.lag(F.lit(False), 1, True).over(along)})
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"_{p}"))
+    joined = inside.join(carried, same, "left")
+    return joined.withColumn(name, F.when(F.col(first), F.col(carry)).otherwise(F.col(name))).select(*df.columns, name)
 
 
 def running_hour_count(trips: DataFrame) -> DataFrame:
@@ -119,9 +104,15 @@ def running_daily_total(trips: DataFrame) -> DataFrame:
 
 def previous_trip_amount(trips: DataFrame) -> DataFrame:
     """Amount of the vendor's trip before this one; the vendor's first has none."""
+    # within one time the ids differ in the digest behind their last underscore
+    fine = {
+        "_minute": F.date_trunc("minute", "pickup_datetime"), "_time": F.col("pickup_datetime"),
+        "_digit": F.substring(F.substring_index("trip_id", "_", -1), 1, 1),
+    }
     return previous_value(
-        trips, "vendor_id", ["pickup_datetime", "trip_id"], "total_amount", "prev_trip_amount"
-    )
+        trips.withColumns(fine), "vendor_id", ["pickup_datetime", "trip_id"], "total_amount", "prev_trip_amount",
+        [["_minute"], list(fine)],
+    ).drop(*fine)
 
 
 def peak_hour_per_day(trips: DataFrame) -> DataFrame:

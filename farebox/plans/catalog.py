@@ -5,17 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from farebox import schema as S
 from farebox.operators import aggregates, bronze as b, ml, quality, silver as s, windows
 from farebox.plans import gold, reports
-from farebox.session import exists, work_dir
+from farebox.session import materialize, work_dir
 from farebox.sources import files, layout, lineitem
-from farebox.sources.conform import conformance
+from farebox.sources.conform import conformance, union_by_name
 from farebox.sources.lake import Lake
-from farebox.sources.snapshots import SnapshotTable
+from farebox.sources.upsert import upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +24,8 @@ AUDIT_COLUMNS = (
     "ingestion_timestamp", "silver_processed_at", "gold_processed_at", "dbt_processed_at",
     "first_ingestion", "last_ingestion",
 )
-# commit times of the snapshot queries, fixed so that time travel can be compared
+# times of the batches, fixed so that states can be compared
+SPLITTING_PERCENT = 99.5  # some files are below it, some above
 COMMITTED = tuple(datetime(2024, 1, day) for day in (1, 2, 3))
 
 
@@ -43,24 +45,6 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- layers
-# What was written so far, by Spark application, session, source folder and
-# label. The first query that needs a table writes it to the shared folder;
-# later ones read only the columns and months they ask for. A frame is kept with
-# its file list, so that no query lists the folders again.
-_WRITTEN: dict[tuple, tuple[str, object]] = {}
-
-
-def written_once(spark: SparkSession, sf_dir: str, label: str, proof: str, write: Callable) -> object:
-    """What ``write(root)`` returned for this source folder.
-
-    Written again if the file ``proof`` below the root is gone.
-    """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), label)
-    if key not in _WRITTEN or not exists(spark, f"{_WRITTEN[key][0]}/{proof}"):
-        root = work_dir(spark, label)
-        _WRITTEN[key] = (root, write(root))
-    return _WRITTEN[key][1]
-
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer, from the source rows."""
@@ -68,12 +52,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table of a source folder, written on first use."""
-
-    def write(root: str) -> DataFrame:
-        return Lake(spark, root).write(S.SILVER_TRIPS, s.silver(bronze(spark, sf_dir)))
-
-    return written_once(spark, sf_dir, "lake", f"silver/{S.SILVER_TRIPS}/_SUCCESS", write)
+    """The clean trips, straight from the source rows; nothing is written."""
+    return s.silver(bronze(spark, sf_dir))
 
 
 def yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,68 +147,60 @@ def file_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.file_quality(lineitem.trip_feed(spark, sf_dir))
 
 
-# ------------------------------------------------------------------- snapshots
+# --------------------------------------------------------------------- upserts
 def _content(df: DataFrame) -> DataFrame:
     return df.drop("silver_processed_at")
 
 
-def versions(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    return written_once(
-        spark,
-        sf_dir,
-        "snapshots",
-        "commits/_SUCCESS",
-        lambda root: _three_versions(spark, sf_dir, root),
-    )
-
-
-def _three_versions(spark: SparkSession, sf_dir: str, root: str) -> SnapshotTable:
+def batches(spark: SparkSession, sf_dir: str) -> list[tuple[str, datetime, DataFrame]]:
     """Valid trips; then one fleet's amounts raised by 1; then the quarantined rows added."""
-    raw = bronze(spark, sf_dir)
-    valid, rest = _content(silver(spark, sf_dir)), _content(s.quarantine(raw))
+    valid = _content(silver(spark, sf_dir))
     raised = valid.filter(F.col("taxi_type") == "yellow").withColumn(
         "total_amount", (aggregates.hundredths("total_amount") + 100) / 100.0
     )
-    table = SnapshotTable(spark, root, "trip_id")
-    table.create(valid, COMMITTED[0])
-    table.upsert(raised, COMMITTED[1])
-    table.upsert(rest, COMMITTED[2])
-    return table
+    rest = _content(s.quarantine(bronze(spark, sf_dir)))
+    return [*zip(("WRITE", "MERGE", "MERGE"), COMMITTED, (valid, raised, rest), strict=True)]
+
+
+def content_at(spark: SparkSession, sf_dir: str, moment: datetime | None = None) -> DataFrame:
+    """The batches up to ``moment`` put one over the other."""
+    frames = [df for _, at, df in batches(spark, sf_dir) if moment is None or at <= moment]
+    return plain(reduce(lambda a, b: upsert(a, b, "trip_id"), frames))
 
 
 def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(versions(spark, sf_dir).as_of())
+    return content_at(spark, sf_dir)
 
 
 def snapshot_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(versions(spark, sf_dir).as_of(0))
+    return content_at(spark, sf_dir, COMMITTED[0])
 
 
 def snapshot_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    between = datetime(2024, 1, 2, 12)
-    return plain(versions(spark, sf_dir).as_of_time(between))
+    return content_at(spark, sf_dir, datetime(2024, 1, 2, 12))
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The versions with the rows each one wrote."""
-    table = versions(spark, sf_dir)
-    written = spark.read.parquet(f"{table.root}/data").groupBy("version").agg(
-        F.count("*").alias("rows_written")
-    )
-    return plain(table.history().join(written, "version").orderBy("version"))
+    """The batches with the rows each one brings."""
+    counted = [
+        df.agg(F.count("*").alias("rows_written")).select(
+            F.lit(i).alias("version"), F.lit(at).cast("timestamp").alias("timestamp"), F.lit(operation).alias("operation"),
+            "rows_written",
+        )
+        for i, (operation, at, df) in enumerate(batches(spark, sf_dir))
+    ]
+    return plain(union_by_name(*counted))
 
 
 def snapshot_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes folded in, then only the newest version kept."""
-    table = _three_versions(spark, sf_dir, work_dir(spark, "snapshots"))
-    table.compact()
-    return plain(table.retain(1, work_dir(spark, "retained")).as_of())
+    """The newest content alone, written with even files and read back."""
+    return plain(layout.compact(content_at(spark, sf_dir), work_dir(spark, "retained")))
 
 
 # ---------------------------------------------------------------------- layout
 def compact_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _content(silver(spark, sf_dir))
-    return plain(layout.compact(trips, work_dir(spark, "compact"), files=4))
+    return plain(layout.compact(trips, work_dir(spark, "compact")))
 
 
 def balanced_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,19 +225,15 @@ def partitioned_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucketed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips hashed by hour and day; trips and revenue per hour."""
-    trips = layout.write_bucketed(
-        _content(silver(spark, sf_dir)),
-        f"trips_by_hour_{uuid.uuid4().hex}",
-        work_dir(spark, "buckets"),
-        16,
-        "pickup_hour",
-        "pickup_date",
-    )
-    return trips.groupBy("pickup_hour").agg(
-        F.count("*").alias("total_trips"),
-        (F.sum(aggregates.hundredths("total_amount")) / 100.0).alias("total_revenue"),
-    )
+    """Trips and revenue per hour and day, read from buckets of just these keys."""
+    trips = _content(silver(spark, sf_dir))
+    name = f"trips_by_hour_{uuid.uuid4().hex}"
+    buckets = layout.buckets_for(trips)
+    table = layout.write_bucketed(trips, name, work_dir(spark, "buckets"), buckets, "pickup_hour", "pickup_date")
+    try:
+        return plain(materialize(aggregates.hours_and_days(table), "by-hour"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def layout_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +253,9 @@ def queries() -> dict[str, Query]:
         # raw and clean layers
         "bronze_valid_trips": over(bronze),
         "bronze_unified": bronze_unified,
+        "refused_rows": lambda sp, d: plain(
+            b.refused(lineitem.trip_feed(sp, d)).select("record_key", "taxi_type", "source_file", "refusal")
+        ),
         "bronze_trip_id": over(bronze, lambda d: d.select("trip_id", "VendorID", "pickup_datetime")),
         "conformance_report": conformance_report,
         "manifest_ingest": manifest_ingest,
@@ -298,7 +269,8 @@ def queries() -> dict[str, Query]:
         "gold_comparison": over(comparison),
         "lake_build": lake_build,
         "stats_bronze": over(bronze, quality.bronze_stats),
-        "stats_silver": over(bronze, s.flagged, quality.silver_stats),
+        "stats_silver": over(silver, quality.silver_stats),
+        "stats_flagged": over(bronze, s.flagged, lambda d: quality.silver_stats(d, "Flagged")),
         "stats_gold": over(monthly, quality.gold_stats),
         # question 1
         "q1_report_gold": over(monthly, reports.q1_report),
@@ -350,7 +322,7 @@ def queries() -> dict[str, Query]:
         "validation_summary": over(yellow, reports.validation_summary),
         "file_quality": file_quality,
         "ingestion_summary": lambda sp, d: quality.ingestion_summary(file_quality(sp, d)),
-        "files_below_threshold": lambda sp, d: quality.below_threshold(file_quality(sp, d)),
+        "files_below_threshold": lambda sp, d: quality.below_threshold(file_quality(sp, d), SPLITTING_PERCENT),
         "fleet_counts": over(silver, quality.fleet_counts),
         "dq_checks": dq_checks,
         "freshness": source_freshness,

@@ -51,6 +51,8 @@ def monthly(silver: DataFrame) -> DataFrame:
         agg.avg_passengers().alias("avg_passengers_per_trip"),
         agg.avg_minutes().alias("avg_trip_duration_minutes"),
         agg.avg_distance().alias("avg_trip_distance"),
+        F.col("s_passengers").alias("total_passengers"),
+        agg.units("s_distance").alias("total_distance"),
         F.current_timestamp().alias("gold_processed_at"),
     )
 

@@ -139,7 +139,9 @@ monthly AS (
     MIN(total_cents) / 100.0::DOUBLE AS min_amount, MAX(total_cents) / 100.0::DOUBLE AS max_amount,
     {_mean('SUM(pax)', 'COUNT(*)', 2)} AS avg_passengers_per_trip,
     {_mean('SUM(dur)', 'COUNT(*)', 2)} AS avg_trip_duration_minutes,
-    {_mean('SUM(dist_tenths) * 10', 'COUNT(*)', 2, 2)} AS avg_trip_distance
+    {_mean('SUM(dist_tenths) * 10', 'COUNT(*)', 2, 2)} AS avg_trip_distance,
+    CAST(SUM(pax) AS BIGINT) AS total_passengers,
+    CAST(SUM(dist_tenths) * 10 AS BIGINT) / 100.0::DOUBLE AS total_distance
   FROM clean GROUP BY taxi_type, source_year, source_month
 ),
 hourly AS (
@@ -235,6 +237,9 @@ def _layers() -> dict[str, str]:
             " AS trip_type",
             "raw_layer",
         ),
+        "refused_rows": _layer(
+            "record_key, taxi_type, source_file, 'dropoff_before_pickup' AS refusal", "keyed WHERE dur < 0"
+        ),
         "bronze_trip_id": _layer(
             'trip_id, vendor_id AS "VendorID", CAST(pickup_ts AS VARCHAR) AS pickup_datetime',
             "raw_layer",
@@ -264,7 +269,7 @@ def _layers() -> dict[str, str]:
               {PERIOD} AS time_period,
               {_above('total_cents / 100.0::DOUBLE', labels.FARE_TIERS, labels.FARE_TIER_ELSE)}
                 AS fare_tier
-            FROM (SELECT * FROM clean ORDER BY trip_id LIMIT 1000)"""
+            FROM clean"""
         ),
         "upsert_trips": everything,
         "snapshot_by_version": clean,
@@ -283,9 +288,9 @@ def _layers() -> dict[str, str]:
         "zorder_layout": clean,
         "partitioned_layout": _mart("SELECT * FROM hourly"),
         "bucketed_layout": _trips(
-            """SELECT pickup_hour, COUNT(*) AS total_trips,
+            """SELECT pickup_hour, CAST(pickup_date AS VARCHAR) AS pickup_date, COUNT(*) AS total_trips,
               CAST(SUM(total_cents) AS BIGINT) / 100.0::DOUBLE AS total_revenue
-            FROM clean GROUP BY pickup_hour"""
+            FROM clean GROUP BY pickup_hour, pickup_date"""
         ),
         "layout_rows": _trips(
             """SELECT source_year, source_month, COUNT(*) AS record_count,
@@ -309,6 +314,11 @@ def _marts() -> dict[str, str]:
         "stats_silver": _trips(
             f"SELECT 'Silver' AS layer, COUNT(*) AS total_records, "
             f"COUNT(DISTINCT {FLAG}) AS quality_flags, "
+            f"COUNT(*) FILTER (WHERE {FLAG} = 'valid') AS valid_records FROM clean"
+        ),
+        "stats_flagged": _trips(
+            f"SELECT 'Flagged' AS layer, COUNT(*) AS total_records, "
+            f"COUNT(DISTINCT {FLAG}) AS quality_flags, "
             f"COUNT(*) FILTER (WHERE {FLAG} = 'valid') AS valid_records FROM raw_layer"
         ),
         "stats_gold": _mart(
@@ -446,13 +456,13 @@ def _fleets() -> dict[str, str]:
     plain = ", ".join(
         f"{_mean(f'SUM({h(c)})', 'COUNT(*)', 4, 2)} AS {n}" for n, c in averages.items()
     )
+    sums = {n: h(c) for n, c in zip(averages, ("total_revenue", "total_passengers", "total_distance"), strict=True)}
     weighted = ", ".join(
-        f"{_mean(f'SUM({h(c)} * total_trips)', 'SUM(total_trips)', 4, 2)} AS {n}_weighted"
-        for n, c in averages.items()
+        f"{_mean(f'SUM({c})', 'SUM(total_trips)', 4, 2)} AS {n}_weighted" for n, c in sums.items()
     )
     hd = h("avg_trip_distance")
     plain_d = f"(CAST(SUM({hd}) AS DOUBLE) / COUNT(*) / 100.0::DOUBLE)"
-    weighted_d = f"(CAST(SUM({hd} * total_trips) AS DOUBLE) / SUM(total_trips) / 100.0::DOUBLE)"
+    weighted_d = f"(CAST(SUM({sums['avg_distance']}) AS DOUBLE) / SUM(total_trips) / 100.0::DOUBLE)"
     rev_cents = "CAST(SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS DOUBLE)"
     strategy = ", ".join(
         "(" + ", ".join(f"'{v}'" for v in (row[0].split()[0].lower(), *row[1:])) + ")"
@@ -625,7 +635,7 @@ def _quality() -> dict[str, str]:
             per_file,
         ),
         "files_below_threshold": _trips(
-            f"SELECT *, {score} AS quality_score FROM per_file WHERE {score} * 100 < 95", per_file
+            f"SELECT *, {score} AS quality_score FROM per_file WHERE {score} * 100 < 99.5", per_file
         ),
         "fleet_counts": _trips(
             "SELECT taxi_type, COUNT(*) AS trips FROM clean GROUP BY taxi_type "

@@ -382,9 +382,9 @@ def market_share(monthly: DataFrame) -> DataFrame:
     """Shares, revenue per trip and per mile.
 
     ``avg_*`` and ``revenue_per_mile`` average the monthly averages as they
-    are; the ``*_weighted`` columns weigh each month by its trips.
+    are; the ``*_weighted`` columns are means over all trips, from the sums that
+    the mart carries.
     """
-    weighted = lambda c: F.sum(fn.hundredths(c) * F.col("total_trips"))
     averages = {
         "avg_fare": "avg_amount_per_trip",
         "avg_passengers": "avg_passengers_per_trip",
@@ -395,7 +395,9 @@ def market_share(monthly: DataFrame) -> DataFrame:
         F.sum(fn.hundredths("total_revenue")).alias("s_amount"),
         F.count("*").alias("months"),
         *[F.sum(fn.hundredths(c)).alias(f"s_{n}") for n, c in averages.items()],
-        *[weighted(c).alias(f"w_{n}") for n, c in averages.items()],
+        F.sum(fn.hundredths("total_revenue")).alias("w_avg_fare"),
+        (F.sum("total_passengers") * 100).alias("w_avg_passengers"),
+        F.sum(fn.hundredths("total_distance")).alias("w_avg_distance"),
     )
     everything = Window.partitionBy()
     plain_distance = F.col("s_avg_distance") / F.col("months") / 100.0

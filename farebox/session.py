@@ -4,13 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -58,15 +54,6 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/farebox/{label}-{uuid.uuid4().hex}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file is there."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A short literal table as a local relation.
 
@@ -87,13 +74,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` cached while several results are taken from it; spills to executor disk."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()

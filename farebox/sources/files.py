@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from farebox import schema as S
 from farebox.functions import file_record_key
 from farebox.session import local_table
-from farebox.sources.conform import conform
+from farebox.sources.conform import conform, union_by_name
 
 # Fixed value: the naming pattern of a monthly file (or folder of part files).
 FILE_KEY = r"([a-z]+_tripdata_\d{4}-\d{2})[^/]*"
@@ -44,13 +46,52 @@ def manifest(root: str, fleets: Iterable[str], periods: Iterable[tuple[int, int]
     ]
 
 
+def own_schemas(spark: SparkSession, files: list[SourceFile]) -> dict[str, list[SourceFile]]:
+    """The files by the schema in their footers (as JSON); a manifest has one file per fleet and month."""
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f.path).schema.json(), files))
+    groups: dict[str, list[SourceFile]] = {}
+    for schema, f in zip(schemas, files, strict=True):
+        groups.setdefault(schema, []).append(f)
+    return groups
+
+
+def scan_as_declared(
+    spark: SparkSession, schema: T.StructType, files: list[SourceFile], required: tuple[str, ...]
+) -> DataFrame:
+    """All ``files`` in the declared columns and types, further columns after them.
+
+    Files of one footer schema are one scan, read as they are and then
+    conformed, so a column may change its type from month to month. A file
+    without a ``required`` column is refused by name.
+    """
+    parts = []
+    for own, entries in own_schemas(spark, files).items():
+        found = {c.lower() for c in T.StructType.fromJson(json.loads(own)).names}
+        absent = [c for c in required if c.lower() not in found]
+        if absent:
+            raise ValueError(f"{entries[0].path}: mandatory columns missing: {', '.join(absent)}")
+        scan = spark.read.schema(T.StructType.fromJson(json.loads(own))).parquet(*[f.path for f in entries])
+        scan = scan.select(
+            "*", F.regexp_extract("_metadata.file_path", FILE_KEY, 1).alias("file_key"), file_record_key().alias("record_key")
+        )
+        parts.append(conform(scan, schema))
+    return union_by_name(*parts)
+
+
+def required_columns(code: str) -> tuple[str, ...]:
+    """The mandatory columns under the fleet's own names."""
+    prefix = S.fleet(code).time_prefix
+    return tuple(f"{prefix}_{c}" if c.endswith("_datetime") else c for c in S.MANDATORY)
+
+
 def read_manifest(spark: SparkSession, files: Iterable[SourceFile]) -> dict[str, DataFrame]:
-    """One lazy scan per fleet over all of its files, with the declared schema applied.
+    """One lazy frame per fleet over all of its files, in the declared schema.
 
-    Year and month come from the manifest through a join on the file key found
-    in the path, so the plan has one scan per fleet however many months there
-    are. The manifest is a local relation of known size, so Spark itself decides
-    whether to broadcast it.
+    There is one scan per footer schema, not per file. Year and month come from
+    the manifest through a join on the file key found in the path. The manifest
+    is a local relation of known size, so Spark itself decides whether to
+    broadcast it.
     """
     by_fleet: dict[str, list[SourceFile]] = {}
     for f in files:
@@ -66,18 +107,8 @@ def read_manifest(spark: SparkSession, files: Iterable[SourceFile]) -> dict[str,
                 "source_month": [f.month for f in entries],
             },
         ).withColumns({c: F.col(c).cast("int") for c in ("source_year", "source_month")})
-        schema = S.raw_schema(code)
-        scan = (
-            spark.read.schema(schema)
-            .parquet(*[f.path for f in entries])
-            .select(
-                "*",
-                F.regexp_extract("_metadata.file_path", FILE_KEY, 1).alias("file_key"),
-                file_record_key().alias("record_key"),
-            )
-        )
         feeds[code] = (
-            conform(scan, schema)
+            scan_as_declared(spark, S.raw_schema(code), entries, required_columns(code))
             .join(months, "file_key")
             .withColumn("source_file", F.concat("file_key", F.lit(".parquet")))
             .drop("file_key")

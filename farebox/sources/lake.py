@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox import schema as S
 from farebox.operators import bronze as bronze_ops, silver as silver_ops
@@ -47,19 +47,32 @@ class Lake:
             df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
-    def load(self, bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> None:
-        """Write the raw layer, and from its table the clean one."""
+    def load(self, bronze: DataFrame, months: DataFrame | None = None, t: S.Thresholds = S.Thresholds()) -> None:
+        """Write the raw layer, the clean one and the quarantine.
+
+        ``months`` names the (source_year, source_month) being loaded; then the
+        later layers take only those from the raw table, and no file of another
+        month is read or replaced. Without it all of the raw table is taken.
+        """
         raw = self.write(S.BRONZE_TRIPS, bronze)
+        if months is not None:
+            # one row per month of the calendar: folders to read
+            wanted = [(r[0], r[1]) for r in months.select("source_year", "source_month").distinct().collect()]
+            pick = F.lit(False)
+            for year, month in wanted:
+                pick = pick | ((F.col("source_year") == year) & (F.col("source_month") == month))
+            raw = raw.filter(pick)
         self.write(S.SILVER_TRIPS, silver_ops.silver(raw, t))
+        self.write(S.QUARANTINE_TRIPS, silver_ops.quarantine(raw, t))
 
     def build(self, bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> dict[str, DataFrame]:
         """Raw layer to marts. Every layer is read back from its table by the next."""
-        self.load(bronze, t)
+        self.load(bronze, t=t)
         raw, trips = self.read(S.BRONZE_TRIPS), self.read(S.SILVER_TRIPS)
         return {
             S.BRONZE_TRIPS: raw,
             S.SILVER_TRIPS: trips,
-            S.QUARANTINE_TRIPS: self.write(S.QUARANTINE_TRIPS, silver_ops.quarantine(raw, t)),
+            S.QUARANTINE_TRIPS: self.read(S.QUARANTINE_TRIPS),
             S.GOLD_MONTHLY: self.write(S.GOLD_MONTHLY, gold.monthly(trips)),
             S.GOLD_HOURLY: self.write(S.GOLD_HOURLY, gold.hourly(trips)),
             S.GOLD_COMPARISON: self.write(S.GOLD_COMPARISON, gold.comparison(trips)),

@@ -8,12 +8,28 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 Z_BITS = 8
+PART_BYTES = 256 << 20
+ROWS_PER_BUCKET = 5_000_000
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
-def compact(df: DataFrame, path: str, files: int) -> DataFrame:
-    """Write ``df`` as ``files`` files of even size and read it back."""
-    df.repartition(files).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def compact(df: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Write ``df`` in parts of about ``part_bytes`` before encoding, and read it back.
+
+    Small parts are merged and large ones split at run time, whatever the size of the data.
+    """
+    spark = df.sparkSession
+    wanted = {ADVISORY: str(part_bytes), PARALLELISM_FIRST: "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        df.hint("rebalance").write.mode("overwrite").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.parquet(path)
 
 
 def write_balanced(df: DataFrame, path: str) -> DataFrame:
@@ -80,14 +96,20 @@ def write_partitioned(df: DataFrame, path: str, *by: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def buckets_for(df: DataFrame, rows: int = ROWS_PER_BUCKET) -> int:
+    """How many buckets hold about ``rows`` rows each, by a count."""
+    return max(1, -(-df.count() // rows))
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, *by: str) -> DataFrame:
     """A catalog table whose rows are hashed into ``buckets`` by ``by``.
 
     Give a second column next to a coarse one such as the hour of the day:
     the hour alone has 24 values and could put a third of the rows into one bucket.
+    Rows are hashed before the write, so each bucket is one file.
     """
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, *by).write.mode("overwrite")
         .format("parquet")
         .option("path", path)
         .bucketBy(buckets, *by)

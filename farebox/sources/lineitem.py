@@ -14,7 +14,7 @@ from farebox.functions import hundredths, units
 # The rule by which an order line becomes a trip.
 MINUTES_PER_DAY = 1440
 DURATION_SPAN, DURATION_SHIFT = 1600, 10
-FLEET_OF_STATUS = {"O": "yellow", "F": "green"}
+YELLOW_STATUS = "O"  # every other status, and none, is the other fleet's
 TIP_WEIGHT = {"yellow": 4, "green": 3}
 
 
@@ -22,8 +22,13 @@ def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
 
 
+def is_yellow() -> Column:
+    """Which fleet an order line's trip belongs to."""
+    return F.coalesce(F.col("l_linestatus") == YELLOW_STATUS, F.lit(False))
+
+
 def _shape(lines: DataFrame) -> DataFrame:
-    yellow = F.col("l_linestatus") == "O"
+    yellow = is_yellow()
     started = (F.col("l_orderkey") * 37 + F.col("l_partkey") * 11) % MINUTES_PER_DAY
     lasted = (F.col("l_partkey") * 7 + F.col("l_linenumber")) % DURATION_SPAN - DURATION_SHIFT
     # whole seconds: a filter on the times repeats this in the scan, so it has to be cheap
@@ -77,8 +82,8 @@ def fleet_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """
     lines = _read(spark, sf_dir)
     feeds = {}
-    for status, code, prefix in (("O", "yellow", "tpep"), ("F", "green", "lpep")):
-        feed = _shape(lines.filter(F.col("l_linestatus") == status))
+    for code, prefix, own in (("yellow", "tpep", is_yellow()), ("green", "lpep", ~is_yellow())):
+        feed = _shape(lines.filter(own))
         feeds[code] = feed.withColumn("source_file", _source_file()).withColumnsRenamed(
             {
                 "pickup_datetime": f"{prefix}_pickup_datetime",

@@ -2,76 +2,45 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from farebox import schema as S
-from farebox.operators import bronze as b, ml, silver as s
+from farebox.operators import aggregates, bronze as b, ml, silver as s
 from farebox.plans import catalog
-from farebox.session import CHECKPOINT_CONF, kept, work_dir, work_root
+from farebox.session import CHECKPOINT_CONF, work_dir, work_root
 from farebox.sources import files, layout
 from farebox.sources.lake import Lake, register_views, use_database
-from farebox.sources.snapshots import SnapshotTable
-
-
-def days(n):
-    return datetime(2024, 1, n)
-
-
-@pytest.fixture()
-def table(spark):
-    t = SnapshotTable(spark, work_dir(spark, "t"), "id")
-    t.create(spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int"), days(1))
-    return t
+from farebox.sources.upsert import upsert
 
 
 def content(df):
     return {r["id"]: r["v"] for r in df.collect()}
 
 
-def test_upsert_replaces_and_adds(spark, table):
-    batch = spark.createDataFrame([("b", 20), ("c", 30)], "id string, v int")
-    assert table.upsert(batch, days(2)) == 1
-    assert content(table.as_of()) == {"a": 1, "b": 20, "c": 30}
-    table.upsert(batch, days(3))
-    assert content(table.as_of()) == {"a": 1, "b": 20, "c": 30}
-    assert table.as_of().count() == 3
-    assert content(table.as_of(0)) == {"a": 1, "b": 2}
-    assert content(table.as_of_time(datetime(2024, 1, 2, 23))) == {"a": 1, "b": 20, "c": 30}
-    assert [(r["version"], r["operation"]) for r in table.history().collect()] == [
-        (0, "WRITE"), (1, "MERGE"), (2, "MERGE"),
-    ]
-    with pytest.raises(ValueError):
-        table.as_of(9)
-    with pytest.raises(ValueError):
-        table.as_of_time(datetime(2023, 1, 1))
-
+def rows_of(spark, *rows):
+    return spark.createDataFrame(rows, "id string, v int")
 
-def test_upsert_refuses_doubled_keys(spark, table):
-    with pytest.raises(ValueError, match="more than one row"):
-        table.upsert(spark.createDataFrame([("b", 1), ("b", 2)], "id string, v int"))
-    assert table.latest() == 0
 
+def test_upsert_replaces_and_adds(spark):
+    target, batch = rows_of(spark, ("a", 1), ("b", 2)), rows_of(spark, ("b", 20), ("c", 30))
+    once = upsert(target, batch, "id")
+    assert content(once) == {"a": 1, "b": 20, "c": 30}
+    assert content(upsert(once, batch, "id")) == content(once)
+    wider = spark.createDataFrame([("c", 3, "n")], "id string, v int, note string")
+    assert {r["id"]: r["note"] for r in upsert(target, wider, "id").collect()} == {"a": None, "b": None, "c": "n"}
+    assert content(upsert(target, rows_of(spark), "id")) == {"a": 1, "b": 2}
 
-def test_uncommitted_files_are_not_seen(spark, table):
-    spark.createDataFrame([("x", 9)], "id string, v int").write.parquet(f"{table.root}/data/version=1")
-    assert content(table.as_of()) == {"a": 1, "b": 2}
-    table.upsert(spark.createDataFrame([("b", 5)], "id string, v int"))
-    assert content(table.as_of()) == {"a": 1, "b": 5}
 
-
-def test_new_columns_compaction_and_retention(spark, table):
-    table.upsert(spark.createDataFrame([("c", 3, "n")], "id string, v int, note string"), days(2))
-    assert {r["id"]: r["note"] for r in table.as_of().collect()} == {"a": None, "b": None, "c": "n"}
-    table.compact(days(3))
-    assert content(table.as_of()) == {"a": 1, "b": 2, "c": 3}
-    copy = table.retain(2, work_dir(spark, "kept"))
-    assert [r["version"] for r in copy.history().collect()] == [1, 2]
-    assert content(copy.as_of(1)) == content(copy.as_of(2)) == {"a": 1, "b": 2, "c": 3}
-    with pytest.raises(ValueError):
-        copy.as_of(0)
+@pytest.mark.parametrize("bad", [[("b", 1), ("b", 2)], [(None, 1)]])
+def test_upsert_refuses_doubled_and_null_keys(spark, bad):
+    good = rows_of(spark, ("a", 1))
+    with pytest.raises(ValueError, match="batch has"):
+        upsert(good, rows_of(spark, *bad), "id")
+    with pytest.raises(ValueError, match="target has"):
+        upsert(rows_of(spark, *bad), good, "id")
 
 
 def test_z_order_lets_a_box_skip_files(spark):
@@ -102,8 +71,11 @@ def test_z_order_cuts_a_crowded_value(spark):
 def test_compaction_and_partitions(spark, small):
     trips = catalog.silver(spark, small)
     path = work_dir(spark, "c")
-    layout.compact(trips, path, files=3)
-    assert len({r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}) == 3
+    back = layout.compact(trips.repartition(8), path)
+    assert back.select(F.input_file_name()).distinct().count() == 1 and back.count() == trips.count()
+    wide = spark.range(400_000).select(F.md5(F.col("id").cast("string")).alias("x"))
+    split = layout.compact(wide, work_dir(spark, "c"), part_bytes=2 << 20)
+    assert 3 <= split.select(F.input_file_name()).distinct().count() <= 20
     months = layout.write_partitioned(trips, work_dir(spark, "p"), "source_year", "source_month")
     may = months.filter(F.col("source_month") == 5)
     assert "PartitionFilters: [isnotnull(source_month" in may._jdf.queryExecution().toString()
@@ -119,6 +91,7 @@ def test_files_through_a_manifest(spark):
                 F.col("a").cast("timestamp").alias(f"{prefix}_pickup_datetime"),
                 F.col("b").cast("timestamp").alias(f"{prefix}_dropoff_datetime"),
                 "total_amount",
+                F.lit(1.0).alias("passenger_count"),
             ).coalesce(1).write.parquet(f"{root}/{files.file_key(fleet, 2023, month)}.parquet")
     entries = files.manifest(root, ["yellow", "green"], [(2023, 1), (2023, 2)])
     raw = b.unify(files.read_manifest(spark, entries))
@@ -169,14 +142,74 @@ def test_rows_per_partition(spark):
     assert sizes == {0: 25, 1: 25, 2: 25, 3: 25}
 
 
-def test_lake_reloads_a_month_without_touching_others(spark, small):
+def test_lake_loads_a_month_without_touching_others(spark, small):
     raw = catalog.bronze(spark, small)
     lake = Lake(spark, work_dir(spark, "lake"))
-    lake.write(S.SILVER_TRIPS, s.silver(raw))
-    before = lake.read(S.SILVER_TRIPS).count()
-    may = s.silver(raw).filter("source_year = 1997 and source_month = 5")
-    lake.write(S.SILVER_TRIPS, may)
-    assert lake.read(S.SILVER_TRIPS).count() == before
+    lake.load(raw)
+
+    def times():
+        root = lake.root.removeprefix("file:")
+        return {
+            f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns
+            for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")
+        }
+
+    before, rows = times(), lake.read(S.SILVER_TRIPS).count()
+    may = raw.filter("source_year = 1997 and source_month = 5")
+    lake.load(may, may.select("source_year", "source_month"))
+    after = times()
+    gone = {f for f in before if after.get(f) != before[f]}
+    assert gone and all("source_year=1997/source_month=5/" in f for f in gone)
+    assert lake.read(S.SILVER_TRIPS).count() == rows
+
+
+def test_reports_write_nothing(spark, small):
+    root = work_root(spark).removeprefix("file:")
+    before = {d for d, _, _ in os.walk(root)}
+    for _ in range(2):
+        assert catalog.queries()["gold_monthly"](spark, small).count() == 166
+    assert {d for d, _, _ in os.walk(root)} == before
+
+
+def monthly_file(spark, root, month, columns):
+    frame = spark.range(2).select(
+        F.lit("2023-01-31 23:50:00").cast("timestamp").alias("tpep_pickup_datetime"),
+        F.lit("2023-02-01 00:10:00").cast("timestamp").alias("tpep_dropoff_datetime"),
+        *(F.expr(sql).alias(name) for name, sql in columns.items()),
+    )
+    frame.coalesce(1).write.parquet(f"{root}/{files.file_key('yellow', 2023, month)}.parquet")
+
+
+def test_files_that_differ_from_each_other(spark):
+    root = work_dir(spark, "landing")
+    monthly_file(spark, root, 1, {"VendorID": "1L", "total_amount": "5D", "passenger_count": "2D"})
+    monthly_file(spark, root, 2, {"VendorID": "CAST(1 AS INT)", "total_amount": "6D", "passenger_count": "3L", "note": "'n'"})
+    entries = files.manifest(root, ["yellow"], [(2023, 1), (2023, 2)])
+    raw = b.unify(files.read_manifest(spark, entries))
+    got = sorted(tuple(r) for r in raw.select("source_month", "VendorID", "passenger_count", "note").distinct().collect())
+    assert got == [(1, 1, 2.0, None), (2, 1, 3.0, "n")]
+    assert raw.count() == 4 and dict(raw.dtypes)["passenger_count"] == "double"
+    monthly_file(spark, root, 3, {"VendorID": "1L", "passenger_count": "2D"})
+    with pytest.raises(ValueError, match="2023-03.*total_amount"):
+        files.read_manifest(spark, files.manifest(root, ["yellow"], [(2023, 1), (2023, 3)]))
+
+
+def test_refused_rows_have_a_reason(spark, small):
+    feed = catalog.lineitem.trip_feed(spark, small)
+    assert b.refused(feed).count() + b.bronze(feed).count() == feed.count()
+    broken = feed.limit(1).withColumn("total_amount", F.lit(None).cast("double"))
+    assert b.refused(broken).first()["refusal"] == "missing_total_amount"
+
+
+def test_buckets_spare_the_exchange(spark, small):
+    trips = catalog.silver(spark, small)
+    table = layout.write_bucketed(trips, "bucket_test", work_dir(spark, "b"), layout.buckets_for(trips, 1000), "pickup_hour", "pickup_date")
+    try:
+        plan = aggregates.hours_and_days(table)._jdf.queryExecution().toString()
+        assert "Exchange" not in plan.split("== Physical Plan ==")[1]
+        assert table.select(F.input_file_name()).distinct().count() <= 5
+    finally:
+        spark.sql("DROP TABLE bucket_test")
 
 
 def test_sql_views(spark, small):
@@ -184,7 +217,7 @@ def test_sql_views(spark, small):
     names = (S.BRONZE_TRIPS, S.SILVER_TRIPS, S.YELLOW_CLEAN, S.STAGING_VIEW, S.GOLD_MONTHLY,
              S.GOLD_HOURLY, S.GOLD_COMPARISON, S.QUARANTINE_TRIPS)
     counts = {n: spark.sql(f"SELECT COUNT(*) FROM {n}").first()[0] for n in names}
-    assert counts[S.SILVER_TRIPS] == 4354 and counts[S.STAGING_VIEW] == 1000
+    assert counts[S.SILVER_TRIPS] == 4354 and counts[S.STAGING_VIEW] == 4354
     assert counts[S.BRONZE_TRIPS] == counts[S.SILVER_TRIPS] + counts[S.QUARANTINE_TRIPS]
     per_hour = spark.sql(
         f"SELECT pickup_hour, avg(passenger_count) AS people FROM {S.YELLOW_CLEAN} "
@@ -201,8 +234,6 @@ def test_namespace(spark):
 
 def test_work_root_follows_the_session(spark):
     assert work_root(spark) == spark.conf.get(CHECKPOINT_CONF)
-    with kept(spark.range(3)) as df:
-        assert df.storageLevel.useMemory and df.count() == 3
 
 
 def test_clusters(spark, small):

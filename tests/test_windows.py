@@ -56,18 +56,11 @@ def test_previous_trip_amount(crowded):
     same(windows.previous_trip_amount(crowded).select("trip_id", "prev_trip_amount"), plain)
 
 
-def test_previous_value_without_broadcast(crowded, monkeypatch):
-    monkeypatch.setattr(windows, "broadcast_if_small", lambda df: df)
+def test_previous_value_with_null_keys(crowded):
+    some = crowded.withColumn("vendor_id", F.when(F.col("vendor_id") == 1, F.col("vendor_id")))
     order = Window.partitionBy("vendor_id").orderBy("pickup_datetime", "trip_id")
-    plain = crowded.select("trip_id", F.lag("total_amount").over(order).alias("p"))
-    same(windows.previous_trip_amount(crowded).select("trip_id", "prev_trip_amount"), plain)
-
-
-def test_broadcast_only_below_the_bound(spark):
-    few, many = spark.range(10), spark.range(11)
-    plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(windows.broadcast_if_small(few, 10)).lower()
-    assert "broadcast" not in plan(windows.broadcast_if_small(many, 10)).lower()
+    plain = some.select("trip_id", F.lag("total_amount").over(order).alias("p"))
+    same(windows.previous_trip_amount(some).select("trip_id", "prev_trip_amount"), plain)
 
 
 def test_peak_hours_keep_ties(spark):
