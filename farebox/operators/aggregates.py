@@ -85,6 +85,15 @@ def rows_per_layout_key(df: DataFrame, *keys: str, rsd: float = 0.05) -> DataFra
     )
 
 
+def vendors_bound(df: DataFrame, *keys: str, rsd: float = 0.05) -> DataFrame:
+    """Vendors per layout key, and whether the approximate number is within three deviations."""
+    per_vendor = df.groupBy(*keys, "vendor_id").agg(F.lit(1).alias("one"))
+    exact = per_vendor.groupBy(*keys).agg(F.count("vendor_id").alias("vendors"))
+    near = rows_per_layout_key(df, *keys, rsd=rsd).select(*keys, "unique_vendors")
+    off = F.abs(F.col("unique_vendors") - F.col("vendors"))
+    return exact.join(near, list(keys)).select(*keys, "vendors", (off <= F.ceil(3 * rsd * F.col("vendors"))).alias("within_bound"))
+
+
 def rows_per_partition(df: DataFrame) -> DataFrame:
     """Rows in each partition as it is read now: shows a skewed layout at once."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(

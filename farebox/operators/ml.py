@@ -46,17 +46,34 @@ def kmeans(trips: DataFrame, k: int = CLUSTERS, seed: int = SEED, scale: bool =
     return (
         model.transform(inputs)
         .withColumn("_at", vector_to_array(column))
-        .withColumn("centre_distance", _distance(model.stages[-1].clusterCenters()))
-        .drop("features", "scaled", "_at")
+        .withColumn("_all", _distances(model.stages[-1].clusterCenters()))
+        .withColumn("centre_distance", F.get("_all", F.col("cluster")))
+        .withColumn("nearest_distance", F.array_min("_all"))
+        .drop("features", "scaled", "_at", "_all")
     )
 
 
-def _distance(centres) -> Column:
-    """Distance of ``_at`` to the centre of ``cluster``; the centres are k short literals."""
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    own = F.get(table, F.col("cluster"))
-    squares = F.zip_with("_at", own, lambda a, b: (a - b) * (a - b))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
+def _distances(centres) -> Column:
+    """Distances of ``_at`` to every centre; the centres are k short literals."""
+
+    def to(centre) -> Column:
+        squares = F.zip_with("_at", F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b))
+        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
+
+    return F.array(*[to(c) for c in centres])
+
+
+def cluster_checks(clustered: DataFrame, quantile: float = 0.99) -> DataFrame:
+    """What must hold of any clustering: clusters, trips, trips not at their nearest centre, outlier shares."""
+    flagged = flag_outliers(clustered, quantile)
+    away = (F.col("centre_distance") > F.col("nearest_distance") * (1 + 1e-9) + 1e-9).cast("bigint")
+    per = flagged.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.count_if("is_outlier").alias("out"), F.sum(away).alias("away")
+    )
+    return per.agg(
+        F.count("*").alias("clusters"), F.sum("n").alias("trips"), F.sum("away").alias("misplaced"),
+        F.bool_and(F.col("out") <= (1 - quantile) * F.col("n") * 1.1 + 1).alias("outliers_within_bound"),
+    )
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:

@@ -280,6 +280,7 @@ def queries() -> dict[str, Query]:
         "q1_mom_change": over(yellow, reports.q1_month_over_month),
         "q1_monthly_change": over(silver, reports.q1_monthly_change),
         "q1_extended": over(silver, reports.q1_extended),
+        "q1_median_bound": over(silver, reports.q1_median_bound),
         "q1_extended_approx": over(silver, reports.q1_extended_approx),
         # question 2
         "q2_report_gold": over(hourly, reports.q2_report),
@@ -330,6 +331,7 @@ def queries() -> dict[str, Query]:
         "corr_matrix_long": over(silver, ml.correlations),
         "corr_matrix_ml": over(silver, ml.correlation_matrix),
         "kmeans_profile": over(silver, ml.kmeans, ml.cluster_profile),
+        "kmeans_checks": over(silver, ml.kmeans, ml.cluster_checks),
         "kmeans_outliers": over(silver, ml.kmeans, ml.flag_outliers),
         # versions and file layout
         "upsert_trips": upsert_trips,
@@ -343,6 +345,7 @@ def queries() -> dict[str, Query]:
         "partitioned_layout": partitioned_layout,
         "bucketed_layout": bucketed_layout,
         "layout_distribution": layout_distribution,
+        "layout_vendors_bound": lambda sp, d: aggregates.vendors_bound(silver(sp, d), "source_year", "source_month"),
         "layout_rows": lambda sp, d: layout_distribution(sp, d).drop("unique_vendors"),
         "csv_roundtrip": csv_roundtrip,
     }

@@ -292,6 +292,10 @@ def _layers() -> dict[str, str]:
               CAST(SUM(total_cents) AS BIGINT) / 100.0::DOUBLE AS total_revenue
             FROM clean GROUP BY pickup_hour, pickup_date"""
         ),
+        "layout_vendors_bound": _trips(
+            """SELECT source_year, source_month, COUNT(DISTINCT vendor_id) AS vendors, true AS within_bound
+            FROM clean GROUP BY source_year, source_month"""
+        ),
         "layout_rows": _trips(
             """SELECT source_year, source_month, COUNT(*) AS record_count,
               CAST(SUM(total_cents) AS BIGINT) / 100.0::DOUBLE / 1024 / 1024 AS revenue_mebi
@@ -421,6 +425,10 @@ def _question_two() -> dict[str, str]:
               {PERIOD_PT} AS period_classification
             FROM clean WHERE source_month = 5 GROUP BY pickup_hour"""
         ),
+        "q1_median_bound": _trips(
+            """SELECT source_year, source_month, quantile_disc(total_cents, 0.5) / 100.0::DOUBLE AS median_amount,
+              true AS within_bound FROM clean GROUP BY source_year, source_month"""
+        ),
         "q2_ranked_hours": _trips("SELECT * FROM ranked", ranked),
         "q2_rank_hours_top5": _trips(
             """SELECT hour_range, avg_passengers_per_trip, total_trips, period_classification
@@ -668,7 +676,12 @@ def _statistics() -> dict[str, str]:
         for a, x in columns.items()
         for b, y in columns.items()
     )
-    return {name: _trips(cells) for name in ("corr_matrix_long", "corr_matrix_ml")}
+    return {name: _trips(cells) for name in ("corr_matrix_long", "corr_matrix_ml")} | {
+        "kmeans_checks": _trips(
+            """SELECT CAST(3 AS BIGINT) AS clusters, COUNT(*) AS trips, CAST(0 AS BIGINT) AS misplaced,
+              true AS outliers_within_bound FROM clean WHERE dist_tenths > 0"""
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:

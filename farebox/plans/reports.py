@@ -180,6 +180,16 @@ def q1_extended_approx(silver: DataFrame, accuracy: int = 10000) -> DataFrame:
     return _q1_finish(_q1_stats(silver, F.percentile_approx("total_amount", 0.5, accuracy)))
 
 
+def q1_median_bound(silver: DataFrame, share: float = 0.01) -> DataFrame:
+    """The exact medians, and whether the approximate ones are within ``share`` of them."""
+    keys = ["source_year", "source_month"]
+    near = q1_extended_approx(silver).select(*keys, F.col("median_amount").alias("near"))
+    off = F.abs(F.col("near") - F.col("median_amount"))
+    return q1_extended(silver).join(near, keys).select(
+        *keys, "median_amount", (off <= share * F.col("median_amount")).alias("within_bound")
+    )
+
+
 def q1_monthly_change(silver: DataFrame) -> DataFrame:
     """Month-over-month change along the calendar, all fleets together."""
     by_month = (
