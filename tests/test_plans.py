@@ -114,3 +114,23 @@ def test_sums_agree_across_layers(spark, small):
     assert all(abs(x - 100) < 0.011 for x in shares)
     days = run("peak_hour_per_day").select("pickup_date").distinct().count()
     assert days == run("silver_trips").select("pickup_date").distinct().count()
+
+
+@pytest.mark.parametrize(
+    "name, keys",
+    [
+        ("q2_report_gold", ["taxi_type", "hour_range"]),
+        ("q2_extended", ["pickup_hour"]),
+        ("q1_extended", ["source_year", "source_month"]),
+        ("q1_monthly_change", ["source_year", "source_month"]),
+        ("market_share", ["taxi_type"]),
+        ("hourly_pivot", ["hour_range"]),
+        ("monthly_trends", ["taxi_type", "year"]),
+        ("peak_hour_per_day", ["pickup_date", "pickup_hour"]),
+        ("ingestion_summary", ["taxi_type"]),
+    ],
+)
+def test_ordered_reports_come_in_order(spark, small, name, keys):
+    rows = catalog.queries()[name](spark, small).collect()
+    seen = [tuple(r[k] for k in keys) for r in rows]
+    assert len(rows) > 1 and seen == sorted(seen)
