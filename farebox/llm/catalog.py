@@ -49,13 +49,22 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"), near=False)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
 
 
+def near_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items whose rarest words stand close together in a document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(F.size("near_items") > 0).select(
+        "doc_id", F.array_join("near_items", ",").alias("near_items"), F.array_join("items", ",").alias("exact_items")
+    )
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL; the universe is every host of the pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -110,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
         "op9_contamination": op9_contamination,
+        "near_benchmark_items": near_benchmark_items,
         "op10_urls": op10_urls,
     }
 

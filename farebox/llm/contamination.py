@@ -54,7 +54,7 @@ def postings(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def windows(items: DataFrame, index: DataFrame, window: int = WINDOW, rare: int = RARE) -> DataFrame:
-    """(ik, item, iw, starts): for each window its first word and the places of its rarest terms.
+    """(ik, item, iw, starts, least_need): for each window its first word and the places of its rarest terms.
 
     An item of fewer than ``window`` words is one window. Terms that no
     document has are the rarest of all.
@@ -70,7 +70,8 @@ def windows(items: DataFrame, index: DataFrame, window: int = WINDOW, rare: int
         f"transform(slice(filter(by_count, x -> x.ipos >= s AND x.ipos < s + length), 1, {rare}), x -> x.ipos)"
     )
     starts = f"transform(sequence(0, size(iw) - length), s -> struct(s AS start, {need} AS need))"
-    return found.select("ik", "item", "iw", "length", F.expr(starts).alias("starts"))
+    spans = found.select("ik", "item", "iw", "length", F.expr(starts).alias("starts"))
+    return spans.withColumn("least_need", F.expr("array_min(transform(starts, x -> size(x.need)))"))
 
 
 def rare_hits(index: DataFrame, spans: DataFrame) -> DataFrame:
@@ -86,7 +87,8 @@ def phrase_matches(docs: DataFrame, hits: DataFrame, spans: DataFrame) -> DataFr
     """(d, h, item, start, length): exact places of windows in documents, from 0."""
     diagonals = hits.groupBy("d", "h", "ik", "shift").agg(F.collect_set("ipos").alias("seen"))
     all_there = "exists(starts, x -> size(array_except(x.need, seen)) = 0)"
-    likely = diagonals.join(spans, "ik").filter(all_there).select(
+    # most diagonals have one chance hit: fewer than any window needs
+    likely = diagonals.join(spans, "ik").filter("size(seen) >= least_need").filter(all_there).select(
         F.col("d").alias("cd"), F.col("h").alias("ch"), "item", "iw", "length", "shift"
     )
     texts = docs.join(likely, same_document("d", "h", "cd", "ch")).select(
@@ -136,14 +138,14 @@ def summary(matches: DataFrame) -> DataFrame:
 
 def contamination(
     documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-    item_key: str = "item_id", item_text: str = "text", window: int = WINDOW,
+    item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, near: bool = True,
 ) -> DataFrame:
     """``documents`` with ``n_words``, ``n_hit``, ``items``, ``near_items`` and ``contaminated``.
 
     ``items`` are those with a window of ``window`` consecutive words (or all
     words of a shorter item) in the document, ``n_hit`` the document words
     inside such windows, ``near_items`` the items whose rarest words stand close
-    together. Null and empty texts have no words and no matches; documents of
+    together (not looked for without ``near``). Null and empty texts have no words and no matches; documents of
     equal key and text are judged alike, each its own row; an item without
     words matches nothing. Columns of the new names are replaced.
     """
@@ -153,12 +155,18 @@ def contamination(
     spans = stored(windows(items, index, window), "item-windows")
     hits = stored(rare_hits(index, spans), "rare-postings")
     matches = stored(phrase_matches(docs, hits, spans), "phrase-matches")
-    near = proximity_matches(hits, spans).groupBy("d", "h").agg(F.array_sort(F.collect_set("item")).alias("near_items"))
-    found = summary(matches).join(
-        near.withColumnsRenamed({"d": "xd", "h": "xh"}), same_document("d", "h", "xd", "xh"), "full"
-    ).select(
-        F.coalesce("d", "xd").alias("fd"), F.coalesce("h", "xh").alias("fh"), "n_hit", "items", "near_items"
-    )
+    exact = summary(matches)
+    if near:
+        close = proximity_matches(hits, spans).groupBy(F.col("d").alias("xd"), F.col("h").alias("xh")).agg(
+            F.array_sort(F.collect_set("item")).alias("near_items")
+        )
+        found = exact.join(close, same_document("d", "h", "xd", "xh"), "full").select(
+            F.coalesce("d", "xd").alias("fd"), F.coalesce("h", "xh").alias("fh"), "n_hit", "items", "near_items"
+        )
+    else:
+        found = exact.select(
+            F.col("d").alias("fd"), F.col("h").alias("fh"), "n_hit", "items", F.lit(None).cast("array<string>").alias("near_items")
+        )
     new = ("n_words", "n_hit", "items", "near_items", "contaminated")
     own = documents.select(
         F.struct(*documents.columns).alias("row"), F.col(key).alias("d"),

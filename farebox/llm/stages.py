@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     found = contamination.contamination(
-        docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), table(spark, sf_dir, "benchmark")
+        docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), table(spark, sf_dir, "benchmark"), near=False
     )
     return found.filter("NOT contaminated").select("row.*")
 
