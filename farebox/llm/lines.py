@@ -19,26 +19,27 @@ from farebox.llm.frames import stored
 
 DEPTH, MIN_DOCS, MIN_CONTEXTS, AGREE, CONSTANT = 3, 20, 10, 0.8, 0.5
 FIELD = "<*>"
+BLANK = " \t\x0b\f\r"  # a line of these only has no token
 
 
 def tokens(line: Column) -> Column:
-    """The line's tokens, those with a digit as one variable field."""
-    split = F.array_remove(F.split(line, r"[ \t\x0B\f\r]+"), "")
-    return F.transform(split, lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x))
+    """The line's tokens, cut at single spaces; those with a digit are one variable field."""
+    return F.transform(F.split(line, " "), lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x))
 
 
 def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFrame:
     """(d, h, pos, line, leaf, before, after): the lines with a token, and the starts of their neighbours."""
     docs = df.select(F.col(key).alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.split(F.col(text), "\n").alias("l"))
-    split = r"[ \t\x0B\f\r]+"
     pairs = docs.select("d", "h", F.posexplode(F.arrays_zip(
         F.col("l").alias("a"), F.expr("slice(l, 2, size(l))").alias("b"), F.expr("concat(array(CAST(NULL AS STRING)), slice(l, 1, size(l) - 1))").alias("c"),
     )).alias("pos", "ab"))
 
     def leaf(line: Column) -> Column:
-        parts = F.array_remove(F.split(line, split), "")
-        head = F.regexp_replace(F.array_join(F.slice(parts, 1, depth), " "), r"[^ ]*[0-9][^ ]*", FIELD)
-        return F.when(F.size(parts) > 0, F.xxhash64(F.size(parts), head))
+        # counted and cut without taking the line apart
+        size = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+        head = F.substring_index(line, " ", depth)
+        masked = F.when(head.rlike("[0-9]"), F.regexp_replace(head, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(head)
+        return F.when(F.trim(line, F.lit(BLANK)) != "", F.xxhash64(size, masked))
 
     def start(line: Column) -> Column:
         return F.when(line.isNotNull(), F.xxhash64(F.substring_index(line, " ", 2)))

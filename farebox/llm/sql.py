@@ -116,19 +116,17 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
 
-_SPLIT = r"[ \t\x0B\f\r]+"
-
 LINES = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
 ), raw AS (
-  SELECT r, doc_id, i - 1 AS pos, list_filter(string_split_regex(l[i], '{_SPLIT}'), lambda x: x <> '') AS parts,
+  SELECT r, doc_id, i - 1 AS pos, string_split(l[i], ' ') AS parts, trim(l[i], chr(9) || chr(11) || chr(12) || chr(13) || ' ') <> '' AS filled,
     CASE WHEN i < len(l) THEN array_to_string(string_split(l[i + 1], ' ')[1:2], ' ') END AS after,
     CASE WHEN i > 1 THEN array_to_string(string_split(l[i - 1], ' ')[1:2], ' ') END AS before
   FROM docs, unnest(range(1, len(l) + 1)) AS u(i)
 ), lines AS (
   SELECT r, doc_id, pos, before, after, n, list_transform(parts, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.FIELD}' ELSE x END) AS tokens
-  FROM (SELECT *, len(parts) AS n FROM raw) WHERE n > 0
+  FROM (SELECT *, len(parts) AS n FROM raw) WHERE filled
 ), leaf_lines AS (
   SELECT *, array_to_string(tokens[1:{lines.DEPTH}], ' ') AS head, tokens[{lines.DEPTH + 1}:] AS rest FROM lines
 ), leaves AS (
