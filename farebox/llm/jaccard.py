@@ -27,7 +27,7 @@ from farebox.llm.batches import Words, chunks, mixed, utf8, window_hash
 from farebox.llm.frames import mapped, stored
 from farebox.llm.substrings import NONE, keyed
 
-SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
+SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
 TOKENS = 32
 LIMIT, BLOCK, LAST_LEVEL = 2000, 512, 6
 _STEP = np.uint64(0x9E3779B97F4A7C15)
