@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm import bpe, contamination, jaccard, licenses, lines, quality, sql, substrings, suffixes, urls, warc
-from farebox.llm.frames import table
+from farebox.llm.frames import stored, table
 from farebox.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,9 +74,9 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and assembled."""
     path = work_dir(spark, "warc")
-    warc.write_archives(warc.captures(table(spark, sf_dir, "pages")), path)
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
     # of the contents only the short metadata is asked for
-    found = warc.read_archives(spark, path, payload=False)
+    found = stored(warc.read_archives(spark, path, payload=False), "warc-records")
     return warc.page_table(warc.assemble(found))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -46,6 +47,17 @@ def with_columns(df: DataFrame, source: str, added: dict[str, str], start: Calla
     return mapped(df, run, schema)
 
 
+@contextmanager
+def no_shuffle_files_left(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside are removed when each is done."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there, executors may be lost.
 
@@ -53,12 +65,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with no_shuffle_files_left(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

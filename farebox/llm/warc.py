@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from farebox.llm.frames import mapped
+from farebox.llm.frames import mapped, no_shuffle_files_left
 
 ARCHIVE_BYTES = 8 << 20
 LEAST_REVISIT = 1000
@@ -50,11 +50,14 @@ def _record(kind: str, record_id: Column, body: Column, headers: dict[str, Colum
     return F.concat(*lines)
 
 
-def captures(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def captures(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", parts: int | None = None
+) -> DataFrame:
     """Each page with its digest and, for a revisit, the page and record it refers to.
 
     Of equal payloads of at least 1000 bytes the one with the largest key is
-    the response and the others revisit it; a null key is below all others.
+    the response and the others revisit it; a null key is below all others. The
+    payloads are shuffled once, by record, into ``parts`` parts.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     base = pages.select(
@@ -67,8 +70,12 @@ def captures(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         .agg(F.max(F.struct("page_id", "record", "url")).alias("o"), F.count("*").alias("copies"))
         .filter("copies > 1").select("digest", "o")
     )
-    again = (F.col("n_bytes") >= LEAST_REVISIT) & F.col("o").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("o.page_id"))
-    return base.join(original, "digest", "left").withColumn("o", F.when(again, F.col("o")))
+    keys = base.select("record", "page_id", "digest", "n_bytes").filter(F.col("n_bytes") >= LEAST_REVISIT)
+    again = ~F.col("page_id").eqNullSafe(F.col("o.page_id"))
+    revisits = keys.join(original, "digest").filter(again).select("record", "o").distinct()
+    if parts is None:
+        return base.join(revisits, "record", "left")
+    return base.repartition(parts, "record").join(revisits.repartition(parts, "record"), "record", "left")
 
 
 def records(found: DataFrame) -> DataFrame:
@@ -107,17 +114,20 @@ def records(found: DataFrame) -> DataFrame:
     return found.select(F.array(main, request, metadata).alias("records"), "n_bytes")
 
 
-def write_archives(found: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """The captures as gzip archives of about ``archive_bytes`` before compression.
+def write_archives(
+    pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> None:
+    """The captures of ``pages`` as gzip archives of about ``archive_bytes`` before compression.
 
     The number of archives follows the payload bytes; captures are dealt to them
     at random by record, so a hot page does not swell one of them.
     """
-    total = found.agg(F.sum(F.col("n_bytes") + 1500)).first()[0] or 0
-    n = max(1, -(-int(total) // archive_bytes))
-    dealt = found.repartition(n, "record")
-    rows = records(dealt).select(F.explode("records").alias("value"))
-    rows.write.option("lineSep", END).option("compression", "gzip").text(path)
+    total = pages.agg(F.sum(F.coalesce(F.octet_length(html), F.lit(0)).cast("bigint") + 1500)).first()[0] or 0
+    found = captures(pages, key, url, html, parts=max(1, -(-int(total) // archive_bytes)))
+    rows = records(found).select(F.explode("records").alias("value"))
+    with no_shuffle_files_left(pages.sparkSession):
+        rows.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -161,7 +161,7 @@ def test_warc_round_trip(spark, tmp_path):
         (5, "http://d.example/\r\nX: 1", "x"), (6, "u", None), (None, "n", long), (None, "n", "short"), (7, "u", "y" * 2000), (7, "u", "y" * 2000),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    warc.write_archives(warc.captures(pages), f"{tmp_path}/w", archive_bytes=4000)
+    warc.write_archives(pages, f"{tmp_path}/w", archive_bytes=4000)
     found = warc.read_archives(spark, f"{tmp_path}/w").cache()
     nested = warc.assemble(found)
     assert nested.filter("request IS NULL OR metadata IS NULL").count() == 0
@@ -178,7 +178,7 @@ def test_warc_round_trip(spark, tmp_path):
 
 def test_warc_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    warc.write_archives(warc.captures(pages), f"{tmp_path}/w")
+    warc.write_archives(pages, f"{tmp_path}/w")
     assert warc.page_table(warc.assemble(warc.read_archives(spark, f"{tmp_path}/w"))).count() == 0
 
 
