@@ -229,6 +229,11 @@ def page_table(nested: DataFrame) -> DataFrame:
         F.col("capture_id").alias("target"), F.col("page_id").alias("refers_to")
     )
     each = flat.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.join(originals, "target", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    # a response refers to nothing; its own id spreads such rows instead of a null that gathers them
+    spread = each.withColumn("own", F.coalesce("target", "capture_id")).join(
+        originals.withColumnRenamed("target", "own"), "own", "left"
+    )
+    return spread.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type",
+        F.when(F.col("target").isNotNull(), F.col("refers_to")).alias("refers_to"),
     )
