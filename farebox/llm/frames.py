@@ -72,10 +72,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def hidden(name: str, df: DataFrame) -> str:
-    """A column name that ``df`` does not have."""
-    while name in df.columns:
-        name += "_"
-    return name

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.batches import Words, chunks, covered, per_text, utf8
-from farebox.llm.frames import hidden, with_columns
+from farebox.llm.frames import with_columns
 
 WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -258,6 +258,13 @@ def train(
     return fit(x, y, rising, **options)
 
 
+def _verdict(counts: np.ndarray, features: np.ndarray, trees: Trees, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether a base rule is broken, the probability of low quality, and whether the row is kept."""
+    low = 1 / (1 + np.exp(-trees.score(features)))
+    failed = (counts[:, 0] < 20) | (100 * counts[:, 4] > 30 * counts[:, 0])
+    return failed, low, ~failed & (low <= threshold)
+
+
 def judge(df: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """``df`` with ``COUNTS``, ``base_failed``, ``low_quality`` (0 to 1) and ``kept``.
 
@@ -270,12 +277,8 @@ def judge(df: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.
     def start():
         def run(column: pa.Array) -> list[pa.Array]:
             counts, features = _batch(column)
-            low = 1 / (1 + np.exp(-trees.score(features)))
-            failed = (counts[:, 0] < 20) | (100 * counts[:, 4] > 30 * counts[:, 0])
-            return [
-                *(pa.array(counts[:, i]) for i in range(len(COUNTS))),
-                pa.array(failed), pa.array(low), pa.array(~failed & (low <= threshold)),
-            ]
+            verdict = _verdict(counts, features, trees, threshold)
+            return [*(pa.array(counts[:, i]) for i in range(len(COUNTS))), *map(pa.array, verdict)]
 
         return run
 
@@ -285,6 +288,14 @@ def judge(df: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.
 
 def keep_good(df: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` that :func:`judge` keeps, with their own columns only."""
-    source = hidden("judged_text", df)
-    judged = judge(df.select(F.struct(*df.columns).alias("row"), F.col(text).alias(source)), trees, source, threshold)
-    return judged.filter("kept").select("row.*")
+    rows = df.select(F.struct(*df.columns).alias("row"))
+    at = df.columns.index(text)
+
+    def start():
+        def run(column: pa.Array) -> list[pa.Array]:
+            counts, features = _batch(column.field(at))
+            return [pa.array(_verdict(counts, features, trees, threshold)[2])]
+
+        return run
+
+    return with_columns(rows, "row", {"kept": "boolean"}, start).filter("kept").select("row.*")
