@@ -288,3 +288,24 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         return run
 
     return with_columns(df, ids, {out: "string"}, start)
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` encoded and decoded again by one worker per task; as :func:`encode` and then :func:`decode`."""
+    v = Vocabulary(path)
+
+    def start():
+        encoder = Encoder(v)
+
+        def run(column: pa.Array) -> list[pa.Array]:
+            packed, decoded = [], []
+            texts = [x or "" for x in column.to_pylist()]
+            for lo, hi in chunks(texts):
+                part = encoder.encode(texts[lo:hi])
+                packed += part
+                decoded += decode_ids(part, v)
+            return [pa.array(packed, pa.binary()), pa.array(decoded, pa.string())]
+
+        return run
+
+    return with_columns(df, text, {ids: "binary", out: "string"}, start)

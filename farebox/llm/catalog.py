@@ -97,10 +97,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
-    path = tokenizer_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(docs, tokenizer_path()).select(
         "doc_id",
         F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

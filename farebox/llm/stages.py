@@ -51,9 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its token ids, which decode to the text again."""
-    path = tokenizer_path()
-    ids = bpe.decode(bpe.encode(docs, path), path)
-    return ids.select(
+    return bpe.round_trip(docs, tokenizer_path()).select(
         *docs.columns,
         "ids",
         F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),

@@ -250,7 +250,9 @@ def test_bpe_edges(edges, nothing):
     both = bpe.decode(bpe.encode(edges, path), path)
     assert both.filter("decoded <> coalesce(text, '')").count() == 0 and both.count() == len(ROWS)
     assert both.filter("coalesce(text, '') = '' AND octet_length(ids) > 0").count() == 0
-    assert bpe.encode(nothing, path).count() == 0
+    once = bpe.round_trip(edges, path)
+    assert pairs(once, "doc_id", "ids", "decoded") == pairs(both, "doc_id", "ids", "decoded")
+    assert bpe.encode(nothing, path).count() == 0 and bpe.round_trip(nothing, path).count() == 0
     broken = np.array([162], "<u4").tobytes()
     assert [*bpe.decode_ids([broken], bpe.Vocabulary(path))] == ["\ufffd"]
 
