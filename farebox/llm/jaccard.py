@@ -301,11 +301,12 @@ def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
     recall: float = RECALL, k: int = SHINGLE, limit: int = LIMIT, block: int = BLOCK, last_level: int = LAST_LEVEL,
 ) -> DataFrame:
-    """(d, h, class_id, n_links, n_copies): a row per row of ``df``.
+    """(d, h, root, class_id, n_links, n_copies): a row per row of ``df``.
 
     ``n_links`` counts the other documents with a Jaccard similarity of
     ``similarity`` or more, copies included; ``class_id`` is the smallest key of
-    all documents joined by links. Shingles are ``k`` words cut at ASCII white
+    all documents joined by links. ``root`` tells classes apart: the smallest
+    (key, hash of the text), as keys may be null or repeated. Shingles are ``k`` words cut at ASCII white
     space. Null and empty texts have no shingle, hence no links, and are their
     own class; a null key stands before all others. The last level's buckets
     are compared whatever their size.
@@ -332,10 +333,10 @@ def near_duplicates(
         counts.select(F.struct("d", "h").alias("rep"), "links"), "rep", "left"
     ).join(roots.withColumnRenamed("v", "rep"), "rep", "left").select(
         *(F.col(c).alias(f"c_{c}") for c in same), "w",
-        F.coalesce("root", "rep")["d"].alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"),
+        F.coalesce("root", "rep").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"),
     )
     matched = rows.select("d", "h", *same).join(judged, [F.col(c) == F.col(f"c_{c}") for c in same])
-    return matched.select("d", "h", "class_id", F.col("n_links").cast("bigint"), F.col("w").cast("bigint").alias("n_copies"))
+    return matched.select("d", "h", "root", F.col("root.d").alias("class_id"), F.col("n_links").cast("bigint"), F.col("w").cast("bigint").alias("n_copies"))
 
 
 def classes_of(df: DataFrame, key: str = "doc_id", text: str = "text", **options: float) -> DataFrame:
@@ -360,8 +361,8 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options:
     """``df`` with one row of each class: that with the smallest key (of equal keys, the smallest text hash)."""
     found = stored(near_duplicates(df, key, text, **options), "near-duplicates")
     repeated = found.groupBy("d", "h").agg(F.count("*").alias("c")).filter("c > 1")
-    first = found.groupBy("class_id").agg(F.min(F.struct("d", "h")).alias("first"))
-    gone = found.join(first, "class_id").filter(F.struct("d", "h") != F.col("first")).select(F.col("d").alias("pd"), F.col("h").alias("ph")).distinct()
+    first = found.groupBy("root").agg(F.min(F.struct("d", "h")).alias("first"))
+    gone = found.join(first, "root").filter(F.struct("d", "h") != F.col("first")).select(F.col("d").alias("pd"), F.col("h").alias("ph")).distinct()
     docs = df.select(
         F.struct(*df.columns).alias("row"), F.coalesce(F.col(key).cast("bigint"), F.lit(NONE)).alias("d"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"),

@@ -75,6 +75,15 @@ def test_one_of_each_group_stays(edges, nothing):
     assert jaccard.classes_of(nothing).count() == 0 and jaccard.keep_one(nothing).count() == 0
 
 
+def test_null_and_repeated_ids_do_not_join_classes(spark):
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abce")
+    rows = [(None, a), (None, b), (1, a), (2, b), (3, c), (3, e), (4, e)]
+    df = brute.edge_table(spark, rows)
+    kept = pairs(jaccard.keep_one(df), "doc_id", "text")
+    assert kept == ordered([(None, a), (None, b), (3, c), (3, e)])
+    assert pairs(jaccard.classes_of(df), "doc_id", "class_id", "n_links") == ordered(brute.near_duplicates(rows))
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs just above the threshold in a crowd of near copies."""
     draw = random.Random(5)
