@@ -4,7 +4,9 @@ A line's leaf in the tree is its number of tokens and its first ``DEPTH``
 tokens; a token with a digit is a variable field. Within a leaf, a place is
 constant if one token fills it in at least half of the leaf's lines, and a
 variable field otherwise. A leaf's lines that agree with enough of its constants
-follow its template. A template that recurs across documents and in different
+follow its template. A line with too few constants to tell it from any other
+(all fields, a single token with a digit, three common leading words) is a
+template of its own, which only the same line follows. A template that recurs across documents and in different
 surroundings is boilerplate: its lines are dropped but for the first.
 
 Leaves are counted before any line is split into its tokens, so only lines of
@@ -22,13 +24,19 @@ FIELD = "<*>"
 BLANK = " \t\x0b\f\r"  # a line of these only has no token
 
 
+def normal(line: Column) -> Column:
+    """The line with one space for each run of white space and none at its ends."""
+    spaced = F.regexp_replace(F.trim(line, F.lit(BLANK)), "[ \\t\\x0B\\f\\r]+", " ")
+    return F.when(line.rlike("[\\t\\x0B\\f\\r]|  |^ | $"), spaced).otherwise(line)
+
+
 def tokens(line: Column) -> Column:
-    """The line's tokens, cut at single spaces; those with a digit are one variable field."""
+    """The tokens of a :func:`normal` line; those with a digit are one variable field."""
     return F.transform(F.split(line, " "), lambda x: F.when(x.rlike("[0-9]"), FIELD).otherwise(x))
 
 
 def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFrame:
-    """(d, h, pos, line, leaf, before, after): the lines with a token, and the starts of their neighbours."""
+    """(d, h, pos, line, leaf, before, after): the :func:`normal` lines with a token, and the starts of their neighbours."""
     docs = df.select(F.col(key).alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.split(F.col(text), "\n").alias("l"))
     pairs = docs.select("d", "h", F.posexplode(F.arrays_zip(
         F.col("l").alias("a"), F.expr("slice(l, 2, size(l))").alias("b"), F.expr("concat(array(CAST(NULL AS STRING)), slice(l, 1, size(l) - 1))").alias("c"),
@@ -39,16 +47,16 @@ def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFram
         size = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
         head = F.substring_index(line, " ", depth)
         masked = F.when(head.rlike("[0-9]"), F.regexp_replace(head, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(head)
-        return F.when(F.trim(line, F.lit(BLANK)) != "", F.xxhash64(size, masked))
+        return F.when(line != "", F.xxhash64(size, masked))
 
     def start(line: Column) -> Column:
         return F.when(line.isNotNull(), F.xxhash64(F.substring_index(line, " ", 2)))
 
     out = pairs.select(
-        "d", "h", "pos", F.col("ab.a").alias("line"), leaf(F.col("ab.a")).alias("leaf"),
+        "d", "h", "pos", normal(F.col("ab.a")).alias("line"),
         start(F.col("ab.c")).alias("before"), start(F.col("ab.b")).alias("after"),
     )
-    return out.filter("leaf IS NOT NULL")
+    return out.withColumn("leaf", leaf(F.col("line"))).filter("leaf IS NOT NULL")
 
 
 def recurring_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -70,11 +78,25 @@ def templates(lines: DataFrame, depth: int = DEPTH, constant: float = CONSTANT)
     return own.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "token"))), lambda x: x["token"]).alias("template"))
 
 
+def telling(template: Column, rest: Column, depth: int = DEPTH) -> Column:
+    """Whether a line's constants tell it from ordinary lines.
+
+    One and half of its tokens at least are constants, leading fields not
+    counted; and if its variable places hold other words than fields, more
+    places behind the leading ones are constant.
+    """
+    leading = F.size(F.filter(F.slice("tokens", 1, depth), lambda x: x != FIELD))
+    constants = F.size(F.filter(template, lambda x: x != FIELD))
+    words = F.size(F.filter(F.zip_with(rest, template, lambda a, t: (t == FIELD) & (a != FIELD)), lambda x: x))
+    real = leading + constants
+    return (real > 0) & (2 * real >= F.size("tokens")) & ((words == 0) | (constants > words))
+
+
 def following(lines: DataFrame, found: DataFrame, depth: int = DEPTH, agree: float = AGREE) -> DataFrame:
-    """The lines that follow their leaf's template.
+    """The lines with the ``unit`` they follow: their leaf's template, or themselves.
 
-    They agree with at least ``agree`` of its constants, and leading tokens and
-    constants make up at least half of it. A line no longer than the leading
+    A line follows the template if it agrees with at least ``agree`` of its
+    constants and these are :func:`telling`. A line no longer than the leading
     tokens is its own template.
     """
     rest = F.expr(f"slice(tokens, {depth + 1}, size(tokens))")
@@ -82,9 +104,8 @@ def following(lines: DataFrame, found: DataFrame, depth: int = DEPTH, agree: flo
     joined = joined.withColumn("template", F.coalesce("template", F.array().cast("array<string>")))
     constants = F.expr(f"size(filter(template, t -> t <> '{FIELD}'))")
     same = F.expr(f"size(filter(zip_with(rest, template, (a, t) -> a = t AND t <> '{FIELD}'), x -> x))")
-    return joined.filter(
-        (same >= agree * constants) & (2 * (F.lit(depth) + constants) >= F.size("tokens"))
-    )
+    follows = (same >= agree * constants) & (F.size("tokens") > 1) & telling(F.col("template"), F.col("rest"), depth)
+    return joined.withColumn("unit", F.when(follows, F.xxhash64("leaf")).otherwise(F.xxhash64("leaf", "own"))).drop("rest", "template")
 
 
 def dropped_lines(
@@ -95,18 +116,18 @@ def dropped_lines(
     lines = lines_of(df, key, text, depth)
     leaves = stored(recurring_leaves(lines, min_docs), "leaves")
     taken = stored(
-        lines.join(leaves, "leaf").withColumn("tokens", tokens(F.col("line"))).drop("line"), "leaf-lines"
+        lines.join(leaves, "leaf").withColumns({"tokens": tokens(F.col("line")), "own": F.xxhash64("line")}).drop("line"), "leaf-lines"
     )
-    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "leaf", "before", "after"), "template-lines")
-    by_doc = members.groupBy("leaf", "d", "h").agg(F.min("pos").alias("pos"))
-    spread = by_doc.groupBy("leaf").agg(
+    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "unit", "before", "after"), "template-lines")
+    by_doc = members.groupBy("unit", "d", "h").agg(F.min("pos").alias("pos"))
+    spread = by_doc.groupBy("unit").agg(
         F.count("*").alias("docs"), F.min(F.struct("d", "h", "pos")).alias("first")
     ).filter(F.col("docs") >= min_docs)
     sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("start")) for c in ("before", "after")))).alias("context")
-    each = members.select("leaf", sides).groupBy("leaf", "context").agg(F.lit(1).alias("one"))
-    around = each.groupBy("leaf", "context.side").agg(F.count("*").alias("n")).groupBy("leaf").agg(F.max("n").alias("contexts"))
-    chosen = spread.join(around.filter(F.col("contexts") >= min_contexts), "leaf").select("leaf", "first")
-    out = members.join(chosen, "leaf")
+    each = members.select("unit", sides).groupBy("unit", "context").agg(F.lit(1).alias("one"))
+    around = each.groupBy("unit", "context.side").agg(F.count("*").alias("n")).groupBy("unit").agg(F.max("n").alias("contexts"))
+    chosen = spread.join(around.filter(F.col("contexts") >= min_contexts), "unit").select("unit", "first")
+    out = members.join(chosen, "unit")
     if keep_first:
         out = out.filter(~F.struct("d", "h", "pos").eqNullSafe(F.col("first")))
     return out.select("d", "h", "pos")

@@ -54,6 +54,28 @@ def test_lines_of_copies_are_not_boilerplate(spark):
     assert out.filter("n_dropped > 0").count() == 0
 
 
+def dropped(spark, rows):
+    out = lines.drop_recurring_lines(brute.edge_table(spark, rows))
+    return {r.doc_id: r.n_dropped for r in out.collect()}
+
+
+def letters(i):
+    return chr(97 + i // 26) + chr(97 + i % 26)
+
+
+@pytest.mark.parametrize("line", [
+    "第{i}段は一つの別の文です", "x{i}=2;", "    y{i}=2;", "a{x}\t{i}\tb{x}", "{i} {i}.5", "{i} 7 8 9 1 {i}", "we went to {x}", "we went to {x} and{x} too{x}",
+])
+def test_different_lines_are_no_template(spark, line):
+    rows = [(i, f"own {letters(i)}\n{line.format(i=i, x=letters(i))}\nend {letters(i)}") for i in range(60)]
+    assert set(dropped(spark, rows).values()) == {0}
+
+
+def test_lines_that_recur_themselves_are_dropped(spark):
+    rows = [(i, f"own {letters(i)}\n2024\nend {letters(i)}\n1  2 \t3 4\r\nlast {letters(i)}") for i in range(60)]
+    assert [dropped(spark, rows)[i] for i in (0, 1, 59)] == [0, 2, 2]
+
+
 def test_lines_edges(edges, nothing):
     out = lines.drop_recurring_lines(edges, min_docs=2, min_contexts=1)
     assert out.count() == len(ROWS) and extra_kept(out, ("kept_text",))
