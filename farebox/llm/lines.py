@@ -7,7 +7,9 @@ variable field otherwise. A leaf's lines that agree with enough of its constants
 follow its template. A line with too few constants to tell it from any other
 (all fields, a single token with a digit, three common leading words) is a
 template of its own, which only the same line follows. A template that recurs across documents and in different
-surroundings is boilerplate: its lines are dropped but for the first.
+surroundings is boilerplate: its lines are dropped but for the first. The
+surroundings of a line are what its document holds outside recurring lines,
+wherever that stands, so blank lines and neighbours in a block do not matter.
 
 Leaves are counted before any line is split into its tokens, so only lines of
 recurring leaves are ever taken apart, and every count is made by grouping.
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from farebox.llm.frames import stored
 
 DEPTH, MIN_DOCS, MIN_CONTEXTS, AGREE, CONSTANT = 3, 20, 10, 0.8, 0.5
+OWN_SHARE = 1 / 9  # two documents that share more than the other 8 / 9 have a Jaccard similarity over 0.8
 FIELD = "<*>"
 BLANK = " \t\x0b\f\r"  # a line of these only has no token
 
@@ -36,11 +39,9 @@ def tokens(line: Column) -> Column:
 
 
 def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFrame:
-    """(d, h, pos, line, leaf, before, after): the :func:`normal` lines with a token, and the starts of their neighbours."""
+    """(d, h, pos, line, leaf): the :func:`normal` lines with a token."""
     docs = df.select(F.col(key).alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.split(F.col(text), "\n").alias("l"))
-    pairs = docs.select("d", "h", F.posexplode(F.arrays_zip(
-        F.col("l").alias("a"), F.expr("slice(l, 2, size(l))").alias("b"), F.expr("concat(array(CAST(NULL AS STRING)), slice(l, 1, size(l) - 1))").alias("c"),
-    )).alias("pos", "ab"))
+    each = docs.select("d", "h", F.posexplode("l").alias("pos", "line")).withColumn("line", normal(F.col("line")))
 
     def leaf(line: Column) -> Column:
         # counted and cut without taking the line apart
@@ -49,14 +50,7 @@ def lines_of(df: DataFrame, key: str, text: str, depth: int = DEPTH) -> DataFram
         masked = F.when(head.rlike("[0-9]"), F.regexp_replace(head, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(head)
         return F.when(line != "", F.xxhash64(size, masked))
 
-    def start(line: Column) -> Column:
-        return F.when(line.isNotNull(), F.xxhash64(F.substring_index(line, " ", 2)))
-
-    out = pairs.select(
-        "d", "h", "pos", normal(F.col("ab.a")).alias("line"),
-        start(F.col("ab.c")).alias("before"), start(F.col("ab.b")).alias("after"),
-    )
-    return out.withColumn("leaf", leaf(F.col("line"))).filter("leaf IS NOT NULL")
+    return each.withColumn("leaf", leaf(F.col("line"))).filter("leaf IS NOT NULL")
 
 
 def recurring_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -108,6 +102,31 @@ def following(lines: DataFrame, found: DataFrame, depth: int = DEPTH, agree: flo
     return joined.withColumn("unit", F.when(follows, F.xxhash64("leaf")).otherwise(F.xxhash64("leaf", "own"))).drop("rest", "template")
 
 
+def weight() -> tuple[Column, Column]:
+    """Bytes and digest of a group's lines; half of each hash, so that no sum overflows."""
+    return F.sum("bytes").alias("bytes"), F.sum(F.shiftrightunsigned("own", 32)).alias("digest")
+
+
+def surroundings(lines: DataFrame, recurring: DataFrame, own_share: float = OWN_SHARE) -> DataFrame:
+    """(od, oh, around): a digest of each document's lines outside recurring ones.
+
+    Documents with less than ``own_share`` outside are as good as copies of
+    each other and have none.
+    """
+    inside = recurring.groupBy(F.col("d").alias("od"), F.col("h").alias("oh")).agg(
+        F.sum("bytes").alias("in_bytes"), F.sum("digest").alias("in_digest")
+    )
+    whole = lines.select("d", "h", *measures()).groupBy("d", "h").agg(*weight())
+    both = whole.join(inside, (F.col("h") == F.col("oh")) & F.col("d").eqNullSafe(F.col("od")))
+    return both.filter(F.col("bytes") - F.col("in_bytes") >= own_share * F.col("bytes")).select(
+        "od", "oh", (F.col("digest") - F.col("in_digest")).alias("around")
+    )
+
+
+def measures() -> tuple[Column, Column]:
+    return F.xxhash64("line").alias("own"), F.octet_length("line").cast("bigint").alias("bytes")
+
+
 def dropped_lines(
     df: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
     min_docs: int = MIN_DOCS, min_contexts: int = MIN_CONTEXTS, keep_first: bool = True,
@@ -116,17 +135,18 @@ def dropped_lines(
     lines = lines_of(df, key, text, depth)
     leaves = stored(recurring_leaves(lines, min_docs), "leaves")
     taken = stored(
-        lines.join(leaves, "leaf").withColumns({"tokens": tokens(F.col("line")), "own": F.xxhash64("line")}).drop("line"), "leaf-lines"
+        lines.join(leaves, "leaf").select("d", "h", "pos", "leaf", tokens(F.col("line")).alias("tokens"), *measures()), "leaf-lines"
     )
-    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "unit", "before", "after"), "template-lines")
-    by_doc = members.groupBy("unit", "d", "h").agg(F.min("pos").alias("pos"))
-    spread = by_doc.groupBy("unit").agg(
+    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "unit", "own", "bytes"), "template-lines")
+    by_doc = members.groupBy("unit", "d", "h").agg(F.min("pos").alias("pos"), *weight())
+    spread = stored(by_doc.groupBy("unit").agg(
         F.count("*").alias("docs"), F.min(F.struct("d", "h", "pos")).alias("first")
-    ).filter(F.col("docs") >= min_docs)
-    sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("start")) for c in ("before", "after")))).alias("context")
-    each = members.select("unit", sides).groupBy("unit", "context").agg(F.lit(1).alias("one"))
-    around = each.groupBy("unit", "context.side").agg(F.count("*").alias("n")).groupBy("unit").agg(F.max("n").alias("contexts"))
-    chosen = spread.join(around.filter(F.col("contexts") >= min_contexts), "unit").select("unit", "first")
+    ).filter(F.col("docs") >= min_docs).select("unit", "first"), "recurring-units")
+    recurring = stored(by_doc.join(spread.select("unit"), "unit").select("unit", "d", "h", "bytes", "digest"), "recurring-lines")
+    around = surroundings(lines, recurring)
+    each = recurring.select("unit", "d", "h").join(around, (F.col("h") == F.col("oh")) & F.col("d").eqNullSafe(F.col("od")))
+    contexts = each.groupBy("unit", "around").agg(F.lit(1).alias("one")).groupBy("unit").agg(F.count("*").alias("contexts"))
+    chosen = spread.join(contexts.filter(F.col("contexts") >= min_contexts), "unit").select("unit", "first")
     out = members.join(chosen, "unit")
     if keep_first:
         out = out.filter(~F.struct("d", "h", "pos").eqNullSafe(F.col("first")))
@@ -140,9 +160,9 @@ def drop_recurring_lines(
     """``df`` with ``kept_text``, ``n_lines`` and ``n_dropped``.
 
     Lines are cut at line feeds; lines without a token are never dropped. A
-    template is dropped if its lines stand in ``min_docs`` documents or more and
-    next to ``min_contexts`` different lines or more, on either side (copies of
-    one document share theirs); with ``keep_first`` the line with the smallest key,
+    template is dropped if its lines stand in ``min_docs`` documents or more, of
+    which ``min_contexts`` or more differ in what they hold outside recurring
+    lines (copies of one document do not); with ``keep_first`` the line with the smallest key,
     hash of its text and place stays. A null text has no lines and stays null;
     an empty one has one. Rows that repeat a key and text are one document and
     lose the same lines. Columns of the new names are replaced.

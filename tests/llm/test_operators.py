@@ -71,6 +71,19 @@ def test_different_lines_are_no_template(spark, line):
     assert set(dropped(spark, rows).values()) == {0}
 
 
+def test_lines_of_blocks_and_between_blank_lines_are_dropped(spark):
+    block = ["We use cookies on this site", "Read our notice to learn more", "Accept all of them or none"]
+    rows = [(i, "\n\n".join([f"own {letters(i)} text{letters(i)} of{letters(i)} some length{letters(i)}", *block])) for i in range(40)]
+    rows += [(100 + i, "\n".join([*block, f"a{letters(i)} text{letters(i)} with{letters(i)} words of its own"])) for i in range(40)]
+    got = dropped(spark, rows)
+    assert got.pop(0) == 0 and set(got.values()) == {3}
+
+
+def test_lines_of_near_copies_are_not_boilerplate(spark):
+    rows = [(i, "\n".join(f"line {chr(97 + j)} of the copied text" for j in range(12)) + f"\nseen by {letters(i)}") for i in range(40)]
+    assert set(dropped(spark, rows).values()) == {0}
+
+
 def test_lines_that_recur_themselves_are_dropped(spark):
     rows = [(i, f"own {letters(i)}\n2024\nend {letters(i)}\n1  2 \t3 4\r\nlast {letters(i)}") for i in range(60)]
     assert [dropped(spark, rows)[i] for i in (0, 1, 59)] == [0, 2, 2]
