@@ -4,7 +4,9 @@ A line's leaf in the tree is its number of tokens and its first ``DEPTH``
 tokens; a token with a digit is a variable field. Within a leaf, a place is
 constant if one token fills it in at least half of the leaf's lines, and a
 variable field otherwise. A leaf's lines that agree with enough of its constants
-follow its template. A line with too few constants to tell it from any other
+follow its template. The other lines of the leaf are grouped once more, by those
+of their tokens that recur at their place, so a leaf holds many templates.
+A line with too few constants to tell it from any other
 (all fields, a single token with a digit, three common leading words) is a
 template of its own, which only the same line follows. A template that recurs across documents and in different
 surroundings is boilerplate: its lines are dropped but for the first. The
@@ -30,7 +32,11 @@ BLANK = " \t\x0b\f\r"  # a line of these only has no token
 def normal(line: Column) -> Column:
     """The line with one space for each run of white space and none at its ends."""
     spaced = F.regexp_replace(F.trim(line, F.lit(BLANK)), "[ \\t\\x0B\\f\\r]+", " ")
-    return F.when(line.rlike("[\\t\\x0B\\f\\r]|  |^ | $"), spaced).otherwise(line)
+    # searched for byte by byte: most lines are normal, and a pattern takes several times as long
+    other = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | F.contains(line, F.lit("  "))
+    for c in BLANK[1:]:
+        other = other | F.contains(line, F.lit(c))
+    return F.when(other, spaced).otherwise(line)
 
 
 def tokens(line: Column) -> Column:
@@ -87,7 +93,7 @@ def telling(template: Column, rest: Column, depth: int = DEPTH) -> Column:
 
 
 def following(lines: DataFrame, found: DataFrame, depth: int = DEPTH, agree: float = AGREE) -> DataFrame:
-    """The lines with the ``unit`` they follow: their leaf's template, or themselves.
+    """The lines with the ``unit`` they follow: their leaf's template, or null.
 
     A line follows the template if it agrees with at least ``agree`` of its
     constants and these are :func:`telling`. A line no longer than the leading
@@ -99,7 +105,40 @@ def following(lines: DataFrame, found: DataFrame, depth: int = DEPTH, agree: flo
     constants = F.expr(f"size(filter(template, t -> t <> '{FIELD}'))")
     same = F.expr(f"size(filter(zip_with(rest, template, (a, t) -> a = t AND t <> '{FIELD}'), x -> x))")
     follows = (same >= agree * constants) & (F.size("tokens") > 1) & telling(F.col("template"), F.col("rest"), depth)
-    return joined.withColumn("unit", F.when(follows, F.xxhash64("leaf")).otherwise(F.xxhash64("leaf", "own"))).drop("rest", "template")
+    return joined.withColumn("unit", F.when(follows, F.xxhash64("leaf"))).drop("rest", "template")
+
+
+def minor_templates(lines: DataFrame, min_docs: int, depth: int = DEPTH) -> DataFrame:
+    """(form, minor): the template of each distinct row of tokens, null where it is not :func:`telling`.
+
+    A token is constant if ``min_docs`` lines of the leaf have it at its place.
+    """
+    forms = stored(lines.groupBy("leaf", "tokens").agg(F.count("*").alias("n")), "line-forms")
+    forms = forms.withColumn("form", F.xxhash64("leaf", "tokens")).filter(F.size("tokens") > depth)
+    rest = F.expr(f"slice(tokens, {depth + 1}, size(tokens))")
+    places = forms.select("form", "leaf", "n", F.posexplode(rest).alias("i", "token"))
+    frequent = places.filter(F.col("token") != FIELD).groupBy("leaf", "i", "token").agg(F.sum("n").alias("c")).filter(F.col("c") >= min_docs)
+    # a row per frequent token of a line: no longer than the line
+    held = places.join(frequent.select("leaf", "i", "token"), ["leaf", "i", "token"]).groupBy("form").agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "token"))).alias("held")
+    )
+    own = forms.join(held, "form").withColumn("rest", rest).withColumn(
+        "template", F.expr(f"transform(rest, (x, i) -> coalesce(try_element_at(held, i), '{FIELD}'))")
+    )
+    return own.filter(telling(F.col("template"), F.col("rest"), depth)).select("form", F.xxhash64("leaf", "template").alias("minor"))
+
+
+def units(lines: DataFrame, min_docs: int, depth: int = DEPTH) -> DataFrame:
+    """The lines with ``unit``: their leaf's template, else one below the leaf, else the line itself."""
+    judged = following(lines, templates(lines, depth), depth)
+    judged = stored(judged.withColumn("tokens", F.when(F.col("unit").isNull(), F.col("tokens"))), "leaf-members")
+    left = judged.filter("unit IS NULL")
+    if left.isEmpty():
+        return judged
+    named = left.withColumn("form", F.xxhash64("leaf", "tokens")).join(minor_templates(left, min_docs, depth), "form", "left").withColumn(
+        "unit", F.coalesce("minor", F.xxhash64("leaf", "own"))
+    )
+    return judged.filter("unit IS NOT NULL").unionByName(named.select(judged.columns))
 
 
 def weight() -> tuple[Column, Column]:
@@ -137,7 +176,7 @@ def dropped_lines(
     taken = stored(
         lines.join(leaves, "leaf").select("d", "h", "pos", "leaf", tokens(F.col("line")).alias("tokens"), *measures()), "leaf-lines"
     )
-    members = stored(following(taken, templates(taken, depth), depth).select("d", "h", "pos", "unit", "own", "bytes"), "template-lines")
+    members = stored(units(taken, min_docs, depth).select("d", "h", "pos", "unit", "own", "bytes"), "template-lines")
     by_doc = members.groupBy("unit", "d", "h").agg(F.min("pos").alias("pos"), *weight())
     spread = stored(by_doc.groupBy("unit").agg(
         F.count("*").alias("docs"), F.min(F.struct("d", "h", "pos")).alias("first")

@@ -84,6 +84,18 @@ def test_lines_of_near_copies_are_not_boilerplate(spark):
     assert set(dropped(spark, rows).values()) == {0}
 
 
+def test_a_leaf_holds_many_templates(spark):
+    """Three of like frequency, one with a word and a number that vary, among ordinary lines that start alike."""
+    kinds = [
+        "You can also find us in the yellow house by the river", "You can also write to our office for a printed price list",
+        "You can also reach {x} on line {i} from nine until late today",
+    ]
+    rows = [(i, f"own {letters(i)} some text{letters(i)}\n{kinds[i % 3].format(x=letters(i), i=i)}") for i in range(90)]
+    rows += [(100 + i, " ".join(["You can also", *(f"{w}{letters(i)}" for w in "pqrstuvwx")]) + f"\nown {letters(i)}") for i in range(90)]
+    got = dropped(spark, rows)
+    assert [sum(got[i] for i in range(k, 90, 3)) for k in range(3)] == [29, 29, 29] and sum(got.values()) == 87
+
+
 def test_lines_that_recur_themselves_are_dropped(spark):
     rows = [(i, f"own {letters(i)}\n2024\nend {letters(i)}\n1  2 \t3 4\r\nlast {letters(i)}") for i in range(60)]
     assert [dropped(spark, rows)[i] for i in (0, 1, 59)] == [0, 2, 2]
