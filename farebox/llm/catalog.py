@@ -56,6 +56,13 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_contamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document and, with them, the items whose rarest words stand close together."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "items", "near_items", "contaminated")
+
+
 def near_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose rarest words stand close together in a document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
         "op9_contamination": op9_contamination,
+        "op9_contamination_near": op9_contamination_near,
         "near_benchmark_items": near_benchmark_items,
         "op10_urls": op10_urls,
     }

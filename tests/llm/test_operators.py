@@ -336,6 +336,17 @@ def test_proximity(spark):
     assert got == {1: (False, ["7"]), 2: (False, []), 3: (True, ["7"])}
 
 
+def test_exact_and_near_items_in_one_query(spark, tmp_path):
+    phrase = " ".join(f"term{letters(i)}" for i in range(12))
+    texts = [(1, f"so {phrase} end"), (2, "red x green y y blue and more"), (3, "red " + "pad " * 90 + "green " + "pad " * 90 + "blue"), (None, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "red green blue"), (8, phrase)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = catalog.queries()["op9_contamination_near"](spark, str(tmp_path))
+    assert pairs(out, "doc_id", "n_hit", "items", "near_items", "contaminated") == ordered([
+        (1, 12, ["8"], ["8"], True), (2, 0, [], ["7"], False), (3, 0, [], [], False), (None, 0, [], [], False),
+    ])
+
+
 # --------------------------------------------------------------------- URLs
 def test_cascade_is_exact(spark):
     keys = spark.range(4000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 9 == 0).alias("listed"))
