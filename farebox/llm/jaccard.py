@@ -87,12 +87,37 @@ def runs_for(recall: float, similarity: float, levels: int = 2) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found_in_a_run(similarity, levels))))
 
 
+def missed(similarity: float, levels: int, runs: int) -> float:
+    """Probability that no run finds a pair of this similarity, as all runs share the min-hashes.
+
+    Given the number of them that agree, runs are independent: their nodes have
+    keys of their own.
+    """
+    p = 1 / (similarity * TOKENS)
+    none = (1 - p) ** TOKENS
+    total = 0.0
+    for agree in range(TOKENS + 1):
+        lost = 0.0
+        for _ in range(levels):
+            lost = (1 - p * (1 - lost)) ** agree - none + none * (1 - agree / TOKENS * (1 - lost))
+        total += math.comb(TOKENS, agree) * similarity**agree * (1 - similarity) ** (TOKENS - agree) * lost**runs
+    return total
+
+
+def runs_to(recall: float, similarity: float, levels: int) -> int:
+    """Runs that meet a pair with probability ``recall`` even where nodes are split ``levels`` times."""
+    runs = runs_for(recall, similarity, levels)
+    while missed(similarity, levels, runs) > 1 - recall:
+        runs += 1
+    return runs
+
+
 SKETCH_SCHEMA = "d bigint, h bigint, size int, set_a bigint, set_b bigint, tokens binary, keys array<bigint>"
 
 
-def sketches(docs: DataFrame, similarity: float, recall: float, k: int) -> DataFrame:
+def sketches(docs: DataFrame, similarity: float, recall: float, k: int, last_level: int = LAST_LEVEL) -> DataFrame:
     """Per document: the digest of its shingle set, its tokens, and its nodes after two splits of each run."""
-    runs = runs_for(recall, similarity)
+    runs = runs_to(recall, similarity, last_level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -312,7 +337,7 @@ def near_duplicates(
     are compared whatever their size.
     """
     docs = keyed(df, key, text)
-    rows = stored(sketches(docs, similarity, recall, k), "sketches")
+    rows = stored(sketches(docs, similarity, recall, k, last_level), "sketches")
     same = ("size", "set_a", "set_b")
     classes = stored(
         rows.groupBy(*same).agg(

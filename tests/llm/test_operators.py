@@ -142,6 +142,26 @@ def test_recall_at_the_threshold(spark):
     assert jaccard.runs_for(0.999, 0.8) == 5
 
 
+def test_runs_hold_the_recall_at_the_last_level():
+    draw = random.Random(9)
+    pairs_at, runs = 400, jaccard.runs_to(0.9999, 0.8, 6)
+    assert runs == 21 and jaccard.missed(0.8, 6, runs) <= 1e-4 < jaccard.missed(0.8, 6, jaccard.runs_for(0.9999, 0.8))
+    agree = np.array([[draw.random() < 0.8 for _ in range(jaccard.TOKENS)] for _ in range(pairs_at)])
+    a = np.arange(agree.size, dtype=np.uint64).reshape(agree.shape)
+    b = np.where(agree, a, a + np.uint64(10**9))
+    met = np.zeros(pairs_at, bool)
+    for root in jaccard.mixed(np.arange(1, runs + 1, dtype=np.uint64)):
+        nodes = []
+        for tokens in (a, b):
+            row, key = np.arange(pairs_at), np.full(pairs_at, root)
+            for _ in range(6):
+                at, key = jaccard.children(key, tokens[row], 0.8)
+                row = row[at]
+            nodes.append({*zip(row.tolist(), key.tolist(), strict=True)})
+        met[[r for r, _ in nodes[0] & nodes[1]]] = True
+    assert met.all()
+
+
 def test_pairs_of_two_blocks_count_once():
     sets = [np.arange(10, dtype=np.uint64)] * 4
     keys = [np.array([1, 5], np.int64)] * 4
