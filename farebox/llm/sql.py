@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import licenses, lines, urls, warc
+from farebox.llm import chat, divergence, licenses, lines, middle, urls, warc
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -159,3 +159,92 @@ SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::B
     list_transform(list_filter(range(1, len(l) + 1), lambda i: gone IS NULL OR NOT list_contains(gone, i - 1)), lambda i: l[i]), chr(10)), '')) AS kept_sha256
 FROM docs LEFT JOIN gone USING (r)
 """
+
+
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), n AS (
+  SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, term, coalesce(c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 2)) // (coalesce(n, 0) + 2 * v) AS p
+  FROM g JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 2)) // (any_value(n) + 2 * any_value(v)) AS q
+  FROM c JOIN (SELECT lang, sum(c) AS n FROM c GROUP BY lang) USING (lang) JOIN sizes USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
+def _escaped(column: str) -> str:
+    steps = (("\\", "\\\\"), (chat.OPEN, chat.ESCAPE + chat.OPEN), (chat.CLOSE, chat.ESCAPE + chat.CLOSE))
+    for old, new in steps:
+        column = f"replace({column}, '{old}', '{new}')"
+    return column
+
+
+_LOSS = "coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')"
+
+CHAT = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, r, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  length({_LOSS})::BIGINT AS loss_chars, sha256({_LOSS}) AS loss_sha256,
+  sum(length('{chat.OPEN} : {chat.CLOSE}') + 1 + length(replace({_escaped('role')}, ':', '\\:')) + length({_escaped('text')}))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def _drawn(group: int) -> str:
+    return f"('0x' || substr(h, {8 * group + 1}, 8))::BIGINT"
+
+
+_CONTAINS = " OR ".join(f"contains(t, '{m}')" for m in (middle.PREFIX, middle.SUFFIX, middle.MIDDLE))
+
+MIDDLE = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('{middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), cut AS (
+  SELECT *, length(t)::BIGINT AS n, {_drawn(0)} % (length(t) + 1) AS a, {_drawn(1)} % (length(t) + 1) AS b FROM d
+), formed AS (
+  SELECT *, least(a, b) AS x, abs(a - b) AS y,
+    CASE WHEN t = '' OR {_CONTAINS} OR {_drawn(2)} % 100 >= {middle.FIM_PERCENT} THEN 'plain'
+      WHEN {_drawn(3)} % 100 < {middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), pieces AS (
+  SELECT *, substr(t, 1, x) AS p, substr(t, x + 1, y) AS m, substr(t, x + y + 1) AS s FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN y END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{middle.PREFIX}' || p || '{middle.SUFFIX}' || s || '{middle.MIDDLE}' || m
+    ELSE '{middle.SUFFIX}' || s || '{middle.PREFIX}' || p || '{middle.MIDDLE}' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM pieces
+"""
