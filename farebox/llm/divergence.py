@@ -180,7 +180,7 @@ def _dealt_texts(docs: DataFrame, cuts: dict[str, list[bytes]], salts: int) -> D
         salt = 0
         for batch in batches:
             langs, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))
-            for a, b in chunks(texts, 2 * SPLIT_BYTES):
+            for a, b in chunks(texts, SPLIT_BYTES):
                 for part in parts(texts[a]) if b == a + 1 else [None]:
                     # any spread will do: equal rows meet again when counts are summed
                     salt += 1 + len(texts[a])
