@@ -30,6 +30,24 @@ def chunks(texts: list, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+# a prime below 2**31, so that products of two residues fit in 64 bits
+PRIME = np.uint64((1 << 31) - 1)
+
+
+@lru_cache(maxsize=8)
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo ``PRIME``, doubled from those at hand."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), int(PRIME))) % PRIME])
+    return out[:n]
+
+
+def prime_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    size = 1 << max(10, int(n).bit_length())
+    return _prime_powers(base, size)[:n], _prime_powers(pow(base, -1, int(PRIME)), size)[:n]
+
+
 @lru_cache(maxsize=8)
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of an odd number and of its inverse, modulo 2**64."""
@@ -61,20 +79,39 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BYTE_BASE = 0x5851F42D4C957F2D
 _WORD_BASE = 0x2545F4914F6CDD1D
+# primitive roots modulo PRIME: no difference of two texts vanishes for the base alone
+_BYTE_ROOT, _WORD_ROOT = 16807, 1583458089
+
+
+def _prefix(values: np.ndarray, base: int, root: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of the values' polynomial, modulo 2**64 and modulo ``PRIME``."""
+    n = len(values)
+    whole, prime = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+    np.cumsum(values * powers(base, n + 1)[0][:n], out=whole[1:])
+    np.cumsum(values % PRIME * prime_powers(root, n + 1)[0][:n] % PRIME, out=prime[1:])
+    return whole, prime % PRIME
+
+
+def _ranges(prefix: tuple[np.ndarray, np.ndarray], start: np.ndarray | slice, end: np.ndarray | slice, base: int, root: int) -> np.ndarray:
+    """64 bits out of both residues of each range.
+
+    Modulo 2**64 alone, strings are known that differ and have one residue
+    whatever the base; a second, prime modulus tells them apart.
+    """
+    whole, prime = prefix
+    a = (whole[end] - whole[start]) * powers(base, len(whole))[1][start]
+    b = (prime[end] + PRIME - prime[start]) % PRIME * prime_powers(root, len(prime))[1][start] % PRIME
+    return mixed(mixed(a) + b * np.uint64(0x9E3779B97F4A7C15))
 
 
-def byte_prefix(buf: np.ndarray) -> np.ndarray:
+def byte_prefix(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums from which the hash of any byte range follows."""
-    up, _ = powers(_BYTE_BASE, len(buf) + 1)
-    out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[buf] * up[: len(buf)], out=out[1:])
-    return out
+    return _prefix(_BYTE_VALUES[buf], _BYTE_BASE, _BYTE_ROOT)
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hash(prefix: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges; equal bytes give equal hashes wherever they stand."""
-    _, down = powers(_BYTE_BASE, len(prefix))
-    return mixed((prefix[end] - prefix[start]) * down[start])
+    return _ranges(prefix, start, end, _BYTE_BASE, _BYTE_ROOT)
 
 
 def window_hash(values: np.ndarray, k: int) -> np.ndarray:
@@ -82,10 +119,7 @@ def window_hash(values: np.ndarray, k: int) -> np.ndarray:
     n = len(values) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    up, down = powers(_WORD_BASE, len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return mixed((prefix[k:] - prefix[:n]) * down[:n])
+    return _ranges(_prefix(values, _WORD_BASE, _WORD_ROOT), slice(0, n), slice(k, None), _WORD_BASE, _WORD_ROOT)
 
 
 _IS_WORD = np.ones(256, bool)

@@ -60,14 +60,16 @@ def statistics(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = w.end - w.start
     word_chars = per_text(size - (later[w.end] - later[w.start]), w.first)
 
-    # lines that have a word: the hash of a line is that of its bytes
+    # lines that have a word, told apart by their bytes
     line_end = np.flatnonzero(w.buf == 10)
     line_start = np.concatenate([[0], line_end[:-1] + 1])
     at = np.searchsorted(w.start, line_start)
     with_word = at < np.searchsorted(w.start, line_end)
     line_doc = np.searchsorted(bounds, line_start[with_word], side="right") - 1
-    line_hash = w.bytes_hash(line_start[with_word], line_end[with_word])
-    first = np.unique(np.stack([line_doc.astype(np.uint64), line_hash], 1), axis=0, return_index=True)[1] if len(line_hash) else []
+    raw = w.buf.tobytes()
+    bounds_of = zip(line_start[with_word].tolist(), line_end[with_word].tolist(), strict=True)
+    code = pa.array([raw[a:b] for a, b in bounds_of], pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+    first = np.unique(line_doc * (len(code) + 1) + code, return_index=True)[1]
     n_lines = np.bincount(line_doc, minlength=n_texts)
     n_dup_lines = n_lines - np.bincount(line_doc[first], minlength=n_texts)
 
@@ -240,18 +242,19 @@ def train(
     """Trees fitted on at most ``sample`` labelled documents.
 
     The sample is the labelled rows with the smallest hashes of their keys, so
-    it is the same on every run. Rows without key or label are not used, and
-    of a key with several labels or texts one each is.
+    it is the same on every run. Rows without key or label are not used; of a
+    key with several labels the highest is, and of one with several texts that
+    with the smallest hash.
     """
     drawn = (
-        labels.select(F.col(key).alias("k"), F.col(label).alias("y")).dropna()
-        .orderBy(F.xxhash64("k", F.lit(7)), "k", "y").limit(sample)
-        .groupBy("k").agg(F.max("y").alias("y"))
+        labels.select(F.col(key).alias("k"), F.col(label).alias("y")).dropna().groupBy("k").agg(F.max("y").alias("y"))
+        .orderBy(F.xxhash64("k", F.lit(7)), "k").limit(sample)
     )
     # at most ``sample`` rows of two numbers
-    rows = with_statistics(
-        docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(drawn), "k"), "t"
-    ).select("k", "y", "features").toPandas().drop_duplicates("k").sort_values("k")
+    matched = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(drawn), "k")
+    one = matched.groupBy("k", "y").agg(F.min(F.struct(F.xxhash64("t"), "t")).alias("first")).select("k", "y", F.col("first.t").alias("t"))
+    # a row per key of the sample
+    rows = with_statistics(one, "t").select("k", "y", "features").toPandas().sort_values("k")
     x = np.stack(rows["features"].to_list()) if len(rows) else np.zeros((0, len(FEATURES)))
     y = 1.0 - np.clip(rows["y"].to_numpy(float), 0, 1)
     rising = np.array([f in WORSE_WHEN_HIGHER for f in FEATURES])
