@@ -70,5 +70,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+PART_BYTES = 16 << 20
+
+
+def parts_for(df: DataFrame, text: str, part_bytes: int = PART_BYTES) -> int:
+    """Into how many parts to deal the texts: the session's number, or more where they have more bytes than that."""
+    total = df.agg(F.sum(F.octet_length(F.col(text)).cast("bigint"))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // part_bytes))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from farebox.llm.batches import Words, chunks, mixed, utf8, window_hash
-from farebox.llm.frames import mapped, stored
+from farebox.llm.frames import mapped, parts_for, stored
 from farebox.llm.substrings import NONE, keyed
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
@@ -278,7 +278,7 @@ def links_within(
         first = new
 
 
-def _links(rows: DataFrame, similarity: float) -> DataFrame:
+def _links(rows: DataFrame, similarity: float, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
@@ -300,7 +300,6 @@ def _links(rows: DataFrame, similarity: float) -> DataFrame:
         if held:
             yield resolve()
 
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return mapped(rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j"), run, LINK_SCHEMA)
 
 
@@ -349,7 +348,7 @@ def near_duplicates(
     weighted = lists.join(classes.select("rep", "w"), "rep").select(F.col("rep.d").alias("pd"), F.col("rep.h").alias("ph"), "w", "lists")
     # a document given twice is one set
     texts = docs.join(weighted, (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph"))).select("d", "h", "t", "w", "lists")
-    links = stored(_links(_bucket_rows(texts, k, block), similarity), "links")
+    links = stored(_links(_bucket_rows(texts, k, block), similarity, parts_for(docs, "t")), "links")
     counts = links.groupBy("d", "h").agg(F.sum("links").alias("links"))
     roots = components(
         links.select(F.struct("d", "h").alias("a"), F.struct(F.col("to_d").alias("d"), F.col("to_h").alias("h")).alias("b")).filter("a <> b")
@@ -383,16 +382,26 @@ def classes_of(df: DataFrame, key: str = "doc_id", text: str = "text", **options
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options: float) -> DataFrame:
-    """``df`` with one row of each class: that with the smallest key (of equal keys, the smallest text hash)."""
+    """``df`` with one row of each class: that with the smallest key (of equal keys, the smallest text hash).
+
+    Of rows that repeat a key and a text, with a word or more, the first by
+    their columns as JSON stays. Rows without words are no copies of each other and all stay.
+    """
     found = stored(near_duplicates(df, key, text, **options), "near-duplicates")
-    repeated = found.groupBy("d", "h").agg(F.count("*").alias("c")).filter("c > 1")
     first = found.groupBy("root").agg(F.min(F.struct("d", "h")).alias("first"))
-    gone = found.join(first, "root").filter(F.struct("d", "h") != F.col("first")).select(F.col("d").alias("pd"), F.col("h").alias("ph")).distinct()
+    # a row for each document that goes or is there several times: no other needs a second look
+    marked = stored(
+        found.join(first, "root").groupBy(F.col("d").alias("pd"), F.col("h").alias("ph")).agg(
+            F.bool_and(F.struct("d", "h") != F.col("first")).alias("gone"), F.count("*").alias("c")
+        ).filter("gone OR c > 1"), "marked",
+    )
     docs = df.select(
         F.struct(*df.columns).alias("row"), F.coalesce(F.col(key).cast("bigint"), F.lit(NONE)).alias("d"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"),
     )
-    kept = docs.join(gone, (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph")), "left_anti")
-    if not repeated.isEmpty():  # rows that repeat a key and a text
-        kept = kept.dropDuplicates(["d", "h"])
-    return kept.select("row.*")
+    same = (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph"))
+    plain = docs.join(marked, same, "left_anti")
+    repeated = docs.join(marked.filter("NOT gone"), same, "left_semi")
+    one = Window.partitionBy("d", "h").orderBy(F.to_json("row"))
+    chosen = repeated.withColumn("n", F.row_number().over(one)).filter("n = 1").drop("n")
+    return plain.unionByName(chosen).select("row.*")

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farebox.llm.batches import Words, chunks, covered, per_text, utf8
-from farebox.llm.frames import mapped, stored, with_columns
+from farebox.llm.frames import mapped, parts_for, stored, with_columns
 
 NONE = -(1 << 63)  # stands for a null document id: neither earlier nor later than any other
 SHARD_SCHEMA = "shard int, kind int, keys binary, d binary, h binary, n binary, pos binary"
@@ -220,8 +220,8 @@ def _index_rows(blocks: DataFrame, shards: int) -> DataFrame:
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50) -> DataFrame:
     """(d, h, pos): first words of the windows that an earlier document has too."""
     block = window // 2
-    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = keyed(df, key, text)
+    shards = parts_for(docs, "t")
     blocks = stored(_block_rows(docs, block), "blocks")
 
     def rolling(w: Words) -> Iterator[tuple]:

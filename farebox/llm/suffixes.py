@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.batches import byte_prefix, chunks, covered, range_hash, utf8
-from farebox.llm.frames import mapped, stored, with_columns
+from farebox.llm.frames import mapped, parts_for, stored, with_columns
 from farebox.llm.substrings import (
     FOUND_ARROW, FOUND_SCHEMA, NONE, SHARD_ARROW, SHARD_SCHEMA,
     batches_of, flat, keyed, packed, probed, summed,
@@ -247,8 +247,8 @@ def _often(limit: int):
 
 def repeated_strings(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, hot: int = HOT) -> DataFrame:
     """(d, h, pos): starts of the strings of ``length`` bytes that start anywhere else, too."""
-    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = keyed(df, key, text)
+    shards = parts_for(docs, "t")
     rows = _sample_rows(docs, length, shards)
     found = stored(probed(rows, shards, active=False, merge=summed, hits=_twice, hot=_often(hot)), "gram-places")
     cold, hottest = found.filter("key IS NULL"), found.filter("key IS NOT NULL")
