@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm import bpe, chat, contamination, divergence, jaccard, licenses, lines, middle, quality, sql, substrings, suffixes, urls, warc
-from farebox.llm.frames import stored, table
+from farebox.llm.frames import no_shuffle_files_left, stored, table
 from farebox.session import local_table, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,28 +47,12 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages in every document."""
+    """Benchmark passages in every document, word for word, and the items whose rarest words stand close together."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"), near=False)
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
-    )
-
-
-def op9_contamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages in every document and, with them, the items whose rarest words stand close together."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "items", "near_items", "contaminated")
-
-
-def near_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items whose rarest words stand close together in a document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(F.size("near_items") > 0).select(
-        "doc_id", F.array_join("near_items", ",").alias("near_items"), F.array_join("items", ",").alias("exact_items")
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", F.array_join("near_items", ",").alias("near_items"),
     )
 
 
@@ -82,9 +66,9 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and assembled."""
     path = work_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    # of the contents only the short metadata is asked for
-    found = stored(warc.read_archives(spark, path, payload=False), "warc-records")
-    return warc.page_table(warc.assemble(found))
+    with no_shuffle_files_left(spark):
+        nested = stored(warc.assemble(warc.read_archives(spark, path)), "warc-captures")
+    return warc.page_table(nested)
 
 
 def op6_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,8 +133,6 @@ def queries() -> dict[str, Query]:
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
         "op9_contamination": op9_contamination,
-        "op9_contamination_near": op9_contamination_near,
-        "near_benchmark_items": near_benchmark_items,
         "op10_urls": op10_urls,
         "op11_divergence": op11_divergence,
         "op12_chat": op12_chat,

@@ -15,12 +15,7 @@ from farebox.llm.frames import stored
 from farebox.llm.words import words
 
 WINDOW, RARE = 10, 3
-BROADCAST_TERMS = 200_000  # a term is some dozens of bytes
-
-
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast if it has at most ``rows`` rows by count; else Spark shuffles both sides."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+SHARE, SLOP, LEAST = 0.5, 20, 3
 
 
 def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -48,15 +43,15 @@ def item_words(items: DataFrame, key: str = "item_id", text: str = "text") -> Da
 
 def postings(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The index: one row per place of a benchmark term in a document."""
-    terms = small(items.select(F.explode("iw").alias("term")).distinct(), BROADCAST_TERMS)
+    terms = items.select(F.explode("iw").alias("term")).distinct()
     every = docs.select("d", "h", F.posexplode(words(F.col("t"))).alias("pos", "term"))
     return every.join(terms, "term")
 
 
 def windows(items: DataFrame, index: DataFrame, window: int = WINDOW, rare: int = RARE) -> DataFrame:
-    """(ik, item, iw, starts, least_need): for each window its first word and the places of its rarest terms.
+    """(ik, item, iw, length, starts, least_need, wanted): for each window its first word and the places of its rarest terms.
 
-    An item of fewer than ``window`` words is one window. Terms that no
+    ``wanted`` is the number of such places of the item. An item of fewer than ``window`` words is one window. Terms that no
     document has are the rarest of all.
     """
     counts = index.groupBy("term").agg(F.count("*").alias("n"))
@@ -71,55 +66,84 @@ def windows(items: DataFrame, index: DataFrame, window: int = WINDOW, rare: int
     )
     starts = f"transform(sequence(0, size(iw) - length), s -> struct(s AS start, {need} AS need))"
     spans = found.select("ik", "item", "iw", "length", F.expr(starts).alias("starts"))
-    return spans.withColumn("least_need", F.expr("array_min(transform(starts, x -> size(x.need)))"))
+    return spans.withColumn("least_need", F.expr("array_min(transform(starts, x -> size(x.need)))")).withColumn(
+        "wanted", F.size(F.array_distinct(F.flatten("starts.need")))
+    )
 
 
 def rare_hits(index: DataFrame, spans: DataFrame) -> DataFrame:
-    """(d, h, ik, shift, ipos): postings of the windows' rarest terms, by diagonal."""
+    """(d, h, ik, at): the postings of an item's rarest terms in a document, each a diagonal and a place in the item.
+
+    They are no more than the document has words times the item's places of one
+    term. Documents in which fewer of the places are met than any window needs are left out.
+    """
     anchors = spans.select("ik", "iw", F.explode(F.array_distinct(F.flatten("starts.need"))).alias("ipos")).select(
         "ik", "ipos", F.expr("iw[ipos]").alias("term")
     )
-    hits = index.join(small(anchors, BROADCAST_TERMS), "term")
-    return hits.select("d", "h", "ik", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos")
+    each = index.join(anchors, "term").select("d", "h", "ik", F.struct((F.col("pos") - F.col("ipos")).alias("shift"), "ipos").alias("hit"))
+    met = each.groupBy("d", "h", "ik").agg(F.collect_set("hit").alias("at"))
+    return met.join(spans.select("ik", "least_need"), "ik").filter(
+        F.size(F.array_distinct(F.col("at.ipos"))) >= F.col("least_need")
+    ).select("d", "h", "ik", "at")
 
 
-def phrase_matches(docs: DataFrame, hits: DataFrame, spans: DataFrame) -> DataFrame:
-    """(d, h, item, start, length): exact places of windows in documents, from 0."""
-    diagonals = hits.groupBy("d", "h", "ik", "shift").agg(F.collect_set("ipos").alias("seen"))
+def likely_diagonals(hits: DataFrame, spans: DataFrame) -> DataFrame:
+    """(d, h, ik, item, iw, length, shift): diagonals on which all rarest terms of some window stand."""
+    each = hits.select("d", "h", "ik", F.explode("at").alias("hit"))
+    diagonals = each.groupBy("d", "h", "ik", F.col("hit.shift").alias("shift")).agg(F.collect_set("hit.ipos").alias("seen"))
     all_there = "exists(starts, x -> size(array_except(x.need, seen)) = 0)"
-    # most diagonals have one chance hit: fewer than any window needs
-    likely = diagonals.join(spans, "ik").filter("size(seen) >= least_need").filter(all_there).select(
-        F.col("d").alias("cd"), F.col("h").alias("ch"), "item", "iw", "length", "shift"
+    return diagonals.join(spans, "ik").filter("size(seen) >= least_need").filter(all_there).select(
+        "d", "h", "ik", "item", "iw", "length", "shift"
+    )
+
+
+def phrase_matches(docs: DataFrame, hits: DataFrame, spans: DataFrame, rare: int = RARE) -> DataFrame:
+    """(d, h, item, start, length): exact places of windows in documents, from 0.
+
+    An item that is all rarest terms is matched by its postings alone. The
+    diagonals of all others are gathered, no more than the document has words
+    for each item, and its words are cut once for all of them.
+    """
+    likely = likely_diagonals(hits, spans)
+    short = likely.filter(F.size("iw") <= rare).select("d", "h", "item", F.col("shift").alias("start"), "length")
+    gathered = likely.filter(F.size("iw") > rare).groupBy(F.col("d").alias("cd"), F.col("h").alias("ch")).agg(
+        F.collect_list(F.struct("item", "iw", "length", "shift")).alias("diagonals")
     )
-    texts = docs.join(likely, same_document("d", "h", "cd", "ch")).select(
-        "d", "h", "item", "length", "shift", "iw", words(F.col("t")).alias("w")
+    texts = docs.dropDuplicates(["d", "h"]).join(gathered, same_document("d", "h", "cd", "ch")).select(
+        "d", "h", words(F.col("t")).alias("w"), "diagonals"
     )
     # unequal places in the item, with its two ends; a gap of a window's length between two has windows
-    unequal = "filter(sequence(0, size(iw) - 1), j -> NOT (shift + j >= 0 AND shift + j < size(w) AND get(w, shift + j) <=> iw[j]))"
-    gaps = texts.select("d", "h", "item", "length", "shift", F.expr(f"concat(array(-1), {unequal}, array(size(iw)))").alias("cut"))
-    runs = gaps.select(
-        "d", "h", "item", "length", "shift",
-        F.explode(F.expr("transform(sequence(1, size(cut) - 1), i -> struct(cut[i - 1] + 1 AS a, cut[i] AS b))")).alias("run"),
-    ).filter("run.b - run.a >= length")
-    return runs.select(
-        "d", "h", "item", "length",
-        F.explode(F.expr("sequence(run.a, run.b - length)")).alias("j"), "shift",
-    ).select("d", "h", "item", (F.col("shift") + F.col("j")).alias("start"), "length").distinct()
-
-
-def proximity_matches(hits: DataFrame, spans: DataFrame, share: float = 0.5, slop: int = 20, least: int = 3) -> DataFrame:
+    unequal = (
+        "filter(sequence(0, size(x.iw) - 1), j -> NOT (x.shift + j >= 0 AND x.shift + j < size(w) AND get(w, x.shift + j) <=> x.iw[j]))"
+    )
+    gaps = "transform(sequence(1, size(cut) - 1), i -> struct(x.item AS item, x.length AS length, x.shift + cut[i - 1] + 1 AS a, x.shift + cut[i] AS b))"
+    runs = (
+        f"flatten(transform(diagonals, x -> filter(flatten(transform(array(concat(array(-1), {unequal}, array(size(x.iw)))), cut -> {gaps})), "
+        "r -> r.b - r.a >= r.length)))"
+    )
+    long = texts.select("d", "h", F.explode(F.expr(runs)).alias("run")).select(
+        "d", "h", "run.item", F.explode(F.expr("sequence(run.a, run.b - run.length)")).alias("start"), "run.length"
+    )
+    return short.unionByName(long).distinct()
+
+
+def proximity_matches(hits: DataFrame, spans: DataFrame, share: float = SHARE, slop: int = SLOP, least: int = LEAST) -> DataFrame:
     """(d, h, item): items of whose rarest places at least ``share``, and ``least``, stand near each other.
 
     Near means on diagonals that fall into one band of ``2 * slop``, in either
     of two bandings half a band apart, so that any two diagonals at most
     ``slop`` apart share a band.
     """
-    wanted = spans.select("ik", "item", F.size(F.array_distinct(F.flatten("starts.need"))).alias("wanted"))
-    bands = F.explode(F.array(*(F.struct(F.lit(b).alias("o"), F.floor((F.col("shift") + b * slop) / (2 * slop)).alias("n")) for b in (0, 1))))
-    close = hits.select("d", "h", "ik", "ipos", bands.alias("band")).groupBy("d", "h", "ik", "band").agg(
-        F.countDistinct("ipos").alias("seen")
+    wanted = spans.filter(F.col("wanted") >= least).select("ik", "item", "wanted")
+    enough = hits.join(wanted, "ik").filter(
+        (F.size(F.array_distinct(F.col("at.ipos"))) >= least) & (F.size(F.array_distinct(F.col("at.ipos"))) >= share * F.col("wanted"))
+    )
+    each = enough.select("d", "h", "ik", "item", "wanted", F.explode("at").alias("hit"))
+    bands = F.array(*(F.struct(F.lit(b).alias("o"), F.floor((F.col("hit.shift") + b * slop) / (2 * slop)).alias("n")) for b in (0, 1)))
+    close = each.withColumn("band", F.explode(bands)).groupBy("d", "h", "ik", "item", "wanted", "band").agg(
+        F.countDistinct("hit.ipos").alias("seen")
     )
-    return close.join(wanted, "ik").filter((F.col("seen") >= least) & (F.col("seen") >= share * F.col("wanted"))).select("d", "h", "item").distinct()
+    return close.filter((F.col("seen") >= least) & (F.col("seen") >= share * F.col("wanted"))).select("d", "h", "item").distinct()
 
 
 def summary(matches: DataFrame) -> DataFrame:
@@ -138,14 +162,14 @@ def summary(matches: DataFrame) -> DataFrame:
 
 def contamination(
     documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-    item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, near: bool = True,
+    item_key: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """``documents`` with ``n_words``, ``n_hit``, ``items``, ``near_items`` and ``contaminated``.
 
     ``items`` are those with a window of ``window`` consecutive words (or all
     words of a shorter item) in the document, ``n_hit`` the document words
     inside such windows, ``near_items`` the items whose rarest words stand close
-    together (not looked for without ``near``). Null and empty texts have no words and no matches; documents of
+    together. Null and empty texts have no words and no matches; documents of
     equal key and text are judged alike, each its own row; an item without
     words matches nothing. Columns of the new names are replaced.
     """
@@ -154,19 +178,13 @@ def contamination(
     index = stored(postings(docs, items), "postings")
     spans = stored(windows(items, index, window), "item-windows")
     hits = stored(rare_hits(index, spans), "rare-postings")
-    matches = stored(phrase_matches(docs, hits, spans), "phrase-matches")
-    exact = summary(matches)
-    if near:
-        close = proximity_matches(hits, spans).groupBy(F.col("d").alias("xd"), F.col("h").alias("xh")).agg(
-            F.array_sort(F.collect_set("item")).alias("near_items")
-        )
-        found = exact.join(close, same_document("d", "h", "xd", "xh"), "full").select(
-            F.coalesce("d", "xd").alias("fd"), F.coalesce("h", "xh").alias("fh"), "n_hit", "items", "near_items"
-        )
-    else:
-        found = exact.select(
-            F.col("d").alias("fd"), F.col("h").alias("fh"), "n_hit", "items", F.lit(None).cast("array<string>").alias("near_items")
-        )
+    exact = summary(stored(phrase_matches(docs, hits, spans), "phrase-matches"))
+    close = proximity_matches(hits, spans).groupBy(F.col("d").alias("xd"), F.col("h").alias("xh")).agg(
+        F.array_sort(F.collect_set("item")).alias("near_items")
+    )
+    found = exact.join(close, same_document("d", "h", "xd", "xh"), "full").select(
+        F.coalesce("d", "xd").alias("fd"), F.coalesce("h", "xh").alias("fh"), "n_hit", "items", "near_items"
+    )
     new = ("n_words", "n_hit", "items", "near_items", "contaminated")
     own = documents.select(
         F.struct(*documents.columns).alias("row"), F.col(key).alias("d"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm.words import words
 
@@ -57,44 +57,54 @@ def _keyed(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     )
 
 
-def votes(df: DataFrame, templates: dict[str, str], text: str, keys: list[str]) -> DataFrame:
-    """Distinct template pairs hit on each diagonal of each document."""
+def hits(df: DataFrame, templates: dict[str, str], text: str, keys: list[str]) -> DataFrame:
+    """(k, h, template, t_pairs, t_pos, pos): places of the templates' pairs in the documents."""
     docs = _keyed(df, text, keys).select("k", "h", words(F.col("t")).alias("w"))
     pairs = docs.select(
         "k", "h", F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, size(w))").alias("b")))
     ).select("k", "h", "pos", F.col("col.a").alias("a"), F.col("col.b").alias("b"))
     known = template_pairs(df.sparkSession, templates)
-    hits = pairs.withColumn("gram", F.xxhash64("a", "b")).join(known, "gram").filter("a = t_a AND b = t_b")
-    return hits.groupBy("k", "h", "template", "t_pairs", (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(
-        F.countDistinct("t_pos").alias("votes"),
-        F.min("pos").alias("first_pos"),
-        (F.max("pos") + 2).alias("end_pos"),
+    found = pairs.withColumn("gram", F.xxhash64("a", "b")).join(known, "gram").filter("a = t_a AND b = t_b")
+    return found.select("k", "h", "template", "t_pairs", "t_pos", "pos")
+
+
+def by_template(found: DataFrame) -> DataFrame:
+    """(k, h, template, t_pairs, at): a document's hits in one template, no more than it has words.
+
+    Only those of which enough different pairs are there at all: chance hits of
+    common pairs end here.
+    """
+    return found.groupBy("k", "h", "template", "t_pairs").agg(
+        F.collect_set(F.struct((F.col("pos") - F.col("t_pos")).alias("diagonal"), "t_pos", "pos")).alias("at")
     )
 
 
 def spans(found: DataFrame, share: float = SHARE, gap: int = GAP) -> DataFrame:
-    """Neighbouring diagonals merged and checked: one row per place of a template.
+    """Bands of neighbouring diagonals, merged and verified: (k, h, template, start_word, end_word, score).
 
-    Diagonals at most ``gap`` apart are one place. It counts if its votes reach
-    ``share`` of the template's pairs and it is at most twice as long as it.
+    A band has up to ``gap`` diagonals beyond its first, so no chain of chance
+    hits makes it longer than the template and ``gap``. Its score is the number
+    of the template's pairs that it hits, over the template's pairs or those of
+    the span from its first hit to its last, whichever are more; bands that
+    reach ``share`` are places of the template.
     """
-    by = Window.partitionBy("k", "h", "template").orderBy("diagonal")
-    opened = (F.col("diagonal") - F.lag("diagonal").over(by) > gap) | F.lag("diagonal").over(by).isNull()
-    place = F.sum(opened.cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    merged = found.withColumn("place", place).groupBy("k", "h", "template", "t_pairs", "place").agg(
-        F.sum("votes").alias("votes"), F.min("first_pos").alias("start_word"), F.max("end_pos").alias("end_word")
-    )
-    score = F.least(F.lit(1.0), F.col("votes") / F.col("t_pairs"))
-    return merged.withColumn("score", score).filter(
-        (F.col("score") >= share) & (F.col("end_word") - F.col("start_word") <= 2 * (F.col("t_pairs") + 1))
+    enough = found.filter(F.size(F.array_distinct(F.col("at.t_pos"))) >= share * F.col("t_pairs"))
+    each = enough.select("k", "h", "template", "t_pairs", F.explode("at").alias("hit"))
+    # every band that a diagonal belongs to: first diagonal and width
+    bands = F.array(*(F.struct((F.col("hit.diagonal") - j).alias("first"), F.lit(g).alias("width")) for g in range(gap + 1) for j in range(g + 1)))
+    merged = each.withColumn("band", F.explode(bands)).groupBy("k", "h", "template", "t_pairs", "band").agg(
+        F.countDistinct("hit.t_pos").alias("pairs"), F.min("hit.pos").alias("start_word"), (F.max("hit.pos") + 2).alias("end_word")
     )
+    score = F.col("pairs") / F.greatest(F.col("t_pairs"), F.col("end_word") - F.col("start_word") - 1)
+    return merged.withColumn("score", score).filter(F.col("score") >= share)
 
 
 def phrase_places(found: DataFrame) -> DataFrame:
     """Places at which every pair of a template stands on one diagonal."""
-    return found.filter("votes = t_pairs").select(
-        "k", "h", "template", F.col("diagonal").alias("start_word"), F.lit(1.0).alias("score")
+    on_diagonal = found.groupBy("k", "h", "template", "t_pairs", (F.col("pos") - F.col("t_pos")).alias("start_word")).agg(
+        F.countDistinct("t_pos").alias("pairs")
     )
+    return on_diagonal.filter("pairs = t_pairs").select("k", "h", "template", "start_word", F.lit(1.0).alias("score"))
 
 
 def license_scan(
@@ -109,7 +119,7 @@ def license_scan(
     """
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
-    found = votes(df, {f"phrase:{p}": p for p in phrases} | templates, text, keys)
+    found = hits(df, {f"phrase:{p}": p for p in phrases} | templates, text, keys)
     exact = F.col("template").startswith("phrase:")
     label = F.element_at(
         F.create_map(*(F.lit(x) for p, name in phrases.items() for x in (f"phrase:{p}", name))), F.col("template")
@@ -117,7 +127,7 @@ def license_scan(
     base = phrase_places(found.filter(exact)).select(
         "k", "h", label.alias("label"), "start_word", F.lit(True).alias("base"), "score"
     )
-    own = spans(found.filter(~exact)).select(
+    own = spans(by_template(found.filter(~exact))).select(
         "k", "h", F.col("template").alias("label"), "start_word", F.lit(False).alias("base"), "score"
     )
     start = F.when(F.col("base"), F.col("start_word").cast("bigint"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import chat, divergence, licenses, lines, middle, urls, warc
+from farebox.llm import chat, contamination, divergence, licenses, lines, middle, urls, warc
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,20 +50,18 @@ WITH names(label, phrase, base) AS (
 ), pairs_of AS (
   SELECT r, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM docs, unnest(range(1, len(w))) AS u(i)
 ), found AS (
-  SELECT r, label, base, pairs, pos - t_pos AS diagonal, count(DISTINCT t_pos) AS votes,
-    min(pos) AS first_pos, max(pos) + 2 AS end_pos
-  FROM pairs_of JOIN t USING (a, b) GROUP BY ALL
-), opened AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {licenses.GAP} THEN 0 ELSE 1 END AS o
-  FROM found WHERE NOT base WINDOW w AS (PARTITION BY r, label ORDER BY diagonal)
-), placed AS (
-  SELECT *, sum(o) OVER (PARTITION BY r, label ORDER BY diagonal) AS place FROM opened
+  SELECT r, label, base, pairs, t_pos, pos, pos - t_pos AS diagonal FROM pairs_of JOIN t USING (a, b)
+), phrases AS (
+  SELECT r, label, diagonal FROM found WHERE base GROUP BY r, label, pairs, diagonal HAVING count(DISTINCT t_pos) = pairs
+), bands AS (
+  SELECT r, label, pairs, diagonal - j AS low, g, count(DISTINCT t_pos) AS votes, max(pos) - min(pos) + 1 AS span_pairs
+  FROM found, range(0, {licenses.GAP} + 1) AS u(g), range(0, {licenses.GAP} + 1) AS v(j)
+  WHERE NOT base AND j <= g GROUP BY ALL
 ), own AS (
-  SELECT r, label, least(1.0::DOUBLE, sum(votes)::DOUBLE / pairs) AS score
-  FROM placed GROUP BY r, label, pairs, place
-  HAVING sum(votes)::DOUBLE / pairs >= {licenses.SHARE} AND max(end_pos) - min(first_pos) <= 2 * (pairs + 1)
+  SELECT r, label, votes::DOUBLE / greatest(pairs, span_pairs) AS score FROM bands
+  WHERE votes::DOUBLE / greatest(pairs, span_pairs) >= {licenses.SHARE}
 ), every AS (
-  SELECT r, label, true AS base, diagonal AS start_word, 1.0::DOUBLE AS score FROM found WHERE base AND votes = pairs
+  SELECT r, label, true AS base, diagonal AS start_word, 1.0::DOUBLE AS score FROM phrases
   UNION ALL SELECT r, label, false, NULL, score FROM own
 )
 SELECT d.doc_id, len(any_value(d.w))::BIGINT AS n_words, count(e.start_word)::BIGINT AS n_base,
@@ -109,50 +107,109 @@ WITH items AS (
   SELECT r, count(DISTINCT start + j) AS n_hit FROM found, unnest(range(0, n)) AS u(j) GROUP BY r
 ), named AS (
   SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r
+), keyed AS (
+  SELECT row_number() OVER () AS ik, item, w FROM items WHERE len(w) > 0
+), item_places AS (
+  SELECT ik, item, i - 1 AS ipos, w[i] AS term FROM keyed, unnest(range(1, len(w) + 1)) AS u(i)
+), postings AS (
+  SELECT r, i - 1 AS pos, w[i] AS term FROM docs, unnest(range(1, len(w) + 1)) AS u(i) WHERE w[i] IN (SELECT term FROM item_places)
+), counts AS (
+  SELECT term, count(*) AS n FROM postings GROUP BY term
+), rated AS (
+  SELECT ik, item, ipos, term, coalesce(n, 0) AS n FROM item_places LEFT JOIN counts USING (term)
+), rare AS (
+  SELECT DISTINCT k.ik, k.item, p.ipos, p.term
+  FROM keyed k, unnest(range(0, len(k.w) - least({contamination.WINDOW}, len(k.w)) + 1)) AS u(s)
+  JOIN rated p ON p.ik = k.ik AND p.ipos >= s AND p.ipos < s + least({contamination.WINDOW}, len(k.w))
+  QUALIFY row_number() OVER (PARTITION BY k.ik, s ORDER BY p.n, p.ipos) <= {contamination.RARE}
+), wanted AS (
+  SELECT ik, count(DISTINCT ipos) AS wanted FROM rare GROUP BY ik
+), close AS (
+  SELECT p.r, a.ik, a.item, b, floor((p.pos - a.ipos + b * {contamination.SLOP}) / {2 * contamination.SLOP}.0) AS band, count(DISTINCT a.ipos) AS seen
+  FROM postings p JOIN rare a USING (term), (VALUES (0), (1)) AS v(b) GROUP BY ALL
+), near AS (
+  SELECT r, string_agg(DISTINCT item, ',' ORDER BY item) AS near_items FROM close JOIN wanted USING (ik)
+  WHERE seen >= {contamination.LEAST} AND seen >= {contamination.SHARE} * wanted GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(near_items, '') AS near_items
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)
 """
 
 
+_FIELD = f"'{lines.FIELD}'"
+_BLANK = "chr(9) || chr(11) || chr(12) || chr(13) || ' '"
+
+
+def _telling(template: str) -> str:
+    """Whether the constants of a template tell a line of ``tokens`` and ``rest`` from ordinary ones."""
+    leading = f"len(list_filter(tokens[1:{lines.DEPTH}], lambda x: x <> {_FIELD}))"
+    constants = f"len(list_filter({template}, lambda x: x <> {_FIELD}))"
+    words = f"len(list_filter(range(1, len(rest) + 1), lambda i: {template}[i] = {_FIELD} AND rest[i] <> {_FIELD}))"
+    real = f"({leading} + {constants})"
+    return f"({real} > 0 AND 2 * {real} >= len(tokens) AND ({words} = 0 OR {constants} > {words}))"
+
+
 LINES = f"""
 WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
+  SELECT row_number() OVER () AS r, doc_id, {{'d': doc_id, 't': text}} AS doc, string_split(text, chr(10)) AS l FROM documents
 ), raw AS (
-  SELECT r, doc_id, i - 1 AS pos, string_split(l[i], ' ') AS parts, trim(l[i], chr(9) || chr(11) || chr(12) || chr(13) || ' ') <> '' AS filled,
-    CASE WHEN i < len(l) THEN array_to_string(string_split(l[i + 1], ' ')[1:2], ' ') END AS after,
-    CASE WHEN i > 1 THEN array_to_string(string_split(l[i - 1], ' ')[1:2], ' ') END AS before
+  SELECT r, doc, i - 1 AS pos, regexp_replace(trim(l[i], {_BLANK}), '[ \\t\\x0B\\f\\r]+', ' ', 'g') AS line
   FROM docs, unnest(range(1, len(l) + 1)) AS u(i)
-), lines AS (
-  SELECT r, doc_id, pos, before, after, n, list_transform(parts, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lines.FIELD}' ELSE x END) AS tokens
-  FROM (SELECT *, len(parts) AS n FROM raw) WHERE filled
+), every_line AS (
+  SELECT *, list_transform(string_split(line, ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN {_FIELD} ELSE x END) AS tokens
+  FROM raw WHERE line <> ''
 ), leaf_lines AS (
-  SELECT *, array_to_string(tokens[1:{lines.DEPTH}], ' ') AS head, tokens[{lines.DEPTH + 1}:] AS rest FROM lines
+  SELECT *, {{'n': len(tokens), 'head': tokens[1:{lines.DEPTH}]}} AS leaf, tokens[{lines.DEPTH + 1}:] AS rest FROM every_line
 ), leaves AS (
-  SELECT n, head FROM leaf_lines GROUP BY ALL HAVING count(DISTINCT r) >= {lines.MIN_DOCS}
+  SELECT leaf FROM leaf_lines GROUP BY leaf HAVING count(DISTINCT doc) >= {lines.MIN_DOCS}
 ), taken AS (
-  SELECT * FROM leaf_lines SEMI JOIN leaves USING (n, head)
+  SELECT * FROM leaf_lines SEMI JOIN leaves USING (leaf)
 ), sizes AS (
-  SELECT n, head, count(*) AS members FROM taken GROUP BY ALL
+  SELECT leaf, count(*) AS members FROM taken GROUP BY leaf
 ), counted AS (
-  SELECT n, head, i, rest[i] AS token, count(*) AS c FROM taken, unnest(range(1, len(rest) + 1)) AS u(i) GROUP BY ALL
+  SELECT leaf, i, rest[i] AS token, count(*) AS c FROM taken, unnest(range(1, len(rest) + 1)) AS u(i) GROUP BY ALL
 ), top AS (
-  SELECT n, head, i, max({{'c': c, 'token': token}}) AS t FROM counted GROUP BY ALL
+  SELECT leaf, i, max({{'c': c, 'token': token}}) AS t FROM counted GROUP BY ALL
 ), template AS (
-  SELECT n, head, list(CASE WHEN t.c >= {lines.CONSTANT} * members THEN t.token ELSE '{lines.FIELD}' END ORDER BY i) AS template
-  FROM top JOIN sizes USING (n, head) GROUP BY ALL
+  SELECT leaf, list(CASE WHEN t.c >= {lines.CONSTANT} * members THEN t.token ELSE {_FIELD} END ORDER BY i) AS template
+  FROM top JOIN sizes USING (leaf) GROUP BY leaf
 ), rated AS (
-  SELECT t.*, len(list_filter(coalesce(template, []), lambda x: x <> '{lines.FIELD}')) AS constants,
-    len(list_filter(range(1, len(rest) + 1), lambda i: rest[i] = template[i] AND template[i] <> '{lines.FIELD}')) AS same
-  FROM taken t LEFT JOIN template USING (n, head)
+  SELECT t.*, coalesce(template, []) AS template FROM taken t LEFT JOIN template USING (leaf)
+), followed AS (
+  SELECT *, len(tokens) > 1 AND {_telling('template')}
+    AND len(list_filter(range(1, len(rest) + 1), lambda i: rest[i] = template[i] AND template[i] <> {_FIELD}))
+      >= {lines.AGREE} * len(list_filter(template, lambda x: x <> {_FIELD})) AS follows
+  FROM rated
+), forms AS (
+  SELECT leaf, tokens, rest, count(*) AS n FROM followed WHERE NOT follows GROUP BY ALL HAVING len(tokens) > {lines.DEPTH}
+), frequent AS (
+  SELECT leaf, i, rest[i] AS token FROM forms, unnest(range(1, len(rest) + 1)) AS u(i)
+  WHERE rest[i] <> {_FIELD} GROUP BY leaf, i, rest[i] HAVING sum(n) >= {lines.MIN_DOCS}
+), held AS (
+  SELECT f.leaf, f.tokens, f.rest, list(CASE WHEN q.token IS NULL THEN {_FIELD} ELSE q.token END ORDER BY f.i) AS minor, count(q.token) AS hits
+  FROM (SELECT *, unnest(range(1, len(rest) + 1)) AS i FROM forms) f LEFT JOIN frequent q ON q.leaf = f.leaf AND q.i = f.i AND q.token = f.rest[f.i]
+  GROUP BY f.leaf, f.tokens, f.rest
+), minors AS (
+  SELECT leaf, tokens, minor FROM held WHERE hits > 0 AND {_telling('minor')}
 ), members AS (
-  SELECT * FROM rated WHERE same >= {lines.AGREE} * constants AND 2 * ({lines.DEPTH} + constants) >= n
+  SELECT r, doc, pos, line, CASE WHEN follows THEN {{'leaf': f.leaf, 'minor': NULL::VARCHAR[], 'line': NULL::VARCHAR}}
+    WHEN minor IS NOT NULL THEN {{'leaf': f.leaf, 'minor': minor, 'line': NULL::VARCHAR}}
+    ELSE {{'leaf': f.leaf, 'minor': NULL::VARCHAR[], 'line': line}} END AS unit
+  FROM followed f LEFT JOIN minors m ON m.leaf = f.leaf AND m.tokens = f.tokens AND NOT follows
+), spread AS (
+  SELECT unit, min({{'doc': doc, 'pos': pos}}) AS first FROM members GROUP BY unit HAVING count(DISTINCT doc) >= {lines.MIN_DOCS}
+), inside AS (
+  SELECT DISTINCT doc, pos FROM members SEMI JOIN spread USING (unit)
+), around AS (
+  SELECT l.doc, list(line ORDER BY line) FILTER (WHERE i.pos IS NULL) AS around
+  FROM every_line l LEFT JOIN inside i ON i.doc = l.doc AND i.pos = l.pos GROUP BY l.doc
+  HAVING coalesce(sum(strlen(line)) FILTER (WHERE i.pos IS NULL), 0) >= {lines.OWN_SHARE}::DOUBLE * sum(strlen(line))
 ), chosen AS (
-  SELECT n, head, min({{'d': doc_id, 'r': r, 'pos': pos}}) AS first FROM members GROUP BY ALL
-  HAVING count(DISTINCT r) >= {lines.MIN_DOCS} AND greatest(count(DISTINCT coalesce(before, chr(0))), count(DISTINCT coalesce(after, chr(0)))) >= {lines.MIN_CONTEXTS}
+  SELECT unit, any_value(first) AS first FROM members JOIN spread USING (unit) JOIN around USING (doc)
+  GROUP BY unit HAVING count(DISTINCT coalesce(around, [])) >= {lines.MIN_CONTEXTS}
 ), gone AS (
-  SELECT r, list(pos) AS gone FROM members JOIN chosen USING (n, head) WHERE NOT (r = first.r AND pos = first.pos) GROUP BY r
+  SELECT r, list(pos) AS gone FROM members JOIN chosen USING (unit) WHERE first IS DISTINCT FROM {{'doc': doc, 'pos': pos}} GROUP BY r
 )
 SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
   sha256(coalesce(array_to_string(

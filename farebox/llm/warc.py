@@ -19,12 +19,13 @@ from farebox.llm.frames import mapped, no_shuffle_files_left
 
 ARCHIVE_BYTES = 8 << 20
 LEAST_REVISIT = 1000
+ROWS_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 
 RECORD_SCHEMA = (
-    "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, "
-    "payload_digest string, payload_bytes bigint, content_length bigint, fields map<string,string>, payload string"
+    "record_id string, record_type string, concurrent_to array<string>, refers_to string, target_uri string, "
+    "payload_digest string, payload_bytes bigint, content_length bigint, fields map<string,string>, payload binary"
 )
 
 
@@ -130,16 +131,29 @@ def write_archives(
         rows.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and content of each record; lengths, not separators, tell where a record ends."""
+def parse(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    """Headers, in lower case and in order, and content of each record; lengths, not separators, tell where a record ends.
+
+    Line ends between records do not matter, nor do spaces around a header's
+    colon; a header that is not UTF-8 is read as far as it goes. A record without a length,
+    or cut short, raises: what follows could not be told apart.
+    """
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = data[at:stop].decode("utf-8").split("\r\n")
-        fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head[1:])
-        length = int(fields["Content-Length"])
-        yield fields, data[stop + 4 : stop + 4 + length]
-        at = stop + 4 + length + 4
+    while (at := _next(data, at)) < len(data):
+        stop = data.find(b"\r\n\r\n", at)
+        head = data[at : max(stop, at)].decode("utf-8", "replace").split("\r\n")
+        fields = [(name.strip().lower(), value.strip()) for name, _, value in (line.partition(":") for line in head[1:])]
+        length = dict(fields).get("content-length", "")
+        if not length.isdecimal() or stop + 4 + int(length) > len(data):
+            raise ValueError(f"byte {at}: no whole record")
+        at = stop + 4 + int(length)
+        yield fields, data[stop + 4 : at]
+
+
+def _next(data: bytes, at: int) -> int:
+    while data[at : at + 1] in (b"\r", b"\n"):
+        at += 1
+    return at
 
 
 def _unzipped(data: bytes) -> bytes:
@@ -151,69 +165,84 @@ def _unzipped(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """A row per record of all archives under ``path``.
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """A row per record of all archives under ``path``, with its payload in bytes.
 
     ``payload_bytes`` and ``payload_digest`` are those of the full payload: of a
     response they are taken from its content, of a revisit from its headers.
-    ``payload=False`` leaves the contents out.
+    ``fields`` has the headers in lower case; one that is given several times
+    has its values joined by commas, ``concurrent_to`` every id on its own.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     names = [c.split(" ")[0] for c in RECORD_SCHEMA.replace("map<string,string>", "map").split(", ")]
+    types = [pa.string(), pa.string(), pa.list_(pa.string()), *[pa.string()] * 3, pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.string()] * 6 + [pa.int64()] * 2 + [pa.map_(pa.string(), pa.string()), pa.string()]
         for batch in batches:
             for content in batch.column(0):
-                rows = [_row(f, c, payload) for f, c in parse(_unzipped(content.as_py()))]
-                for start in range(0, len(rows), 1000):
-                    columns = zip(*rows[start : start + 1000], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                rows: list[tuple] = []
+                held = 0
+                for fields, body in parse(_unzipped(content.as_py())):
+                    rows.append(_row(fields, body))
+                    held += len(body)
+                    if held > ROWS_BYTES:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield batch_of(rows)
 
     return mapped(files, run, RECORD_SCHEMA)
 
 
-def _row(fields: dict[str, str], content: bytes, payload: bool) -> tuple:
-    kind = fields["WARC-Type"]
-    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-    size, text = None, None
+def _row(fields: list[tuple[str, str]], content: bytes) -> tuple:
+    named: dict[str, str] = {}
+    for name, value in fields:
+        named[name] = f"{named[name]}, {value}" if name in named else value
+    kind = named.get("warc-type", "")
+    digest = named.get("warc-payload-digest", "").removeprefix("sha1:")
+    size, payload = None, content
     if kind in ("response", "revisit"):
-        http, _, body = content.partition(b"\r\n\r\n")
+        http, _, payload = content.partition(b"\r\n\r\n")
         if kind == "response":
-            size, digest = len(body), hashlib.sha1(body).hexdigest()
-            text = body.decode("utf-8") if payload else None
+            size, digest = len(payload), hashlib.sha1(payload).hexdigest()
         else:
-            size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    elif kind == "metadata":
-        text = content.decode("utf-8")
+            lengths = [x.partition(b":")[2].strip() for x in http.split(b"\r\n") if x.lower().startswith(b"content-length")]
+            size = int(lengths[0]) if lengths and lengths[0].isdigit() else None
     return (
-        fields["WARC-Record-ID"], kind, fields.get("WARC-Concurrent-To"), fields.get("WARC-Refers-To"),
-        fields.get("WARC-Target-URI"), digest or None, size, len(content), list(fields.items()), text,
+        named.get("warc-record-id"), kind, [v for n, v in fields if n == "warc-concurrent-to"], named.get("warc-refers-to"),
+        named.get("warc-target-uri"), digest or None, size, len(content), [*named.items()], payload,
     )
 
 
 def assemble(found: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``response``, ``request``, ``metadata``, ``copies``.
 
-    Request and metadata records are joined to the response or revisit they are
-    concurrent to. Each side has one row per capture; identical captures
-    written several times are one row with their number in ``copies``.
+    A response or revisit and the records concurrent to it meet under its id, in
+    one shuffle. A record concurrent to several captures belongs to each; one
+    whose capture is not there is left out. Identical captures written several times are one
+    row with their number in ``copies``.
     """
-    whole = F.struct(*found.columns)
+    main = F.col("record_type").isin("response", "revisit")
+    dealt = found.select(
+        F.explode(F.when(main, F.array("record_id")).otherwise(F.array_distinct("concurrent_to"))).alias("capture_id"),
+        main.alias("main"), "record_type", F.struct(*found.columns).alias("record"),
+    )
 
-    def side(kinds: str, key: str, name: str) -> DataFrame:
-        rows = found.filter(f"record_type IN ({kinds})").groupBy(F.col(key).alias("capture_id"))
-        return rows.agg(F.first(whole).alias(name), F.count("*").alias(f"{name}s"))
+    def one(kind: Column, name: str) -> Column:
+        return F.first(F.when(kind, F.col("record")), ignorenulls=True).alias(name)
 
-    main = side("'response', 'revisit'", "record_id", "response").withColumnRenamed("responses", "copies")
-    request = side("'request'", "concurrent_to", "request").drop("requests")
-    metadata = side("'metadata'", "concurrent_to", "metadata").drop("metadatas")
-    return main.join(request, "capture_id", "left").join(metadata, "capture_id", "left")
+    return dealt.groupBy("capture_id").agg(
+        one(F.col("main"), "response"), one(F.col("record_type") == "request", "request"),
+        one(F.col("record_type") == "metadata", "metadata"), F.count_if("main").alias("copies"),
+    ).filter("copies > 0")
 
 
 def page_of(metadata: Column) -> Column:
     """The page id in a metadata record."""
-    found = F.regexp_extract(metadata["payload"], r"pageId: (-?[0-9]+)", 1)
+    found = F.regexp_extract(metadata["payload"].cast("string"), r"pageId: (-?[0-9]+)", 1)
     return F.when(found != "", found.cast("bigint"))
 
 

@@ -141,6 +141,109 @@ def contamination(rows, items, window=10):
     return out
 
 
+def near_items(rows, items, window=10, rare=3, share=0.5, slop=20, least=3):
+    """Items of whose rarest places enough stand in one band of diagonals, per row."""
+    texts = [lower_words(t) for _, t in rows]
+    known = {("" if i is None else str(i), tuple(lower_words(t))) for i, t in items}
+    count = Counter(w for t in texts for w in t)
+    out = []
+    for (d, _), w in zip(rows, texts, strict=True):
+        names = set()
+        for name, iw in known:
+            length = min(window, len(iw))
+            wanted = set()
+            for s in range(len(iw) - length + 1 if iw else 0):
+                wanted |= set(sorted(range(s, s + length), key=lambda p: (count[iw[p]], p))[:rare])
+            bands = defaultdict(set)
+            for pos, x in enumerate(w):
+                for ipos in wanted:
+                    if iw[ipos] == x:
+                        for b in (0, 1):
+                            bands[b, (pos - ipos + b * slop) // (2 * slop)].add(ipos)
+            if any(len(v) >= least and len(v) >= share * len(wanted) for v in bands.values()):
+                names.add(name)
+        out.append((d, sorted(names)))
+    return out
+
+
+def line_dedup(rows, depth=3, min_docs=20, min_contexts=10, agree=0.8, constant=0.5, own_share=1 / 9):
+    """(id, lines, dropped, kept text) of each row; rows of equal id and text are one document."""
+    field, blank = "<*>", " \t\x0b\x0c\r"
+    docs = {}
+    for d, t in rows:
+        docs[d, t] = None if t is None else t.split("\n")
+    lines, times = [], Counter((d, t) for d, t in rows)
+    for key, split in docs.items():
+        for pos, raw in enumerate(split or []):
+            line = re.sub(f"[{blank}]+", " ", raw.strip(blank))
+            if line:
+                tokens = tuple(field if re.search("[0-9]", x) else x for x in line.split(" "))
+                lines.append((key, pos, line, tokens, (len(tokens), tokens[:depth])))
+
+    def telling(template, tokens):
+        rest = tokens[depth:]
+        constants = sum(t != field for t in template)
+        real = sum(t != field for t in tokens[:depth]) + constants
+        words_ = sum(t == field != r for t, r in zip(template, rest, strict=True))
+        return real > 0 and 2 * real >= len(tokens) and (words_ == 0 or constants > words_)
+
+    docs_of = defaultdict(set)
+    for key, _, _, _, leaf in lines:
+        docs_of[leaf].add(key)
+    by_leaf = defaultdict(list)
+    for line in lines:
+        if len(docs_of[line[4]]) >= min_docs:
+            by_leaf[line[4]].append(line)
+    members = []
+    for leaf, held in by_leaf.items():
+        n = sum(times[x[0]] for x in held)
+        template = []
+        for i in range(depth, leaf[0]):
+            seen = Counter()
+            for x in held:
+                seen[x[3][i]] += times[x[0]]
+            token, c = max(seen.items(), key=lambda s: (s[1], s[0].encode()))
+            template.append(token if c >= constant * n else field)
+        left = []
+        for x in held:
+            same = sum(a == t != field for a, t in zip(x[3][depth:], template, strict=True))
+            if len(x[3]) > 1 and same >= agree * sum(t != field for t in template) and telling(template, x[3]):
+                members.append((leaf, x))
+            else:
+                left.append(x)
+        frequent = Counter()
+        for x in left:
+            frequent.update({(i, t): times[x[0]] for i, t in enumerate(x[3][depth:]) if t != field})
+        for x in left:
+            minor = tuple(t if frequent[i, t] >= min_docs and t != field else field for i, t in enumerate(x[3][depth:]))
+            if any(t != field for t in minor) and telling(minor, x[3]):
+                members.append(((leaf, minor), x))
+            else:
+                members.append(((leaf, x[2], "line"), x))
+    units = defaultdict(list)
+    for unit, x in members:
+        units[unit].append(x)
+    units = {u: xs for u, xs in units.items() if len({x[0] for x in xs}) >= min_docs}
+    inside = {(x[0], x[1]) for xs in units.values() for x in xs}
+    outside, sizes = defaultdict(list), Counter()
+    for key, pos, line, _, _ in lines:
+        sizes[key] += len(line.encode())
+        if (key, pos) not in inside:
+            outside[key].append(line)
+    around = {k: tuple(sorted(outside[k])) for k in sizes if sum(len(x.encode()) for x in outside[k]) >= own_share * sizes[k]}
+    gone = set()
+    for xs in units.values():
+        if len({around[x[0]] for x in xs if x[0] in around}) >= min_contexts:
+            places = sorted(((x[0], x[1]) for x in xs), key=lambda p: (p[0][0] is not None, p[0][0] or 0, p[0][1], p[1]))
+            gone.update(places[1:])
+    out = []
+    for d, t in rows:
+        split = docs[d, t] or []
+        kept = [x for i, x in enumerate(split) if ((d, t), i) not in gone]
+        out.append((d, len(split), len(split) - len(kept), None if t is None else "\n".join(kept)))
+    return out
+
+
 def statistics(text):
     w = words(text)
     seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
-from farebox.llm import bpe, catalog, contamination, jaccard, licenses, lines, quality, substrings, suffixes, urls, warc
+from farebox.llm import bpe, catalog, contamination, jaccard, licenses, lines, quality, sql, substrings, suffixes, urls, warc
 
 ROWS = brute.EDGES
 
@@ -101,6 +103,37 @@ def test_lines_that_recur_themselves_are_dropped(spark):
     assert [dropped(spark, rows)[i] for i in (0, 1, 59)] == [0, 2, 2]
 
 
+def line_rows():
+    """Boilerplate of several kinds among ordinary lines, copies, blank and odd lines."""
+    draw = random.Random(12)
+    word = [f"w{letters(i)}" for i in range(200)]
+    block = ["We use cookies on this site", "Read our notice to learn more", "Accept all of them or none"]
+    kinds = ["You can also find us in the yellow house by the river", "You can also write to our office for a printed price list", "You can also call {i} or {x} until late today my friend"]
+    rows = []
+    for i in range(150):
+        own = [" ".join(draw.choice(word) for _ in range(draw.randrange(1, 12))) for _ in range(draw.randrange(1, 6))]
+        extra = [*(block if i % 3 == 0 else []), kinds[i % 3].format(i=i, x=draw.choice(word)), f"Page {i} of 150", draw.choice(["2024", "* * *", " ", "x1", "a\tb  c"])]
+        at = [*own, *extra]
+        draw.shuffle(at)
+        rows.append((i, draw.choice(["\n", "\n\n", "\r\n"]).join(at)))
+    rows += [(200 + i, rows[0][1]) for i in range(30)] + [(300, None), (301, ""), (302, "\n \n"), (303, rows[4][1])]
+    return rows
+
+
+def test_lines_against_brute_force_and_sql(spark, tmp_path):
+    rows = line_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = lines.drop_recurring_lines(df)
+    got = pairs(out, "doc_id", "n_lines", "n_dropped", "kept_text")
+    want = brute.line_dedup(rows)
+    assert got == ordered(want) and sum(r[2] for r in want) > 300
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    sql_rows = con.execute(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({sql.LINES})").fetchall()
+    assert ordered(sql_rows) == ordered((d, n, k, brute.sha(t or "")) for d, n, k, t in want)
+
+
 def test_lines_edges(edges, nothing):
     out = lines.drop_recurring_lines(edges, min_docs=2, min_contexts=1)
     assert out.count() == len(ROWS) and extra_kept(out, ("kept_text",))
@@ -131,6 +164,38 @@ def test_null_and_repeated_ids_do_not_join_classes(spark):
     assert pairs(jaccard.classes_of(df), "doc_id", "class_id", "n_links") == ordered(brute.near_duplicates(rows))
 
 
+def test_rows_without_words_stay_whatever_else_is_repeated(spark):
+    words_of = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, None), (None, None), (None, ""), (7, ""), (7, ""), (1, words_of)]
+    for more in ([], [(1, words_of)], [(2, words_of)]):
+        kept = pairs(jaccard.keep_one(spark.createDataFrame(rows + more, "doc_id long, text string")), "doc_id", "text")
+        assert kept == ordered(rows)
+
+
+def test_the_first_of_repeated_rows_stays(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text, x) for x in "cabab"], "doc_id long, text string, extra string")
+    assert [r.extra for r in jaccard.keep_one(df.repartition(4)).collect()] == ["a"]
+
+
+# differs from its counterpart in every letter, and has the same polynomial hash modulo 2**64 for any odd base
+THUE = "ab"
+while len(THUE) < 2048:
+    THUE += THUE.translate(str.maketrans("ab", "ba"))
+MORSE = THUE.translate(str.maketrans("ab", "ba"))
+
+
+def test_texts_that_collide_modulo_a_power_of_two_are_told_apart(spark):
+    filler = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([*filler[:25], THUE, *filler[25:]])), (2, " ".join([*filler[:25], MORSE, *filler[25:]])), (3, f"{THUE}\n{MORSE}\n{THUE}")]
+    df = brute.edge_table(spark, rows)
+    assert pairs(quality.with_statistics(df), "doc_id", *quality.COUNTS) == ordered((d, *brute.statistics(t)) for d, t in rows)
+    out = substrings.remove_repeats(df).withColumn("s", substrings.digest(F.col("kept_text")))
+    assert pairs(out, "doc_id", "n_words", "n_removed", "s") == ordered(brute.word_repeats(rows))
+    near = [(1, f"{THUE} {THUE}"), (2, f"{MORSE} {MORSE}")]
+    assert pairs(jaccard.classes_of(brute.edge_table(spark, near)), "doc_id", "class_id", "n_links") == [(1, 1, 0), (2, 2, 0)]
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs just above the threshold in a crowd of near copies."""
     draw = random.Random(5)
@@ -229,6 +294,16 @@ def test_license_templates_bear_changes(spark):
     assert got[3].labels == "apache,apache-2.0-notice" and got[3].base_labels == "apache"
 
 
+def test_chance_pairs_do_not_stretch_a_place(spark):
+    """Pairs of a notice that go on behind it, or stand about, neither hide it nor make one."""
+    rows = [
+        (1, "licensed under cc by nc 4 0 " + "4 0 " * 15), (2, "4 0 " * 15 + "licensed under cc by nc 4 0"), (3, "4 0 " * 40),
+        (4, "licensed under cc by sa 4 0"), (5, " ".join(f"{w} pad pad" for w in "licensed under cc by nc 4 0".split())),
+    ]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(brute.edge_table(spark, rows), ["doc_id"]).collect()}
+    assert got == {1: ("cc-by,cc-by-nc-notice", 1.0), 2: ("cc-by,cc-by-nc-notice", 1.0), 3: ("", 0.0), 4: ("cc-by,cc-by-sa-notice", 1.0), 5: ("", 0.0)}
+
+
 # ------------------------------------------------------------------------- WARC
 def test_warc_round_trip(spark, tmp_path):
     long = "é<p>\r\n\r\nWARC/1.1\r\n" * 120
@@ -246,12 +321,37 @@ def test_warc_round_trip(spark, tmp_path):
         (1, "revisit", 3), (2, "revisit", 3), (3, "response", None), (4, "response", None), (5, "response", None),
         (6, "response", None), (None, "revisit", 3), (None, "response", None), (7, "response", None), (7, "response", None),
     ])
-    contents = {r.payload for r in found.filter("record_type = 'response'").collect()}
+    contents = {bytes(r.payload).decode() for r in nested.select("response.*").filter("record_type = 'response'").collect()}
     assert contents == {long, "x", "", "short", "y" * 2000}
     sizes = {r.payload_bytes for r in warc.page_table(nested).filter("record_type = 'revisit'").collect()}
     assert sizes == {len(long.encode())}
 
 
+def test_archives_of_others(spark, tmp_path):
+    """No space behind a colon, names in other cases, bytes that are no text, blank lines, a record of two captures."""
+    def record(kind, record_id, body, *more):
+        head = "\r\n".join(["WARC/1.1", f"WARC-Type:{kind}", f"warc-record-id: {record_id}", *more, f"Content-length:{len(body)}"])
+        return head.encode() + b"\r\n\r\n" + body
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Length:4\r\n\r\n"
+    data = b"\r\n\r\n".join([
+        record("response", "<a>", http + b"\xff\x00\xfe!", "X:"), record("response", "<b>", http + b"body"),
+        record("revisit", "<c>", http, "WARC-Refers-To: <a>"),
+        record("metadata", "<m>", b"pageId: 5\r\n", "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>"),
+        record("metadata", "<n>", b"", "WARC-Concurrent-To: <gone>"), record("warcinfo", "<i>", b"x"),
+    ]) + b"\r\n\r\n\r\n\n"
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "part.gz").write_bytes(gzip.compress(data[:200]) + gzip.compress(data[200:]))
+    found = warc.read_archives(spark, f"{tmp_path}/w")
+    nested = {r.capture_id: r for r in warc.assemble(found).collect()}
+    assert set(nested) == {"<a>", "<b>", "<c>"} and bytes(nested["<a>"].response.payload) == b"\xff\x00\xfe!"
+    assert nested["<a>"].metadata.record_id == "<m>" == nested["<b>"].metadata.record_id and nested["<c>"].metadata is None
+    assert nested["<a>"].metadata.fields["warc-concurrent-to"] == "<a>, <b>"
+    assert nested["<c>"].response.payload_bytes == 4 and nested["<c>"].response.refers_to == "<a>"
+    with pytest.raises(ValueError, match="no whole record"):
+        list(warc.parse(data[:150]))
+
+
 def test_warc_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(pages, f"{tmp_path}/w")
@@ -289,6 +389,15 @@ def test_held_out_accuracy(spark, medium):
     assert right >= 0.97 * judged.count()
 
 
+def test_trees_do_not_depend_on_the_order_of_rows(spark, medium):
+    docs, labels = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "labels"))
+    some = docs.select((F.col("doc_id") % 300).alias("doc_id"), "text")
+    given = labels.filter("doc_id < 300").select("doc_id", "quality")
+    a = quality.train(some, given)
+    b = quality.train(some.repartition(7).orderBy(F.desc("text")), given.orderBy(F.desc("quality")))
+    assert len(a.value) > 2 and (a.value == b.value).all() and (a.threshold == b.threshold).all()
+
+
 def test_quality_edges(edges, nothing, spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (5, None), (4, 1), (4, 0)], "doc_id long, quality int")
     trees = quality.train(edges, labels)
@@ -356,15 +465,24 @@ def test_proximity(spark):
     assert got == {1: (False, ["7"]), 2: (False, []), 3: (True, ["7"])}
 
 
-def test_exact_and_near_items_in_one_query(spark, tmp_path):
-    phrase = " ".join(f"term{letters(i)}" for i in range(12))
-    texts = [(1, f"so {phrase} end"), (2, "red x green y y blue and more"), (3, "red " + "pad " * 90 + "green " + "pad " * 90 + "blue"), (None, None)]
-    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(7, "red green blue"), (8, phrase)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    out = catalog.queries()["op9_contamination_near"](spark, str(tmp_path))
-    assert pairs(out, "doc_id", "n_hit", "items", "near_items", "contaminated") == ordered([
-        (1, 12, ["8"], ["8"], True), (2, 0, [], ["7"], False), (3, 0, [], [], False), (None, 0, [], [], False),
-    ])
+def test_proximity_against_brute_force(spark, edges):
+    draw = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(40)]
+    rows = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.randrange(120)))) for i in range(40)] + [(None, "v1 v2 v3 v4"), (3, None), (7, "v1 v2"), (7, "v1 v2")]
+    items = [(i, " ".join(draw.choice(vocabulary) for _ in range(draw.choice([1, 2, 3, 4, 9, 14, 25])))) for i in range(15)] + [(99, "v1 nowhere v2 v3")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = contamination.contamination(brute.edge_table(spark, rows), bench)
+    assert pairs(out, "doc_id", "near_items") == ordered(brute.near_items(rows, items))
+    got = out.withColumn("n_items", F.size("items").cast("long")).withColumn("s", F.sha2(F.array_join("items", ","), 256))
+    assert pairs(got, "doc_id", "n_words", "n_hit", "n_items", "s", "contaminated") == ordered(brute.contamination(rows, items))
+
+
+def test_short_items_do_not_read_the_text_again(spark):
+    """One common word as an item: a match per place, and no text beside it."""
+    rows = [(1, "the cat " * 3000), (2, "no such")]
+    bench = spark.createDataFrame([(1, "the"), (2, "cat the")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in contamination.contamination(brute.edge_table(spark, rows), bench).collect()}
+    assert got == {1: (5999, ["1", "2"]), 2: (0, [])}  # the last word is not followed by the other
 
 
 # --------------------------------------------------------------------- URLs
