@@ -67,7 +67,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     with no_shuffle_files_left(spark):
-        nested = stored(warc.assemble(warc.read_archives(spark, path)), "warc-captures")
+        nested = stored(warc.assemble(warc.read_archives(spark, path)), "warc-captures", compression="zstd")
     return warc.page_table(nested)
 
 

@@ -58,7 +58,7 @@ def no_shuffle_files_left(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there, executors may be lost.
 
     The shuffle files of the write are of no more use and go when it is done.
@@ -66,7 +66,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, label)
     with no_shuffle_files_left(spark):
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
