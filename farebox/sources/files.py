@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -36,6 +37,14 @@ def file_key(fleet: str, year: int, month: int) -> str:
     return f"{fleet}_tripdata_{year:04d}-{month:02d}"
 
 
+def source_file(path: str) -> SourceFile:
+    """The monthly file that a path names; a part of a folder belongs to that folder's month."""
+    found = re.search(r"([a-z]+)_tripdata_(\d{4})-(\d{2})", path)
+    if not found:
+        raise ValueError(f"{path}: not named like a monthly file")
+    return SourceFile(S.fleet(found[1]).code, int(found[2]), int(found[3]), path)
+
+
 def manifest(root: str, fleets: Iterable[str], periods: Iterable[tuple[int, int]]) -> list[SourceFile]:
     """The files of every fleet for every (year, month) below ``root``."""
     periods = list(periods)
@@ -99,12 +108,13 @@ def read_manifest(spark: SparkSession, files: Iterable[SourceFile]) -> dict[str,
         by_fleet.setdefault(f.fleet, []).append(f)
     feeds = {}
     for code, entries in by_fleet.items():
+        keys = {f.key: f for f in entries}  # a month may have several files or parts
         months = local_table(
             spark,
             {
-                "file_key": [f.key for f in entries],
-                "source_year": [f.year for f in entries],
-                "source_month": [f.month for f in entries],
+                "file_key": [*keys],
+                "source_year": [f.year for f in keys.values()],
+                "source_month": [f.month for f in keys.values()],
             },
         ).withColumns({c: F.col(c).cast("int") for c in ("source_year", "source_month")})
         feeds[code] = (

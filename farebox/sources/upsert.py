@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from farebox.session import materialize
 
 
 def refuse_bad_keys(df: DataFrame, key: str, what: str) -> None:
@@ -23,3 +28,68 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, check: bool = True) ->
         refuse_bad_keys(target, key, "target")
     kept = target.join(batch.select(key), key, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
+
+
+def in_partitions(df: DataFrame, by: tuple[str, ...], values: list[tuple]) -> DataFrame:
+    """The rows of the named partitions, by a filter that reads no other folder."""
+    def one(value: tuple) -> F.Column:
+        return reduce(lambda a, b: a & b, [F.col(c) == v if v is not None else F.col(c).isNull() for c, v in zip(by, value, strict=True)])
+
+    return df.filter(reduce(lambda a, b: a | b, map(one, values), F.lit(False)))
+
+
+def merged(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Both sides by name, the batch's row where both have a key.
+
+    One shuffle by key. A NULL key, or one that a side has twice, ends the job
+    that computes the result: no pass of its own looks for them.
+    """
+    both = target.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    own = Window.partitionBy(*key)
+    counted = both.withColumns({"_batch": F.sum("_new").over(own), "_all": F.count("*").over(own)})
+    null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
+    doubled = (F.col("_batch") > 1) | (F.col("_all") - F.col("_batch") > 1)
+    refused = F.raise_error(F.lit(f"a NULL {', '.join(key)}, or one that a side has more than once"))
+    kept = F.when(null | doubled, refused.cast("boolean")).otherwise(F.col("_new") == F.least(F.col("_batch"), F.lit(1)))
+    return counted.filter(kept).drop("_new", "_batch", "_all")
+
+
+def upsert_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, key: list[str], by: tuple[str, ...], moves: bool = False
+) -> list[tuple]:
+    """Lay ``batch`` over the Parquet table at ``path``, rewriting only the partitions it touches.
+
+    Partitions are those of the batch's rows: a key belongs to one partition,
+    as a trip does to its month. With ``moves`` keys may have changed theirs;
+    then the table's key column is read too and their old partitions are
+    touched as well. The new partitions are complete in the work folder before
+    any old one is replaced. A table that is not there yet is begun. Returns
+    the touched partitions, which are as few as the calendar has months.
+    """
+    batch = materialize(batch, "upsert-batch")
+    touched = {tuple(r) for r in batch.select(*by).distinct().collect()}
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = batch.limit(0)
+    if moves:
+        touched |= {tuple(r) for r in target.select(*key, *by).join(batch.select(*key), key, "left_semi").select(*by).distinct().collect()}
+    values = sorted(touched, key=repr)
+    new = materialize(merged(in_partitions(target, by, values), batch, key), "upsert-partitions")
+    rows = new.hint("rebalance", *by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    if moves:
+        # dynamic overwriting leaves a partition that has lost all of its rows: take those rows out by name
+        left = {tuple(r) for r in new.select(*by).distinct().collect()}
+        _remove_partitions(spark, path, by, [v for v in values if v not in left])
+    return values
+
+
+def _remove_partitions(spark: SparkSession, path: str, by: tuple[str, ...], values: list[tuple]) -> None:
+    jvm = spark._jvm
+    for value in values:
+        folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(by, value, strict=True))
+        place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
