@@ -99,3 +99,26 @@ def rows_per_partition(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count("*").alias("record_count")
     )
+
+
+def layout_skew(df: DataFrame, candidates: list[str], bucket_rows: int) -> DataFrame:
+    """How evenly each candidate column would lay the rows out, and into how many buckets.
+
+    Rows collapse to one per column and value before anything is compared.
+    ``largest_share`` is the most common value's; a column is skewed if that
+    value alone fills more than two buckets. No more buckets are suggested
+    than the column has values. NULL is a value.
+    """
+    named = F.stack(F.lit(len(candidates)), *(x for c in candidates for x in (F.lit(c), F.col(c).cast("string"))))
+    counts = df.select(named.alias("layout_key", "value")).groupBy("layout_key", "value").agg(F.count("*").alias("n"))
+    per_key = counts.groupBy("layout_key").agg(
+        F.sum("n").alias("record_count"), F.count("*").alias("distinct_values"), F.max("n").alias("largest"),
+        F.min_by(F.col("value"), F.struct(-F.col("n"), F.col("value"))).alias("most_common"),
+    )
+    wanted = F.ceil(F.col("record_count") / bucket_rows)
+    return per_key.select(
+        "layout_key", "record_count", "distinct_values", "most_common", F.col("largest").alias("most_common_rows"),
+        (F.col("largest") / F.col("record_count")).alias("largest_share"),
+        F.least(wanted, F.col("distinct_values")).cast("bigint").alias("suggested_buckets"),
+        (F.col("largest") > 2 * bucket_rows).alias("skewed"),
+    )
