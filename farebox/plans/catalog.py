@@ -10,13 +10,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from farebox import schema as S
-from farebox.operators import aggregates, bronze as b, ml, quality, silver as s, windows
+from farebox.operators import aggregates, bronze as b, ml, quality, selection, silver as s, sketches, windows
 from farebox.plans import gold, reports
 from farebox.session import materialize, work_dir
 from farebox.sources import files, layout, lineitem
-from farebox.sources.conform import conformance, union_by_name
+from farebox.sources.conform import conformance
 from farebox.sources.lake import Lake
-from farebox.sources.upsert import upsert
+from farebox.sources.upsert import upsert, upsert_partitions
+from farebox.streaming import marts as arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,8 @@ AUDIT_COLUMNS = (
 )
 # times of the batches, fixed so that states can be compared
 SPLITTING_PERCENT = 99.5  # some files are below it, some above
+MONTH = ("source_year", "source_month")
+SKEW_ROWS = 10_000
 COMMITTED = tuple(datetime(2024, 1, day) for day in (1, 2, 3))
 
 
@@ -94,9 +97,12 @@ def conformance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conformance(lineitem.fleet_feeds(spark, sf_dir)["green"], S.raw_schema("green"))
 
 
-def land_files(spark: SparkSession, sf_dir: str) -> list[files.SourceFile]:
-    """Write the feeds as monthly files of each fleet's shape; their manifest."""
-    root = work_dir(spark, "landing")
+def land_files(spark: SparkSession, sf_dir: str, root: str | None = None, drift: bool = False) -> list[files.SourceFile]:
+    """Write the feeds as monthly files of each fleet's shape; their manifest.
+
+    With ``drift`` the green fleet's files have other types than declared.
+    """
+    root = root or work_dir(spark, "landing")
     found = []
     for code, feed in lineitem.fleet_feeds(spark, sf_dir).items():
         prefix = S.fleet(code).time_prefix
@@ -104,6 +110,8 @@ def land_files(spark: SparkSession, sf_dir: str) -> list[files.SourceFile]:
         landed = feed.withColumns({t: F.col(t).cast("timestamp") for t in times})
         key = F.regexp_replace("source_file", r"\.parquet$", "")
         landed = landed.withColumn("file_key", key).drop("source_file", "record_key")
+        if drift and code == "green":
+            landed = landed.withColumns({"VendorID": F.col("VendorID").cast("int"), "passenger_count": F.col("passenger_count").cast("bigint")})
         landed.drop("source_year", "source_month").hint("rebalance", "file_key").write.partitionBy(
             "file_key"
         ).parquet(f"{root}/{code}")
@@ -172,29 +180,45 @@ def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_at(spark, sf_dir)
 
 
-def snapshot_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_at(spark, sf_dir, COMMITTED[0])
+def upsert_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by month, over which May of every year is laid: raised amounts, and rows that were in quarantine."""
+    path = work_dir(spark, "by-month")
+    layout.write_partitioned(_content(silver(spark, sf_dir)), path, *MONTH)
+    _, (_, _, raised), (_, _, rest) = batches(spark, sf_dir)
+    may = raised.unionByName(rest).filter(F.col("source_month") == 5)
+    upsert_partitions(spark, path, may, ["trip_id"], MONTH)
+    return plain(spark.read.parquet(path))
 
 
-def snapshot_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_at(spark, sf_dir, datetime(2024, 1, 2, 12))
+def arrivals_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly files taken up as they arrive, into hours of trips and revenue."""
+    root = work_dir(spark, "arrivals")
+    land_files(spark, sf_dir, f"{root}/landing", drift=True)
+    return plain(arrivals.follow(spark, f"{root}/landing", root))
 
 
-def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batches with the rows each one brings."""
-    counted = [
-        df.agg(F.count("*").alias("rows_written")).select(
-            F.lit(i).alias("version"), F.lit(at).cast("timestamp").alias("timestamp"), F.lit(operation).alias("operation"),
-            "rows_written",
-        )
-        for i, (operation, at, df) in enumerate(batches(spark, sf_dir))
-    ]
-    return plain(union_by_name(*counted))
+# ----------------------------------------------------------------------- cube
+def trip_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.cube(silver(spark, sf_dir))
+
+
+SPANS = {"month": ((1995, 5), (1995, 5)), "year": ((1995, 1), (1995, 12)), "all": ((1, 1), (9999, 12))}
+
+
+def sketch_spans_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers for a month, a year and all months from monthly sketches, against the trips."""
+    trips = silver(spark, sf_dir)
+    return sketches.span_bounds(trips, materialize(sketches.monthly_sketches(trips), "sketches"), SPANS)
+
+
+def selected_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact median amount of every fleet and month, by digits."""
+    found = selection.selected(silver(spark, sf_dir), ["taxi_type", *MONTH], aggregates.hundredths("total_amount"), "cents")
+    return found.select("taxi_type", *MONTH, aggregates.units("cents").alias("median_amount"))
 
 
-def snapshot_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest content alone, written with even files and read back."""
-    return plain(layout.compact(content_at(spark, sf_dir), work_dir(spark, "retained")))
+def layout_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.layout_skew(silver(spark, sf_dir), ["pickup_hour", "pickup_date", "vendor_id"], SKEW_ROWS)
 
 
 # ---------------------------------------------------------------------- layout
@@ -268,6 +292,11 @@ def queries() -> dict[str, Query]:
         "gold_hourly_may": over(hourly),
         "gold_comparison": over(comparison),
         "lake_build": lake_build,
+        "cube_monthly": over(trip_cube, gold.monthly_of),
+        "cube_hourly_may": over(trip_cube, gold.hourly_of),
+        "cube_comparison": over(trip_cube, gold.comparison_of),
+        "sketch_spans_bound": sketch_spans_bound,
+        "selected_medians": selected_medians,
         "stats_bronze": over(bronze, quality.bronze_stats),
         "stats_silver": over(silver, quality.silver_stats),
         "stats_flagged": over(bronze, s.flagged, lambda d: quality.silver_stats(d, "Flagged")),
@@ -329,16 +358,13 @@ def queries() -> dict[str, Query]:
         "freshness": source_freshness,
         # statistics and clusters
         "corr_matrix_long": over(silver, ml.correlations),
-        "corr_matrix_ml": over(silver, ml.correlation_matrix),
         "kmeans_profile": over(silver, ml.kmeans, ml.cluster_profile),
         "kmeans_checks": over(silver, ml.kmeans, ml.cluster_checks),
         "kmeans_outliers": over(silver, ml.kmeans, ml.flag_outliers),
         # versions and file layout
         "upsert_trips": upsert_trips,
-        "snapshot_by_version": snapshot_by_version,
-        "snapshot_by_time": snapshot_by_time,
-        "snapshot_history": snapshot_history,
-        "snapshot_retained": snapshot_retained,
+        "upsert_months": upsert_months,
+        "arrivals_hourly": arrivals_hourly,
         "compact_layout": compact_layout,
         "balanced_layout": balanced_layout,
         "zorder_layout": zorder_layout,
@@ -346,6 +372,7 @@ def queries() -> dict[str, Query]:
         "bucketed_layout": bucketed_layout,
         "layout_distribution": layout_distribution,
         "layout_vendors_bound": lambda sp, d: aggregates.vendors_bound(silver(sp, d), "source_year", "source_month"),
+        "layout_skew": layout_skew,
         "layout_rows": lambda sp, d: layout_distribution(sp, d).drop("unique_vendors"),
         "csv_roundtrip": csv_roundtrip,
     }

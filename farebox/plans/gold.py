@@ -6,7 +6,7 @@ attached after the aggregate: once per group, not once per trip.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from farebox import functions as fn
 from farebox.operators import aggregates as agg
@@ -26,7 +26,12 @@ def monthly(silver: DataFrame) -> DataFrame:
         F.min("total_amount").alias("min_amount"),
         F.max("total_amount").alias("max_amount"),
     )
-    by_month = by_day.groupBy(
+    return _monthly(by_day)
+
+
+def _monthly(parts: DataFrame) -> DataFrame:
+    """The monthly mart from any groups that carry :func:`agg.trip_sums`, vendors and days apart."""
+    by_month = parts.groupBy(
         "taxi_type", F.col("source_year").alias("year"), F.col("source_month").alias("month")
     ).agg(
         *agg.merged_sums(),
@@ -68,6 +73,10 @@ def hourly(silver: DataFrame, month: int = 5) -> DataFrame:
             F.max("passenger_count").alias("max_passengers"),
         )
     )
+    return _hourly(by_hour)
+
+
+def _hourly(by_hour: DataFrame) -> DataFrame:
     return by_hour.select(
         "taxi_type",
         "pickup_hour",
@@ -92,10 +101,21 @@ def comparison(silver: DataFrame) -> DataFrame:
     by_fleet = silver.groupBy("taxi_type").agg(
         *agg.trip_sums(),
         F.sum(fn.hundredths("tip_amount")).alias("s_tip"),
-        F.avg(F.try_divide("tip_amount", "total_amount")).alias("tip_share"),
+        *_tip_shares(),
         in_period("morning_rush").alias("morning_rush_trips"),
         in_period("evening_rush").alias("evening_rush_trips"),
     )
+    return _comparison(by_fleet)
+
+
+def _tip_shares() -> list[Column]:
+    """Sum and number of the trips' tip shares; a sum of decimals does not depend on the order of rows."""
+    share = F.try_divide("tip_amount", "total_amount")
+    return [F.sum(share.cast("decimal(20,12)")).alias("s_tip_share"), F.count(share).alias("n_tip_share")]
+
+
+def _comparison(by_fleet: DataFrame) -> DataFrame:
+    tip_share = F.try_divide(F.col("s_tip_share").cast("double"), F.col("n_tip_share"))
     return by_fleet.select(
         "taxi_type",
         fn.service_area("taxi_type").alias("service_area"),
@@ -106,8 +126,50 @@ def comparison(silver: DataFrame) -> DataFrame:
         agg.avg_minutes().alias("avg_duration"),
         agg.revenue().alias("total_revenue"),
         fn.mean("s_tip", "total_trips", 2, scale=2).alias("avg_tip"),
-        fn.rounded(F.col("tip_share") * 100, 2).alias("avg_tip_percentage"),
+        fn.rounded(tip_share * 100, 2).alias("avg_tip_percentage"),
         "morning_rush_trips",
         "evening_rush_trips",
         F.current_timestamp().alias("gold_processed_at"),
     )
+
+
+def cube(silver: DataFrame) -> DataFrame:
+    """Per fleet, file month, vendor, day and hour: what every mart is made of.
+
+    All columns are sums, counts or extremes, so months are added to it one by
+    one, and a month loaded again replaces its own rows only.
+    """
+    return silver.groupBy("taxi_type", "source_year", "source_month", "vendor_id", "pickup_date", "pickup_hour").agg(
+        *agg.trip_sums(),
+        F.min("total_amount").alias("min_amount"), F.max("total_amount").alias("max_amount"),
+        F.min("passenger_count").alias("min_passengers"), F.max("passenger_count").alias("max_passengers"),
+        F.sum(fn.hundredths("tip_amount")).alias("s_tip"),
+        *_tip_shares(),
+    )
+
+
+def monthly_of(cells: DataFrame) -> DataFrame:
+    """:func:`monthly` from the :func:`cube`."""
+    return _monthly(cells)
+
+
+def hourly_of(cells: DataFrame, month: int = 5) -> DataFrame:
+    """:func:`hourly` from the :func:`cube`."""
+    return _hourly(
+        cells.filter(F.col("source_month") == month).groupBy("taxi_type", "pickup_hour").agg(
+            *agg.merged_sums(), F.min("min_passengers").alias("min_passengers"), F.max("max_passengers").alias("max_passengers")
+        )
+    )
+
+
+def comparison_of(cells: DataFrame) -> DataFrame:
+    """:func:`comparison` from the :func:`cube`."""
+    def in_period(name: str) -> Column:
+        return F.sum(F.when(fn.time_period("pickup_hour") == name, F.col("total_trips")).otherwise(0))
+
+    return _comparison(
+        cells.groupBy("taxi_type").agg(
+            *agg.merged_sums(), *(F.sum(c).alias(c) for c in ("s_tip", "s_tip_share", "n_tip_share")),
+            in_period("morning_rush").alias("morning_rush_trips"), in_period("evening_rush").alias("evening_rush_trips"),
+        )
+    )

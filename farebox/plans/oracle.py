@@ -272,17 +272,41 @@ def _layers() -> dict[str, str]:
             FROM clean"""
         ),
         "upsert_trips": everything,
-        "snapshot_by_version": clean,
-        "snapshot_by_time": _layer(raised, "clean"),
-        "snapshot_history": _trips(
-            """SELECT 0 AS version, 'WRITE' AS operation, '2024-01-01 00:00:00' AS timestamp,
-                 (SELECT COUNT(*) FROM clean) AS rows_written
-               UNION ALL SELECT 1, 'MERGE', '2024-01-02 00:00:00',
-                 (SELECT COUNT(*) FROM clean WHERE taxi_type = 'yellow')
-               UNION ALL SELECT 2, 'MERGE', '2024-01-03 00:00:00',
-                 (SELECT COUNT(*) FROM raw_layer) - (SELECT COUNT(*) FROM clean)"""
-        ),
-        "snapshot_retained": everything,
+        "upsert_months": _trips(
+            f"SELECT {raised.replace('WHEN taxi_type', 'WHEN source_month = 5 AND taxi_type')} FROM clean UNION ALL "
+            f"SELECT {CLEAN_COLUMNS} FROM raw_layer WHERE {FLAG} <> 'valid' AND source_month = 5"
+        ),
+        "arrivals_hourly": _trips(
+            """SELECT taxi_type, CAST(date_trunc('hour', pickup_ts) AS VARCHAR) AS hour_start, COUNT(*) AS total_trips,
+              CAST(SUM(total_cents) AS BIGINT) / 100.0::DOUBLE AS total_revenue
+            FROM clean GROUP BY 1, 2"""
+        ),
+        "cube_monthly": _mart("SELECT * FROM monthly"),
+        "cube_hourly_may": _mart("SELECT * FROM hourly"),
+        "cube_comparison": _mart("SELECT * FROM fleets"),
+        "sketch_spans_bound": _trips(
+            """SELECT span, taxi_type, COUNT(*) AS total_trips, COUNT(DISTINCT vendor_id) AS vendors,
+              COUNT(DISTINCT pickup_date) AS days, true AS counts_within_bound, true AS median_within_bound
+            FROM clean, (VALUES ('month', 1995, 5), ('year', 1995, NULL), ('all', NULL, NULL)) AS s(span, y, m)
+            WHERE source_year = coalesce(y, source_year) AND source_month = coalesce(m, source_month) GROUP BY span, taxi_type"""
+        ),
+        "selected_medians": _trips(
+            """SELECT taxi_type, source_year, source_month, total_cents / 100.0::DOUBLE AS median_amount FROM (
+              SELECT *, row_number() OVER (PARTITION BY taxi_type, source_year, source_month ORDER BY total_cents) AS place,
+                COUNT(*) OVER (PARTITION BY taxi_type, source_year, source_month) AS n FROM clean
+            ) WHERE place = (n + 1) // 2"""
+        ),
+        "layout_skew": _trips(
+            """SELECT layout_key, CAST(SUM(n) AS BIGINT) AS record_count, COUNT(*) AS distinct_values,
+              first(value ORDER BY n DESC, value) AS most_common, MAX(n) AS most_common_rows,
+              MAX(n) / CAST(SUM(n) AS DOUBLE) AS largest_share,
+              CAST(least(ceil(SUM(n) / 10000.0), COUNT(*)) AS BIGINT) AS suggested_buckets, MAX(n) > 20000 AS skewed
+            FROM (
+              SELECT 'pickup_hour' AS layout_key, CAST(pickup_hour AS VARCHAR) AS value, COUNT(*) AS n FROM clean GROUP BY 2
+              UNION ALL SELECT 'pickup_date', CAST(pickup_date AS VARCHAR), COUNT(*) FROM clean GROUP BY 2
+              UNION ALL SELECT 'vendor_id', CAST(vendor_id AS VARCHAR), COUNT(*) FROM clean GROUP BY 2
+            ) GROUP BY layout_key"""
+        ),
         "compact_layout": clean,
         "balanced_layout": clean,
         "zorder_layout": clean,
@@ -676,7 +700,7 @@ def _statistics() -> dict[str, str]:
         for a, x in columns.items()
         for b, y in columns.items()
     )
-    return {name: _trips(cells) for name in ("corr_matrix_long", "corr_matrix_ml")} | {
+    return {"corr_matrix_long": _trips(cells)} | {
         "kmeans_checks": _trips(
             """SELECT CAST(3 AS BIGINT) AS clusters, COUNT(*) AS trips, CAST(0 AS BIGINT) AS misplaced,
               true AS outliers_within_bound FROM clean WHERE dist_tenths > 0"""

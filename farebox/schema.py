@@ -85,6 +85,7 @@ class Thresholds:
 BRONZE_TRIPS = "bronze_taxi_unified"
 SILVER_TRIPS = "silver_taxi_clean"
 QUARANTINE_TRIPS = "test_failures_taxi"
+TRIP_CUBE = "gold_trip_cube"
 GOLD_MONTHLY = "gold_monthly_averages"
 GOLD_HOURLY = "gold_may_hourly_patterns"
 GOLD_COMPARISON = "gold_taxi_comparison"
@@ -108,6 +109,10 @@ REGISTRY = {
         TableSpec(BRONZE_TRIPS, "bronze", ("trip_id",), ("source_year", "source_month")),
         TableSpec(SILVER_TRIPS, "silver", ("trip_id",), ("source_year", "source_month")),
         TableSpec(QUARANTINE_TRIPS, "quarantine", ("trip_id",), ("source_year", "source_month")),
+        TableSpec(
+            TRIP_CUBE, "gold", ("taxi_type", "source_year", "source_month", "vendor_id", "pickup_date", "pickup_hour"),
+            ("source_year", "source_month"),
+        ),
         TableSpec(GOLD_MONTHLY, "gold", ("taxi_type", "year", "month")),
         TableSpec(GOLD_HOURLY, "gold", ("taxi_type", "pickup_hour")),
         TableSpec(GOLD_COMPARISON, "gold", ("taxi_type",)),

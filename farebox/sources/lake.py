@@ -48,7 +48,7 @@ class Lake:
         return self.read(name)
 
     def load(self, bronze: DataFrame, months: DataFrame | None = None, t: S.Thresholds = S.Thresholds()) -> None:
-        """Write the raw layer, the clean one and the quarantine.
+        """Write the raw layer, the clean one, the quarantine, and the cube that all marts are made of.
 
         ``months`` names the (source_year, source_month) being loaded; then the
         later layers take only those from the raw table, and no file of another
@@ -64,19 +64,20 @@ class Lake:
             raw = raw.filter(pick)
         self.write(S.SILVER_TRIPS, silver_ops.silver(raw, t))
         self.write(S.QUARANTINE_TRIPS, silver_ops.quarantine(raw, t))
+        trips = self.read(S.SILVER_TRIPS)
+        self.write(S.TRIP_CUBE, gold.cube(trips if months is None else trips.filter(pick)))
 
     def build(self, bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> dict[str, DataFrame]:
         """Raw layer to marts. Every layer is read back from its table by the next."""
         self.load(bronze, t=t)
-        raw, trips = self.read(S.BRONZE_TRIPS), self.read(S.SILVER_TRIPS)
-        return {
-            S.BRONZE_TRIPS: raw,
-            S.SILVER_TRIPS: trips,
-            S.QUARANTINE_TRIPS: self.read(S.QUARANTINE_TRIPS),
-            S.GOLD_MONTHLY: self.write(S.GOLD_MONTHLY, gold.monthly(trips)),
-            S.GOLD_HOURLY: self.write(S.GOLD_HOURLY, gold.hourly(trips)),
-            S.GOLD_COMPARISON: self.write(S.GOLD_COMPARISON, gold.comparison(trips)),
-        }
+        layers = (S.BRONZE_TRIPS, S.SILVER_TRIPS, S.QUARANTINE_TRIPS, S.TRIP_CUBE)
+        return {name: self.read(name) for name in layers} | self.marts()
+
+    def marts(self) -> dict[str, DataFrame]:
+        """The marts written from the cube; no trip is read."""
+        cells = self.read(S.TRIP_CUBE)
+        made = {S.GOLD_MONTHLY: gold.monthly_of, S.GOLD_HOURLY: gold.hourly_of, S.GOLD_COMPARISON: gold.comparison_of}
+        return {name: self.write(name, make(cells)) for name, make in made.items()}
 
 
 def register_views(bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> None:

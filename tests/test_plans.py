@@ -83,7 +83,8 @@ def test_running_totals_share_one_aggregate(spark, small, name):
 
 
 def test_library_does_not_pull_rows_to_the_driver():
-    allowed = {"lake.py": 1, "catalog.py": 1}  # months of the calendar
+    # months of the calendar; in marts.py also the paths of one batch of files
+    allowed = {"lake.py": 1, "catalog.py": 1, "upsert.py": 3, "marts.py": 2}
     for path in LIBRARY.rglob("*.py"):
         if "llm" in path.parts:  # bounded samples and filters, see there
             continue
