@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 # fixed values: the six ASCII white-space bytes
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -32,38 +31,41 @@ def chunks(texts: list, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
 
 # a prime below 2**31, so that products of two residues fit in 64 bits
 PRIME = np.uint64((1 << 31) - 1)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each base, the longest asked for so far
 
 
-@lru_cache(maxsize=8)
 def _prime_powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers modulo ``PRIME``, doubled from those at hand."""
-    out = np.ones(1, np.uint64)
+    out = np.ones(1, np.uint32)
     while len(out) < n:
-        out = np.concatenate([out, out * np.uint64(pow(base, len(out), int(PRIME))) % PRIME])
+        more = out * np.uint64(pow(base, len(out), int(PRIME))) % PRIME
+        out = np.concatenate([out, more.astype(np.uint32)])
     return out[:n]
 
 
-def prime_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(10, int(n).bit_length())
-    return _prime_powers(base, size)[:n], _prime_powers(pow(base, -1, int(PRIME)), size)[:n]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64, out=out)
+
+
+def _table(base: int, n: int, fill: Callable, modulus: int) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _TABLES or len(_TABLES[base][0]) < n:
+        size = max(1 << 10, n + n // 8)
+        _TABLES[base] = fill(base, size), fill(pow(base, -1, modulus), size)
+    up, down = _TABLES[base]
+    return up[:n], down[:n]
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd number and of its inverse, modulo 2**64."""
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        p = np.full(n, b, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+def prime_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """As many powers of a number and of its inverse modulo ``PRIME`` as asked for."""
+    return _table(base, n, _prime_powers, int(PRIME))
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """As many powers as asked for, from a table whose length is a power of two."""
-    up, down = _powers(base, 1 << max(10, int(n).bit_length()))
-    return up[:n], down[:n]
+    """As many powers of an odd number and of its inverse modulo 2**64 as asked for."""
+    return _table(base, n, _powers, 1 << 64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
