@@ -32,6 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{LN}]+|\s+(?!\S)|\s+"
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 CACHED_WORDS = 150_000
 
+ENCODED_BYTES = 2 << 20  # text encoded at once
+
 
 @lru_cache(maxsize=1)
 def _newer_characters() -> str:
@@ -262,7 +264,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
         def run(column: pa.Array) -> list[pa.Array]:
             texts = [x or "" for x in column.to_pylist()]
-            ids = [x for lo, hi in chunks(texts) for x in encoder.encode(texts[lo:hi])]
+            ids = [x for lo, hi in chunks(texts, ENCODED_BYTES) for x in encoder.encode(texts[lo:hi])]
             return [pa.array(ids, pa.binary())]
 
         return run
@@ -300,7 +302,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", o
         def run(column: pa.Array) -> list[pa.Array]:
             packed, decoded = [], []
             texts = [x or "" for x in column.to_pylist()]
-            for lo, hi in chunks(texts):
+            for lo, hi in chunks(texts, ENCODED_BYTES):
                 part = encoder.encode(texts[lo:hi])
                 packed += part
                 decoded += decode_ids(part, v)
