@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from farebox import schema as S
-from farebox.operators import aggregates, bronze as b, ml, quality, selection, silver as s, sketches, windows
+from farebox.operators import aggregates, bronze as b, clusters, ml, quality, selection, silver as s, sketches, windows
 from farebox.plans import gold, reports
 from farebox.session import materialize, work_dir
 from farebox.sources import files, layout, lineitem
@@ -29,6 +29,11 @@ AUDIT_COLUMNS = (
 SPLITTING_PERCENT = 99.5  # some files are below it, some above
 MONTH = ("source_year", "source_month")
 SKEW_ROWS = 10_000
+# centres of a fit on a small month, rounded, as a caller keeps them
+EARLIER_FIT = clusters.Centres(
+    points=((490.0, 3.25, 304.0, 4.4), (503.0, 5.05, 985.0, 14.1), (507.5, 1.88, 1009.0, 14.5)),
+    weights=(0.0035, 0.58, 0.0025, 0.174),
+)
 COMMITTED = tuple(datetime(2024, 1, day) for day in (1, 2, 3))
 
 
@@ -97,6 +102,11 @@ def conformance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conformance(lineitem.fleet_feeds(spark, sf_dir)["green"], S.raw_schema("green"))
 
 
+def conformance_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yellow fleet's files against the schema declared for them."""
+    return conformance(lineitem.fleet_feeds(spark, sf_dir)["yellow"], S.raw_schema("yellow"))
+
+
 def land_files(spark: SparkSession, sf_dir: str, root: str | None = None, drift: bool = False) -> list[files.SourceFile]:
     """Write the feeds as monthly files of each fleet's shape; their manifest.
 
@@ -221,6 +231,30 @@ def layout_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.layout_skew(silver(spark, sf_dir), ["pickup_hour", "pickup_date", "vendor_id"], SKEW_ROWS)
 
 
+# -------------------------------------------------------------------- clusters
+def cluster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What centres are fitted on; sums of squares as text, for they are wider than any number type of others."""
+    cells = clusters.coreset(silver(spark, sf_dir))
+    return cells.withColumns({c: F.col(c).cast("string") for c in cells.columns if c.startswith("q")})
+
+
+def earlier_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.outliers(clusters.assign(silver(spark, sf_dir), EARLIER_FIT))
+
+
+def fitted_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = silver(spark, sf_dir)
+    return clusters.outliers(clusters.assign(trips, clusters.fit(trips)))
+
+
+def coreset_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the fitted clusters, wherever their centres lie."""
+    return clusters.profile(fitted_clusters(spark, sf_dir)).agg(
+        F.count("*").alias("clusters"), F.sum("trips").alias("trips"),
+        F.bool_and(F.col("outliers") * 100 <= F.col("trips")).alias("outliers_within_bound"),
+    )
+
+
 # ---------------------------------------------------------------------- layout
 def compact_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _content(silver(spark, sf_dir))
@@ -282,6 +316,7 @@ def queries() -> dict[str, Query]:
         ),
         "bronze_trip_id": over(bronze, lambda d: d.select("trip_id", "VendorID", "pickup_datetime")),
         "conformance_report": conformance_report,
+        "conformance_yellow": conformance_yellow,
         "manifest_ingest": manifest_ingest,
         "silver_trips": over(silver),
         "silver_quality_flags": over(bronze, s.flag_counts),
@@ -361,6 +396,11 @@ def queries() -> dict[str, Query]:
         "kmeans_profile": over(silver, ml.kmeans, ml.cluster_profile),
         "kmeans_checks": over(silver, ml.kmeans, ml.cluster_checks),
         "kmeans_outliers": over(silver, ml.kmeans, ml.flag_outliers),
+        "cluster_cells": cluster_cells,
+        "centre_profile": over(earlier_clusters, clusters.profile),
+        "centre_outliers": over(earlier_clusters, lambda d: d.select("trip_id", "cluster", "is_outlier")),
+        "coreset_profile": over(fitted_clusters, clusters.profile),
+        "coreset_checks": coreset_checks,
         # versions and file layout
         "upsert_trips": upsert_trips,
         "upsert_months": upsert_months,

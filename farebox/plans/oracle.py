@@ -1,7 +1,7 @@
 """The same results in ANSI SQL over the source tables, for an independent engine.
 
 Each statement starts from ``lineitem`` and repeats the derivation on integers;
-nothing is shared with the Spark code but the fixed labels.
+nothing is shared with the Spark code but the fixed labels and centres.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from farebox.functions import labels
 from farebox.operators import silver as s
 from farebox.plans import reports
+from farebox.plans.catalog import EARLIER_FIT
 from farebox.schema import FLEETS
 
 # ----------------------------------------------------------------- building blocks
@@ -228,7 +229,16 @@ def _layers() -> dict[str, str]:
         ("trip_type", None, "int", "extra"),
     )
     q = lambda v: "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
-    rows = ", ".join(f"('{n}', {q(e)}, {q(f)}, '{st}')" for n, e, f, st in green)
+    yellow = [(n.replace("lpep_", "tpep_"), e, f, st) for n, e, f, st in green if n != "trip_type"]
+
+    def conformance(columns, status: str) -> str:
+        rows = ", ".join(f"('{n}', {q(e)}, {q(f)}, '{st}')" for n, e, f, st in columns)
+        return f"""
+            SELECT column_name, status, expected_type, found_type, n.total_rows,
+              CASE WHEN status <> 'missing' THEN n.total_rows END AS fitting_values
+            FROM (VALUES {rows}) AS c(column_name, expected_type, found_type, status)
+            CROSS JOIN (SELECT COUNT(*) AS total_rows FROM lineitem WHERE l_linestatus = '{status}') n"""
+
     return {
         "bronze_valid_trips": _layer(RAW_COLUMNS, "raw_layer"),
         "bronze_unified": _layer(
@@ -244,11 +254,8 @@ def _layers() -> dict[str, str]:
             'trip_id, vendor_id AS "VendorID", CAST(pickup_ts AS VARCHAR) AS pickup_datetime',
             "raw_layer",
         ),
-        "conformance_report": f"""
-            SELECT column_name, status, expected_type, found_type, n.total_rows,
-              CASE WHEN status <> 'missing' THEN n.total_rows END AS fitting_values
-            FROM (VALUES {rows}) AS c(column_name, expected_type, found_type, status)
-            CROSS JOIN (SELECT COUNT(*) AS total_rows FROM lineitem WHERE l_linestatus = 'F') n""",
+        "conformance_report": conformance(green, "F"),
+        "conformance_yellow": conformance(yellow, "O"),
         "manifest_ingest": _layer(
             f"""taxi_type, source_file, source_year, source_month, vendor_id AS "VendorID", {TIMES},
             CAST(pax AS DOUBLE) AS passenger_count, dist_tenths / 10.0::DOUBLE AS trip_distance,
@@ -708,9 +715,56 @@ def _statistics() -> dict[str, str]:
     }
 
 
+def _clusters() -> dict[str, str]:
+    scaled = ("total_cents", "pax * 100", "dur * 100", "dist_tenths * 10")
+    codes = ", ".join(
+        f"CAST(length(bin({v})) * 4 + (({v}) >> greatest(length(bin({v})) - 3, 0)) % 4 AS INTEGER) AS c{i}"
+        for i, v in enumerate(f"CAST({x} AS BIGINT)" for x in scaled)
+    )
+    sums = ", ".join(
+        f"CAST(SUM({v}) AS BIGINT) AS s{i}, CAST(SUM(CAST({v} AS HUGEINT) * ({v})) AS VARCHAR) AS q{i}"
+        for i, v in enumerate(scaled)
+    )
+    features = ("total_cents / 100.0::DOUBLE", "CAST(pax AS DOUBLE)", "CAST(dur AS DOUBLE)", "dist_tenths / 10.0::DOUBLE")
+
+    def distance(point: tuple[float, ...]) -> str:
+        steps = [f"(({c}) - {x!r}e0) * {w!r}e0" for c, x, w in zip(features, point, EARLIER_FIT.weights, strict=True)]
+        return "sqrt(" + " + ".join(f"({s}) * ({s})" for s in steps) + ")"
+
+    away = ", ".join(f"{distance(p)} AS d{i}" for i, p in enumerate(EARLIER_FIT.points))
+    placed = f"""measured AS (SELECT *, {away} FROM clean WHERE dist_tenths > 0),
+placed AS (
+  SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster,
+    CAST(floor(least(d0, d1, d2) * 1000000) AS BIGINT) AS away FROM measured
+),
+placed_in_order AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY cluster ORDER BY away) AS place,
+    COUNT(*) OVER (PARTITION BY cluster) AS members FROM placed
+),
+limits AS (SELECT cluster AS of_cluster, away AS furthest FROM placed_in_order WHERE place = (members * 99 + 99) // 100),
+flagged AS (SELECT placed.*, away > furthest AS is_outlier FROM placed JOIN limits ON cluster = of_cluster)"""
+    names = ("avg_amount", "avg_passengers", "avg_duration", "avg_distance")
+    means = ", ".join(f"{_mean(f'SUM({v})', 'COUNT(*)', 4, 2)} AS {a}" for v, a in zip(scaled, names, strict=True))
+    return {
+        "cluster_cells": _trips(
+            f"SELECT {codes}, COUNT(*) AS n, {sums} FROM clean WHERE dist_tenths > 0 GROUP BY c0, c1, c2, c3"
+        ),
+        "centre_profile": _trips(
+            f"""SELECT CAST(cluster AS INTEGER) AS cluster, COUNT(*) AS trips,
+              COUNT(*) FILTER (WHERE is_outlier) AS outliers, {means} FROM flagged GROUP BY cluster""",
+            placed,
+        ),
+        "centre_outliers": _trips("SELECT trip_id, CAST(cluster AS INTEGER) AS cluster, is_outlier FROM flagged", placed),
+        "coreset_checks": _trips(
+            """SELECT CAST(3 AS BIGINT) AS clusters, COUNT(*) AS trips, true AS outliers_within_bound
+              FROM clean WHERE dist_tenths > 0"""
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """Statement by query name. Approximate and clustering queries have none."""
     return {
         **_layers(), **_marts(), **_question_two(), **_fleets(), **_windows(), **_quality(),
-        **_statistics(),
+        **_statistics(), **_clusters(),
     }
