@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from farebox import schema as S
 from farebox.operators import bronze as bronze_ops, silver as silver_ops
@@ -27,34 +27,48 @@ class Lake:
             self.path(name)
         )
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
+    def write(self, name: str, df: DataFrame, counts: dict[str, Column] | None = None, into: dict | None = None) -> DataFrame:
         """Overwrite a table; of a partitioned one only the partitions present in ``df``.
 
         So loading a month again replaces that month. Partitioned tables are
         rebalanced on their partition columns first: few files per month, and
-        AQE splits a month that is far larger than the rest.
+        AQE splits a month that is far larger than the rest. ``counts`` are taken
+        of the rows as they are written, in the tasks that write them, and put
+        ``into`` a dict; nothing is scanned again.
         """
         by = S.REGISTRY[name].partition_by
+        if by:
+            df = df.hint("rebalance", *by)
+        seen = Observation()
+        if counts:
+            df = df.observe(seen, *[c.alias(k) for k, c in counts.items()])
         if by:
             (
-                df.hint("rebalance", *by)
-                .write.mode("overwrite")
+                df.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*by)
                 .parquet(self.path(name))
             )
         else:
             df.write.mode("overwrite").parquet(self.path(name))
+        if counts and into is not None:
+            into |= {k: seen.get.get(k, 0) for k in counts}
         return self.read(name)
 
-    def load(self, bronze: DataFrame, months: DataFrame | None = None, t: S.Thresholds = S.Thresholds()) -> None:
+    def load(self, bronze: DataFrame, months: DataFrame | None = None, t: S.Thresholds = S.Thresholds()) -> dict[str, int]:
         """Write the raw layer, the clean one, the quarantine, and the cube that all marts are made of.
 
+        Returns what was counted while writing: ``rows`` of the raw layer, those
+        ``valid`` among them by their flag, and the rows ``clean`` and ``quarantined``.
+
         ``months`` names the (source_year, source_month) being loaded; then the
         later layers take only those from the raw table, and no file of another
         month is read or replaced. Without it all of the raw table is taken.
         """
-        raw = self.write(S.BRONZE_TRIPS, bronze)
+        counted: dict[str, int] = {}
+        every = F.count("*")
+        valid = F.count_if(silver_ops.quality_flag(t) == silver_ops.VALID)
+        raw = self.write(S.BRONZE_TRIPS, bronze, {"rows": every, "valid": valid}, counted)
         if months is not None:
             # one row per month of the calendar: folders to read
             wanted = [(r[0], r[1]) for r in months.select("source_year", "source_month").distinct().collect()]
@@ -62,10 +76,11 @@ class Lake:
             for year, month in wanted:
                 pick = pick | ((F.col("source_year") == year) & (F.col("source_month") == month))
             raw = raw.filter(pick)
-        self.write(S.SILVER_TRIPS, silver_ops.silver(raw, t))
-        self.write(S.QUARANTINE_TRIPS, silver_ops.quarantine(raw, t))
+        self.write(S.SILVER_TRIPS, silver_ops.silver(raw, t), {"clean": every}, counted)
+        self.write(S.QUARANTINE_TRIPS, silver_ops.quarantine(raw, t), {"quarantined": every}, counted)
         trips = self.read(S.SILVER_TRIPS)
         self.write(S.TRIP_CUBE, gold.cube(trips if months is None else trips.filter(pick)))
+        return counted
 
     def build(self, bronze: DataFrame, t: S.Thresholds = S.Thresholds()) -> dict[str, DataFrame]:
         """Raw layer to marts. Every layer is read back from its table by the next."""

@@ -241,3 +241,17 @@ def test_layout_skew_names_the_crowded_value(spark):
     assert got == {
         "a": (1000, 601, "hot", 400, 0.4, 10, True), "b": (1000, 10, "0", 100, 0.1, 10, False), "c": (1000, 1, None, 1000, 1.0, 1, True),
     }
+
+
+def test_counts_taken_while_writing(spark, small):
+    lake = Lake(spark, work_dir(spark, "lake"))
+    raw = catalog.bronze(spark, small)
+    counted = lake.load(raw)
+    names = {"rows": S.BRONZE_TRIPS, "clean": S.SILVER_TRIPS, "quarantined": S.QUARANTINE_TRIPS}
+    assert {k: counted[k] for k in names} == {k: lake.read(n).count() for k, n in names.items()}
+    assert counted["valid"] == counted["clean"] == counted["rows"] - counted["quarantined"]
+    assert 0 < counted["clean"] < counted["rows"]
+    none = raw.limit(0)
+    nothing = lake.load(none, none.select("source_year", "source_month"))
+    assert nothing == dict.fromkeys(("rows", "valid", "clean", "quarantined"), 0)
+    assert lake.read(S.SILVER_TRIPS).count() == counted["clean"]
