@@ -115,11 +115,11 @@ def row_checks(
         F.count("*").alias("n"),
         *[F.count_if(bad).alias(f"f{i}") for i, bad in enumerate(failing.values())],
     )
-    rows = [_check_row(F.lit(name), F.col(f"f{i}"), F.col("n")) for i, name in enumerate(failing)]
+    rows = [check_row(F.lit(name), F.col(f"f{i}"), F.col("n")) for i, name in enumerate(failing)]
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _check_row(name: Column, failures: Column, rows: Column) -> Column:
+def check_row(name: Column, failures: Column, rows: Column) -> Column:
     return F.struct(
         name.alias("check_name"),
         failures.alias("failures"),
@@ -134,7 +134,7 @@ def unique_check(df: DataFrame, *key: str) -> DataFrame:
         df.groupBy(*key)
         .agg(F.count("*").alias("copies"))
         .agg(F.count_if(F.col("copies") > 1).alias("f"), F.coalesce(F.sum("copies"), F.lit(0)).alias("n"))
-        .select(F.inline(F.array(_check_row(F.lit(f"unique:{','.join(key)}"), F.col("f"), F.col("n")))))
+        .select(F.inline(F.array(check_row(F.lit(f"unique:{','.join(key)}"), F.col("f"), F.col("n")))))
     )
 
 
@@ -154,7 +154,7 @@ def reference_check(df: DataFrame, column: str, parent: DataFrame, parent_column
             F.coalesce(F.sum(F.when(orphan, F.col("rows")).otherwise(0)), F.lit(0)).alias("f"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
         )
-        .select(F.inline(F.array(_check_row(name, F.col("f"), F.col("n")))))
+        .select(F.inline(F.array(check_row(name, F.col("f"), F.col("n")))))
     )
 
 

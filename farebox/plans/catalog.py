@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from farebox import schema as S
-from farebox.operators import aggregates, bronze as b, clusters, ml, quality, selection, silver as s, sketches, windows
+from farebox.operators import aggregates, bronze as b, clusters, key_index, ml, quality, selection, silver as s, sketches, windows
 from farebox.plans import gold, reports
 from farebox.session import materialize, work_dir
 from farebox.sources import files, layout, lineitem
 from farebox.sources.conform import conformance
-from farebox.sources.lake import Lake
+from farebox.sources.lake import Lake, register_views
 from farebox.sources.upsert import upsert, upsert_partitions
 from farebox.streaming import marts as arrivals
 
@@ -29,6 +30,11 @@ AUDIT_COLUMNS = (
 SPLITTING_PERCENT = 99.5  # some files are below it, some above
 MONTH = ("source_year", "source_month")
 SKEW_ROWS = 10_000
+# a season within this data's years; the rules' own lies after them
+SEASON = replace(S.Thresholds(), first_day=date(1994, 1, 1), last_day=date(1997, 5, 31))
+NEW_MONTH = (1995, 5)
+BOX = {"pickup_date": (date(1995, 3, 1), date(1995, 8, 31)), "trip_distance": (5.0, 9.0)}
+BOX_FILES = 16
 # centres of a fit on a small month, rounded, as a caller keeps them
 EARLIER_FIT = clusters.Centres(
     points=((490.0, 3.25, 304.0, 4.4), (503.0, 5.05, 985.0, 14.1), (507.5, 1.88, 1009.0, 14.5)),
@@ -153,7 +159,27 @@ def lake_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------- quality
 def dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
-    return quality.trip_checks(bronze(spark, sf_dir), orders, "order_key", "o_orderkey")
+    return quality.trip_checks(bronze(spark, sf_dir), orders, "order_key", "o_orderkey", SEASON)
+
+
+def new_month_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """May 1995 against the key indexes of all months before it and of the orders.
+
+    A line's number is its order's with three more bits for its place in the order.
+    """
+    place = F.split_part("record_key", F.lit("|"), F.lit(2)).cast("bigint")
+    feed = lineitem.trip_feed(spark, sf_dir).withColumn("line_key", F.col("order_key") * 8 + place)
+    month = F.struct(*MONTH)
+    new = F.struct(*(F.lit(v).alias(c) for c, v in zip(MONTH, NEW_MONTH, strict=True)))
+    old, arrived = feed.filter(month < new), feed.filter(month == new)
+    found = []
+    for key in ("line_key", "order_key"):
+        stored = materialize(key_index.key_index(old, key, *MONTH), f"index-{key}")
+        found.append(key_index.unique_checks(key_index.key_index(arrived, key), stored, key))
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    parent = key_index.key_index(orders, "o_orderkey")
+    found.append(key_index.reference_check(key_index.key_index(arrived, "order_key"), parent, "order_key"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +300,40 @@ def zorder_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(path))
 
 
+def layout_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a box under two curves: all of them lie in the files a reader opens, which are not all files."""
+    trips = _content(silver(spark, sf_dir))
+    inside = reduce(lambda x, y: x & y, (F.col(k).between(F.lit(lo), F.lit(hi)) for k, (lo, hi) in BOX.items()))
+    found = []
+    for name, order in (("hilbert", layout.hilbert_order), ("z", layout.z_order)):
+        path = work_dir(spark, f"curve-{name}")
+        order(trips, *BOX, unique="trip_id", files=BOX_FILES).write.parquet(path)
+        laid = spark.read.parquet(path)
+        boxes = layout.file_boxes(laid, *BOX)
+        opened = layout.touched(boxes, BOX).select("file_path", F.lit(1).alias("opened"))
+        held = laid.filter(inside).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("n"))
+        found.append(
+            boxes.join(opened, "file_path", "left").join(held, "file_path", "left").agg(
+                F.lit(name).alias("curve"), F.sum("rows").alias("record_count"), F.sum("n").alias("box_rows"),
+                F.sum(F.when(F.col("opened") == 1, F.col("n"))).alias("opened_rows"),
+                (F.sum("opened") < F.count("*")).alias("skips_files"),
+            )
+        )
+    return found[0].unionByName(found[1])
+
+
+def view_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart as SQL users ask for it, by its public name."""
+    register_views(bronze(spark, sf_dir))
+    return plain(spark.sql(f"SELECT * FROM {S.GOLD_MONTHLY}"))
+
+
+def view_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of the staging view by fleet, time of day and fare tier, asked in SQL."""
+    register_views(bronze(spark, sf_dir))
+    return spark.sql(f"SELECT taxi_type, time_period, fare_tier, COUNT(*) AS trips FROM {S.STAGING_VIEW} GROUP BY ALL")
+
+
 def partitioned_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips laid out by year and month; the report reads the May folders only."""
     trips = layout.write_partitioned(
@@ -413,6 +473,10 @@ def queries() -> dict[str, Query]:
         "layout_distribution": layout_distribution,
         "layout_vendors_bound": lambda sp, d: aggregates.vendors_bound(silver(sp, d), "source_year", "source_month"),
         "layout_skew": layout_skew,
+        "layout_boxes": layout_boxes,
+        "new_month_keys": new_month_keys,
+        "view_monthly": view_monthly,
+        "view_staging": view_staging,
         "layout_rows": lambda sp, d: layout_distribution(sp, d).drop("unique_vendors"),
         "csv_roundtrip": csv_roundtrip,
     }

@@ -314,6 +314,34 @@ def _layers() -> dict[str, str]:
               UNION ALL SELECT 'vendor_id', CAST(vendor_id AS VARCHAR), COUNT(*) FROM clean GROUP BY 2
             ) GROUP BY layout_key"""
         ),
+        "layout_boxes": _trips(
+            """SELECT curve, COUNT(*) AS record_count, COUNT(*) FILTER (WHERE inside) AS box_rows,
+              COUNT(*) FILTER (WHERE inside) AS opened_rows, true AS skips_files
+            FROM (
+              SELECT pickup_date BETWEEN DATE '1995-03-01' AND DATE '1995-08-31' AND dist_tenths BETWEEN 50 AND 90 AS inside
+              FROM clean
+            ), (VALUES ('hilbert'), ('z')) AS curves(curve) GROUP BY curve"""
+        ),
+        "new_month_keys": """
+            WITH lines AS (
+              SELECT l_orderkey AS order_key, l_orderkey * 8 + l_linenumber AS line_key,
+                year(l_shipdate) * 100 + month(l_shipdate) AS m FROM lineitem
+            ), fresh AS (SELECT * FROM lines WHERE m = 199505), old AS (SELECT * FROM lines WHERE m < 199505),
+            counted AS (
+              SELECT 'repeated:line_key' AS check_name, COUNT(line_key) - COUNT(DISTINCT line_key) AS failures FROM fresh
+              UNION ALL SELECT 'repeated:order_key', COUNT(order_key) - COUNT(DISTINCT order_key) FROM fresh
+              UNION ALL SELECT 'known:line_key', COUNT(DISTINCT line_key) FROM fresh WHERE line_key IN (SELECT line_key FROM old)
+              UNION ALL SELECT 'known:order_key', COUNT(DISTINCT order_key) FROM fresh WHERE order_key IN (SELECT order_key FROM old)
+              UNION ALL SELECT 'reference:order_key', COUNT(DISTINCT order_key) FROM fresh
+                WHERE order_key NOT IN (SELECT o_orderkey FROM orders)
+            )
+            SELECT check_name, failures, (SELECT COUNT(*) FROM fresh) AS rows_checked, failures = 0 AS passed FROM counted""",
+        "view_monthly": _mart("SELECT * FROM monthly"),
+        "view_staging": _trips(
+            f"""SELECT taxi_type, {PERIOD} AS time_period,
+              {_above('total_cents / 100.0::DOUBLE', labels.FARE_TIERS, labels.FARE_TIER_ELSE)} AS fare_tier,
+              COUNT(*) AS trips FROM clean GROUP BY ALL"""
+        ),
         "compact_layout": clean,
         "balanced_layout": clean,
         "zorder_layout": clean,
@@ -648,7 +676,7 @@ def _quality() -> dict[str, str]:
         ),
         check(
             "rule:in_season",
-            "pickup_date NOT BETWEEN DATE '2023-01-01' AND DATE '2023-05-31'",
+            "pickup_date NOT BETWEEN DATE '1994-01-01' AND DATE '1997-05-31'",
         ),
         "SELECT 'unique:trip_id' AS check_name, COUNT(*) FILTER (WHERE n > 1) AS failures, "
         "CAST(SUM(n) AS BIGINT) AS rows_checked, COUNT(*) FILTER (WHERE n > 1) = 0 AS passed "

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 Z_BITS = 8
+CELLS_PER_FILE = 64
 PART_BYTES = 256 << 20
 ROWS_PER_BUCKET = 5_000_000
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -49,24 +51,60 @@ def _as_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: cluster by numbers, dates or times, not {kind.simpleString()}")
 
 
-def _interleave(ranks: list[Column]) -> Column:
+def _interleave(ranks: list[Column], bits: int = Z_BITS) -> Column:
     """Bits of the ranks in turn, highest first: close z-values are close in every rank."""
     width = len(ranks)
     placed = [
         F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * width + width - 1 - i)
-        for bit in range(Z_BITS)
+        for bit in range(bits)
         for i, rank in enumerate(ranks)
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), placed)
 
 
-def z_order(df: DataFrame, *keys: str, unique: str, files: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted along a z-curve over ``keys``.
+def _gray(i: int) -> int:
+    return i ^ (i >> 1)
 
-    Each key becomes an 8-bit rank by approximate quantiles, so skewed keys
-    still use the whole range. ``unique`` ends the order: a z-value that holds
-    a third of the rows is then cut into as many ranges as it needs.
+
+def _low_ones(i: int) -> int:
+    return (~i & (i + 1)).bit_length() - 1
+
+
+def _hilbert(ranks: list[Column], bits: int) -> Column:
+    """Place of the cell along a Hilbert curve: one step between neighbours, unlike the jumps of a z-curve.
+
+    From the highest bit down, each sub-cube of ``2**n`` cells is passed in Gray-code order. The state
+    is the corner where the curve enters the sub-cube and the axis along which it leaves.
     """
+    n = len(ranks)
+    ranks = [r.cast("int") for r in ranks]
+    cells = range(1 << n)
+    place = F.array(*(F.lit([_gray(i) for i in cells].index(c)) for c in cells))
+    corner = F.array(*(F.lit(_gray(2 * ((c - 1) // 2)) if c else 0) for c in cells))
+    axis = F.array(*(F.lit(_low_ones(c if c % 2 else c - 1) % n if c else 0) for c in cells))
+
+    def rotated(x: Column, by: Column) -> Column:
+        up, down = F.call_function("shiftleft", x, by), F.call_function("shiftright", x, F.lit(n) - by)
+        return up.bitwiseOR(down).bitwiseAND(F.lit(len(cells) - 1))
+
+    def step(state: Column, bit: Column) -> Column:
+        label = reduce(
+            lambda a, b: a.bitwiseOR(b),
+            (F.shiftleft(F.call_function("shiftright", r, bit).bitwiseAND(F.lit(1)), i) for i, r in enumerate(ranks)),
+        )
+        at = F.get(place, rotated(label.bitwiseXOR(state["corner"]), F.lit(n - 1) - state["axis"]))
+        return F.struct(
+            (state["along"] * len(cells) + at).alias("along"),
+            state["corner"].bitwiseXOR(rotated(F.get(corner, at), state["axis"] + 1)).alias("corner"),
+            ((state["axis"] + F.get(axis, at) + 1) % n).alias("axis"),
+        )
+
+    start = F.struct(F.lit(0).cast("bigint").alias("along"), F.lit(0).alias("corner"), F.lit(0).alias("axis"))
+    return F.aggregate(F.array(*(F.lit(b) for b in reversed(range(bits)))), start, step, lambda s: s["along"])
+
+
+def _along(df: DataFrame, keys: tuple[str, ...], unique: str, files: int | None, bits: int, curve: Callable) -> DataFrame:
+    """Rows range-partitioned and sorted by their place on a curve over the keys' ranks of ``bits`` bits."""
     if not 2 <= len(keys) <= 7:
         raise ValueError("cluster by two to seven keys")
     numbers = [f"_n{i}" for i in range(len(keys))]
@@ -75,12 +113,12 @@ def z_order(df: DataFrame, *keys: str, unique: str, files: int | None = None) ->
     ranker = QuantileDiscretizer(
         inputCols=numbers,
         outputCols=ranks,
-        numBuckets=2**Z_BITS,
+        numBuckets=2**bits,
         relativeError=0.001,
         handleInvalid="keep",
     ).fit(numbered.select(*numbers))
-    top = F.lit(2**Z_BITS - 1)
-    z = _interleave([F.least(F.col(r).cast("bigint"), top) for r in ranks])
+    top = F.lit(2**bits - 1)
+    z = curve([F.least(F.col(r).cast("bigint"), top) for r in ranks], bits)
     placed = ranker.transform(numbered).withColumn("_z", z)
     sliced = (
         placed.repartitionByRange(files, "_z", unique)
@@ -90,6 +128,39 @@ def z_order(df: DataFrame, *keys: str, unique: str, files: int | None = None) ->
     return sliced.sortWithinPartitions("_z", unique).drop(*numbers, *ranks, "_z")
 
 
+def z_order(df: DataFrame, *keys: str, unique: str, files: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted along a z-curve over ``keys``.
+
+    Each key becomes an 8-bit rank by approximate quantiles, so skewed keys
+    still use the whole range. ``unique`` ends the order: a z-value that holds
+    a third of the rows is then cut into as many ranges as it needs.
+    """
+    return _along(df, keys, unique, files, Z_BITS, _interleave)
+
+
+def hilbert_bits(files: int, keys: int) -> int:
+    """Bits per key that give ``CELLS_PER_FILE`` cells or more to each file; 8 at most, as quantiles tell no more apart."""
+    cells = max(2, files * CELLS_PER_FILE)
+    return min(Z_BITS, -(-(cells - 1).bit_length() // keys))
+
+
+def hilbert_order(df: DataFrame, *keys: str, unique: str, files: int) -> DataFrame:
+    """As :func:`z_order`, along a Hilbert curve, with the bits that so many files need."""
+    return _along(df, keys, unique, files, hilbert_bits(files, len(keys)), _hilbert)
+
+
+def file_boxes(table: DataFrame, *keys: str) -> DataFrame:
+    """Rows and, per key, the least and the largest value of every file."""
+    ends = [f(k).alias(f"{name}_{k}") for k in keys for name, f in (("min", F.min), ("max", F.max))]
+    return table.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("rows"), *ends)
+
+
+def touched(boxes: DataFrame, box: dict[str, tuple]) -> DataFrame:
+    """The files that a reader of ``box`` (key: least and largest value) cannot skip."""
+    meets = ((F.col(f"max_{k}") >= F.lit(lo)) & (F.col(f"min_{k}") <= F.lit(hi)) for k, (lo, hi) in box.items())
+    return boxes.filter(reduce(lambda a, b: a & b, meets))
+
+
 def write_partitioned(df: DataFrame, path: str, *by: str) -> DataFrame:
     """One folder per value of ``by``; a large value gets several files."""
     df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
