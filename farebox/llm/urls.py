@@ -4,17 +4,21 @@ The first filter holds the listed keys. Of all other keys of the corpus, those
 that it lets through by mistake fill the second filter, the listed keys that
 the second lets through fill the third, and so on until none is left. A key's
 first miss then tells whether it is listed: exact for every key of the
-universe, with hashes and bits only and no join. DataFrame functions only.
+universe, with hashes and bits only and no join. A long list is dealt to shards
+by hash, each with a cascade of its own, so that no filter outgrows a task.
+DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farebox.llm.frames import stored
+from farebox.llm.frames import no_shuffle_files_left, stored
+from farebox.session import work_dir
 
 # fixed values: verdict, host, path
 RULES = (
@@ -110,28 +114,79 @@ class Cascade:
         return F.coalesce(out, F.lit(False))
 
 
-def cascade(universe: DataFrame, key: str, listed: str, max_bits: int = MAX_BITS, **sizes: int) -> Cascade | None:
+def cascade(universe: DataFrame, key: str, listed: str, **sizes: int) -> Cascade:
     """Filters for the rows of ``universe`` marked by ``listed``; keys must be distinct and not null.
 
-    The driver holds the filters only, not the keys. None if a filter would
-    need more than ``max_bits``: such a list is no longer small against the
-    data, and the caller joins it instead.
+    The driver holds the filters only, not the keys.
     """
     inside, outside = universe.filter(listed), universe.filter(f"NOT {listed}")
     levels: list[Level] = []
     while n := inside.count():
-        if n * sizes.get("bits_per_key", 12) > max_bits:
-            return None
         levels.append(bloom_level(inside, key, n, seed=1000 * len(levels), **sizes))
         passed = outside.filter(levels[-1].holds(F.col(key)))
         inside, outside = passed, inside
     return Cascade(tuple(levels))
 
 
-def host_list(pages: DataFrame, url: str = "url", pattern: str = LISTED_NAME) -> DataFrame:
-    """Every host of the pages once, and whether its name puts it on the list."""
-    hosts = pages.select(host(F.col(url)).alias("key")).filter("key <> ''").distinct()
-    return hosts.withColumn("listed", F.col("key").rlike(pattern))
+def shards_for(universe: DataFrame, listed: str, max_bits: int = MAX_BITS, bits_per_key: int = 12, hashes: int = 6) -> int:
+    """How many shards keep each filter near ``max_bits``.
+
+    The first level holds the listed keys, the second the share of the others that the first lets
+    through, by the usual formula; all further ones are smaller.
+    """
+    inside, every = universe.agg(F.count_if(listed), F.count("*")).first()
+    through = (1 - math.exp(-hashes / bits_per_key)) ** hashes
+    return max(1, math.ceil(max(inside, every * through) * bits_per_key / max_bits))
+
+
+def _dealt(df: DataFrame, key: str, shards: int, label: str) -> DataFrame:
+    """``df`` as a table with a folder per shard; a shard with a hot key gets several files."""
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    # a seed that no level has: bits within a shard stay independent of it
+    rows = df.withColumn("shard", F.pmod(F.xxhash64(F.col(key), F.lit(-1)), F.lit(shards)).cast("int"))
+    with no_shuffle_files_left(spark):
+        rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def marked(df: DataFrame, key: str, universe: DataFrame, max_bits: int = MAX_BITS, **sizes: int) -> DataFrame:
+    """``df`` with ``listed``: is its ``key`` a listed one of ``universe`` (key, listed)?
+
+    Exact for keys of the universe. Null and empty keys are not listed. With more than one shard, keys and
+    rows are dealt to folders and judged a shard at a time: every row is read once, and
+    the driver holds one shard's filters.
+    """
+
+    def judged(rows: DataFrame, filters: Cascade) -> DataFrame:
+        return rows.withColumn("listed", F.when(F.col(key) == "", False).otherwise(filters.contains(F.col(key))))
+
+    shards = shards_for(universe, "listed", max_bits, **sizes)
+    if shards == 1:
+        return judged(df, cascade(universe, "key", "listed", **sizes))
+    keys, rows = _dealt(universe, "key", shards, "url-key-shards"), _dealt(df, key, shards, "url-row-shards")
+    done = judged(rows.drop("shard"), Cascade(()))
+    path = work_dir(df.sparkSession, "url-judged")
+    for i in range(shards):
+        filters = cascade(keys.filter(F.col("shard") == i), "key", "listed", **sizes)
+        judged(rows.filter(F.col("shard") == i).drop("shard"), filters).write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(done.schema).parquet(path)
+
+
+def host_list(pages: DataFrame, url: str = "url", names: DataFrame | None = None, pattern: str = LISTED_NAME) -> DataFrame:
+    """Every host of the pages once, and whether it is on the list.
+
+    The list is the first column of ``names``, hosts in lower case, nulls and repeats ignored. Without
+    one, a host is listed if its name fits ``pattern``.
+    """
+    hosts = pages.select(host(F.col(url)).alias("key")).filter("key <> ''")
+    if names is None:
+        return hosts.distinct().withColumn("listed", F.col("key").rlike(pattern))
+    given = names.select(F.col(names.columns[0]).cast("string").alias("key")).filter("key <> ''")
+    both = hosts.select("key", F.lit(True).alias("occurs"), F.lit(False).alias("listed")).unionByName(
+        given.select("key", F.lit(False).alias("occurs"), F.lit(True).alias("listed"))
+    )
+    return both.groupBy("key").agg(F.bool_or("listed").alias("listed"), F.bool_or("occurs").alias("occurs")).filter("occurs").drop("occurs")
 
 
 def judge_urls(
@@ -145,14 +200,9 @@ def judge_urls(
     allowed. Rows are kept as they are; columns of the new names are replaced.
     """
     kept = stored(universe.select("key", "listed"), "url-keys")
-    filters = cascade(kept, "key", "listed", **sizes)
     source = pages.select(F.struct(*pages.columns).alias("row"), F.col(url).alias("u"))
     parts = source.select("row", host(F.col("u")).alias("h"), path(F.col("u")).alias("p"))
-    if filters is None:
-        names = kept.filter("listed").select("key", "listed")
-        parts = parts.join(names, F.col("h") == F.col("key"), "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    else:
-        parts = parts.withColumn("listed", filters.contains(F.col("h")))
+    parts = marked(parts, "h", kept, **sizes)
     rule, verdict = ruled(F.col("h"), F.col("p"), rules)
     new = ("host", "path", "rule", "verdict", "listed")
     return parts.select(

@@ -491,12 +491,34 @@ def test_cascade_is_exact(spark):
     found = urls.cascade(keys, "key", "listed", bits_per_key=3, hashes=1)
     assert len(found.levels) > 2
     assert keys.filter(found.contains(F.col("key")) != F.col("listed")).count() == 0
-    assert urls.cascade(keys, "key", "listed", max_bits=64) is None
     none = urls.cascade(keys.filter("NOT listed"), "key", "listed")
     assert keys.filter(none.contains(F.col("key"))).count() == 0
 
 
-@pytest.mark.parametrize("max_bits", [urls.MAX_BITS, 1])
+def test_shards_of_a_long_list_are_exact(spark):
+    """More keys than one filter may hold, a hot key, and null, empty and unknown ones beside them."""
+    keys = spark.range(4000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 9 == 0).alias("listed"))
+    sizes = {"max_bits": 300, "bits_per_key": 3, "hashes": 1}
+    assert urls.shards_for(keys, "listed", **sizes) == 12
+    hot = spark.range(3000).select(F.lit("host9").alias("key"), F.lit(True).alias("listed"))
+    rows = keys.unionByName(hot).unionByName(spark.createDataFrame([("", False), (None, False)], "key string, listed boolean"))
+    rows = rows.select(F.col("key").alias("h"), F.col("listed").alias("wanted"))
+    out = urls.marked(rows, "h", keys, **sizes)
+    assert out.count() == 7002 and out.filter("listed != wanted").count() == 0
+    assert urls.marked(rows.limit(0), "h", keys, **sizes).count() == 0
+    # a long universe with a short list: the second level is what is large
+    assert urls.shards_for(keys.withColumn("listed", F.col("key") == "host1"), "listed", **sizes) == 12
+
+
+def test_host_list_from_a_table(spark):
+    pages = spark.createDataFrame([("http://A.org/x",), ("http://b.org",), ("http://b.org/2",), (None,), ("none",)], "url string")
+    names = spark.createDataFrame([("a.org",), ("a.org",), ("absent.org",), (None,), ("",)], "name string")
+    assert pairs(urls.host_list(pages, names=names), "key", "listed") == ordered([("a.org", True), ("b.org", False)])
+    out = urls.judge_urls(pages, urls.host_list(pages, names=names))
+    assert pairs(out, "host", "verdict") == ordered([("a.org", "block"), ("b.org", "allow"), ("b.org", "allow"), ("", "allow"), ("", "allow")])
+
+
+@pytest.mark.parametrize("max_bits", [urls.MAX_BITS, 16])
 def test_url_edges(spark, max_bits):
     rows = [
         (1, "http://WWW.Example.com/en/x?y#z"), (2, "https://a.example.com/en/"), (3, "x://example.com"), (4, None), (5, "no scheme/en/"),
