@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farebox.llm.batches import Words, chunks, mixed, utf8, window_hash
 from farebox.llm.frames import mapped, parts_for, stored
@@ -193,43 +193,28 @@ def buckets(classes: DataFrame, similarity: float, limit: int = LIMIT, last_leve
         level += 1
 
 
-ROW_SCHEMA = "key bigint, i int, j int, block int, d bigint, h bigint, w bigint, keys binary, shingles binary"
 LINK_SCHEMA = "d bigint, h bigint, links bigint, to_d bigint, to_h bigint"
 
 
-def _bucket_rows(taken: DataFrame, k: int, block: int) -> DataFrame:
-    """A row per set and pair of blocks; a bucket of one block has one pair."""
+def _bucket_rows(taken: DataFrame, block: int) -> DataFrame:
+    """(key, i, j, block, d, h, w, keys, t): a row per set and pair of blocks; a bucket of one block has one pair.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d, h = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            texts, weights, lists = utf8(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            rows: list[tuple] = []
-            held = 0
-            for lo, hi in chunks(texts):
-                s, begin = shingles(texts[lo:hi], k)
-                for i in range(lo, hi):
-                    own = s[begin[i - lo] : begin[i - lo + 1]].tobytes()
-                    keys = np.sort(np.array([x["key"] for x in lists[i]], np.int64)).tobytes()
-                    for x in lists[i]:
-                        n = -(-x["n"] // block)
-                        mine = int(h[i]) % n
-                        for other in range(n):
-                            rows.append((x["key"], min(mine, other), max(mine, other), mine, int(d[i]), int(h[i]), weights[i], keys, own))
-                            held += len(own)
-                    if held > 8 << 20:
-                        yield _row_batch(rows)
-                        rows, held = [], 0
-            if rows:
-                yield _row_batch(rows)
-
-    return mapped(taken, run, ROW_SCHEMA)
-
-
-def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=[c.split(" ")[0] for c in ROW_SCHEMA.split(", ")])
+    The text goes to its buckets rather than its shingles, which are longer and do not compress.
+    """
+
+    def places(x: Column) -> Column:
+        blocks = F.ceil(x["n"] / block)
+        mine = F.pmod(F.col("h"), blocks)
+        return F.transform(
+            F.sequence(F.lit(0).cast("bigint"), blocks - 1),
+            lambda other: F.struct(
+                x["key"].alias("key"), F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j"), mine.alias("block")
+            ),
+        )
+
+    keys = F.array_sort(F.col("lists.key")).alias("keys")
+    rows = taken.select("d", "h", "w", keys, F.col("t").cast("binary").alias("t"), F.explode(F.flatten(F.transform("lists", places))).alias("x"))
+    return rows.select("x.*", "d", "h", "w", "keys", "t")
 
 
 def _common(parts: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -278,14 +263,19 @@ def links_within(
         first = new
 
 
-def _links(rows: DataFrame, similarity: float, n: int) -> DataFrame:
+def _links(rows: DataFrame, similarity: float, k: int, n: int) -> DataFrame:
+    """Links within each pair of blocks, one at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def resolve() -> pa.RecordBatch:
             key, i, j = held[0][:3]
             block, d, h, w = (np.array([r[c] for r in held], np.int64) for c in (3, 4, 5, 6))
-            keys, sets = [np.frombuffer(r[7], np.int64) for r in held], [np.frombuffer(r[8], np.uint64) for r in held]
+            keys, texts, sets = [np.array(r[7], np.int64) for r in held], [r[8] for r in held], []
+            for lo, hi in chunks(texts):
+                s, begin = shingles(texts[lo:hi], k)
+                sets += np.split(s, begin[1:-1])
             links, first = links_within(key, i, j, block, w.astype(np.float64), keys, sets, similarity)
             out = np.flatnonzero((links > 0) | (first != np.arange(len(first))))
             columns = [d[out], h[out], links[out].astype(np.int64), d[first[out]], h[first[out]]]
@@ -348,7 +338,7 @@ def near_duplicates(
     weighted = lists.join(classes.select("rep", "w"), "rep").select(F.col("rep.d").alias("pd"), F.col("rep.h").alias("ph"), "w", "lists")
     # a document given twice is one set
     texts = docs.join(weighted, (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph"))).select("d", "h", "t", "w", "lists")
-    links = stored(_links(_bucket_rows(texts, k, block), similarity, parts_for(docs, "t")), "links")
+    links = stored(_links(_bucket_rows(texts, block), similarity, k, parts_for(docs, "t")), "links")
     counts = links.groupBy("d", "h").agg(F.sum("links").alias("links"))
     roots = components(
         links.select(F.struct("d", "h").alias("a"), F.struct(F.col("to_d").alias("d"), F.col("to_h").alias("h")).alias("b")).filter("a <> b")
