@@ -156,7 +156,7 @@ def sketches(docs: DataFrame, similarity: float, recall: float, k: int, last_lev
 
 
 def _deeper(rows: DataFrame, similarity: float) -> DataFrame:
-    """The children of oversized nodes: (rep, key, tokens)."""
+    """The children of oversized nodes: (id, key, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,30 +166,38 @@ def _deeper(rows: DataFrame, similarity: float) -> DataFrame:
             tokens = np.stack([np.frombuffer(t, np.uint64) for t in batch.column(2).to_pylist()])
             row, key = children(keys, tokens, similarity)
             at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(key.view(np.int64)), batch.column(2).take(at)], names=["rep", "key", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(key.view(np.int64)), batch.column(2).take(at)], names=["id", "key", "tokens"])
 
-    return mapped(rows.select("rep", "key", "tokens"), run, rows.select("rep", "key", "tokens").schema)
+    return mapped(rows.select("id", "key", "tokens"), run, rows.select("id", "key", "tokens").schema)
 
 
 def buckets(classes: DataFrame, similarity: float, limit: int = LIMIT, last_level: int = LAST_LEVEL) -> DataFrame:
-    """(rep, key, n): the buckets of at least two sets; of buckets with equal members one is left."""
-    rows = classes.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
+    """(id, key, n): the buckets of at least two sets; of buckets with equal members one is left.
+
+    Most buckets hold two sets, and their smallest and largest id are all there is to know: only
+    larger ones meet their rows again.
+    """
+    rows = classes.select("id", F.explode(F.array_distinct("keys")).alias("key"))
     out, level = None, 2
     while True:
         sizes = stored(
-            rows.groupBy("key").agg(
-                F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")
-            ).filter("n > 1"), "node-sizes",
+            rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n > 1"), "node-sizes"
         )
+        two = sizes.filter("n = 2").groupBy("a", "b").agg(F.min("key").alias("key"))
+        pairs = stored(two.select(F.explode(F.array("a", "b")).alias("id"), "key", F.lit(2).cast("bigint").alias("n")), "buckets")
+        out = pairs if out is None else out.unionByName(pairs)
         final = F.lit(True) if level == last_level else F.col("n") <= limit
-        ready = sizes.filter(final).groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
-        part = stored(rows.join(ready, "key").select("rep", "key", "n"), "buckets")
-        out = part if out is None else out.unionByName(part)
-        large = sizes.filter(~final).select("key")
+        more = sizes.filter("n > 2").select("key", "n", final.alias("final"))
+        members = stored(rows.join(more.filter("final").drop("final"), "key").select("id", "key", "n"), "members")
+        ready = members.groupBy("key", "n").agg(
+            F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
+        ).groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+        out = out.unionByName(stored(members.join(ready, "key", "left_semi").select("id", "key", "n"), "buckets"))
+        large = more.filter("NOT final").select("key")
         if level == last_level or large.isEmpty():
             return out
-        split = rows.join(large, "key").select("rep", "key")
-        rows = stored(_deeper(split.join(classes.select("rep", "tokens"), "rep"), similarity).drop("tokens").distinct(), "split-nodes")
+        split = rows.join(large, "key").select("id", "key")
+        rows = stored(_deeper(split.join(classes.select("id", "tokens"), "id"), similarity).drop("tokens").distinct(), "split-nodes")
         level += 1
 
 
@@ -332,10 +340,10 @@ def near_duplicates(
         rows.groupBy(*same).agg(
             F.min(F.struct("d", "h")).alias("rep"), F.count("*").alias("w"),
             F.first("tokens").alias("tokens"), F.first("keys").alias("keys"),
-        ), "classes",
+        ).withColumn("id", F.monotonically_increasing_id()), "classes",  # written with the rows, so an id is the same in every read
     )
-    lists = buckets(classes, similarity, limit, last_level).groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("lists"))
-    weighted = lists.join(classes.select("rep", "w"), "rep").select(F.col("rep.d").alias("pd"), F.col("rep.h").alias("ph"), "w", "lists")
+    lists = buckets(classes, similarity, limit, last_level).groupBy("id").agg(F.collect_list(F.struct("key", "n")).alias("lists"))
+    weighted = lists.join(classes.select("id", "rep", "w"), "id").select(F.col("rep.d").alias("pd"), F.col("rep.h").alias("ph"), "w", "lists")
     # a document given twice is one set
     texts = docs.join(weighted, (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph"))).select("d", "h", "t", "w", "lists")
     links = stored(_links(_bucket_rows(texts, block), similarity, k, parts_for(docs, "t")), "links")
