@@ -112,7 +112,8 @@ def assign(trips: DataFrame, centres: Centres) -> DataFrame:
         positive(trips, *CLUSTER_FEATURES)
         .withColumn("_all", F.array(*[distance(p) for p in centres.points]))
         .withColumn("centre_distance", F.array_min("_all"))
-        .withColumn("cluster", (F.array_position("_all", F.col("centre_distance")) - 1).cast("int"))
+        # never NULL, and said so: a join would else look for NULLs by working all distances out again in the scan
+        .withColumn("cluster", F.coalesce((F.array_position("_all", F.col("centre_distance")) - 1).cast("int"), F.lit(0)))
         .drop("_all")
     )
 

@@ -17,11 +17,12 @@ def selected(df: DataFrame, keys: list[str], value: Column, name: str, share: tu
     Selection by digits, the highest first: every round counts one digit of
     the values that still agree with what is known, and settles it for every
     group. A group never has more than ``2 ** bits`` counts, whatever its number
-    of distinct values; a round is one scan and one small aggregate. NULL
-    values do not count, a group without others is left out, and NULL keys are
-    a group of their own.
+    of distinct values; a round is one scan of the keys and values, which are
+    written once, and one small aggregate. NULL values do not count, a group
+    without others is left out, and NULL keys are a group of their own.
     """
-    rows = df.select(*keys, value.cast("bigint").alias("_v")).filter("_v IS NOT NULL")
+    # written once: the rounds read numbers, and their filters are not worked out from the value's inputs
+    rows = materialize(df.select(*keys, value.cast("bigint").alias("_v")), "selection-values").filter("_v IS NOT NULL")
     low, high = rows.agg(F.min("_v"), F.max("_v")).first()
     if low is None:
         return rows.select(*keys, F.col("_v").alias(name)).limit(0)

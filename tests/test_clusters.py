@@ -67,3 +67,12 @@ def test_few_cells(spark):
         found = clusters.fit(spark.createDataFrame(rows, COLUMNS), k=k)
         assert 2 <= len(found.points) <= min(k, len(rows))
     assert [p[0] for p in found.points] == pytest.approx([1.0, 2.0, 4.0, 8.0])
+
+
+def test_distances_are_not_worked_out_again_by_filters(spark):
+    rows = [(float(i), 1.0, 5.0, 2.5) for i in range(1, 50)]
+    centres = clusters.Centres(((1.0, 1.0, 5.0, 2.5), (40.0, 1.0, 5.0, 2.5)), (1.0, 1.0, 1.0, 1.0))
+    flagged = clusters.outliers(clusters.assign(spark.createDataFrame(rows, COLUMNS), centres))
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "SQRT" in line]
+    assert flagged.count() == 49
