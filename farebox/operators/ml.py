@@ -17,6 +17,7 @@ from farebox.functions import rounded
 CLUSTER_FEATURES = ("total_amount", "passenger_count", "trip_duration_minutes", "trip_distance")
 CORRELATED = ("total_amount", "passenger_count", "trip_duration_minutes", "pickup_hour")
 CLUSTERS, SEED = 3, 42
+ROWS_PER_TASK = 250_000
 
 
 def positive(df: DataFrame, *columns: str) -> DataFrame:
@@ -31,7 +32,8 @@ def kmeans(trips: DataFrame, k: int = CLUSTERS, seed: int = SEED, scale: bool =
 
     Features are scaled to unit deviation unless ``scale`` is off, so that the
     largest unit does not decide alone. The fit keeps only the feature vectors
-    between its passes, in memory or on executor disk.
+    between its passes, in memory or on executor disk, dealt so that a task
+    holds about ``ROWS_PER_TASK`` of them, whatever the size of the table.
     """
     inputs = positive(trips, *CLUSTER_FEATURES)
     column = "features"
@@ -42,7 +44,7 @@ def kmeans(trips: DataFrame, k: int = CLUSTERS, seed: int = SEED, scale: bool =
         stages.append(StandardScaler(inputCol=column, outputCol="scaled", withStd=True))
         column = "scaled"
     stages.append(KMeans(k=k, seed=seed, featuresCol=column, predictionCol="cluster"))
-    model = Pipeline(stages=stages).fit(inputs.select(*CLUSTER_FEATURES))
+    model = Pipeline(stages=stages).fit(_dealt(inputs.select(*CLUSTER_FEATURES)))
     return (
         model.transform(inputs)
         .withColumn("_at", vector_to_array(column))
@@ -53,6 +55,12 @@ def kmeans(trips: DataFrame, k: int = CLUSTERS, seed: int = SEED, scale: bool =
     )
 
 
+def _dealt(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``rows`` over as many partitions as their number asks for; as they are if there are tasks enough for few of them."""
+    parts = -(-rows.count() // per_task)
+    return rows.repartition(parts) if parts > rows.sparkSession.sparkContext.defaultParallelism else rows
+
+
 def _distances(centres) -> Column:
     """Distances of ``_at`` to every centre; the centres are k short literals."""
 

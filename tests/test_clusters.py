@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from farebox.operators import clusters
+from farebox.operators import clusters, ml
 from farebox.plans import catalog
 
 COLUMNS = "total_amount double, passenger_count double, trip_duration_minutes double, trip_distance double"
@@ -76,3 +76,13 @@ def test_distances_are_not_worked_out_again_by_filters(spark):
     plan = flagged._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter" in line and "SQRT" in line]
     assert flagged.count() == 49
+
+
+@pytest.mark.parametrize("per_task, parts", [(50, 40), (1_000_000, 3)])
+def test_vectors_are_dealt_by_their_number(spark, per_task, parts):
+    rows = spark.range(0, 2000, 1, 3).toDF("v")
+    dealt = ml._dealt(rows, per_task)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert dealt.rdd.getNumPartitions() == parts
+    assert sum(r["count"] for r in sizes) == 2000
+    assert dealt.agg(F.sum("v")).first()[0] == 1999 * 1000
