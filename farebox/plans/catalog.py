@@ -209,7 +209,7 @@ def batches(spark: SparkSession, sf_dir: str) -> list[tuple[str, datetime, DataF
 def content_at(spark: SparkSession, sf_dir: str, moment: datetime | None = None) -> DataFrame:
     """The batches up to ``moment`` put one over the other."""
     frames = [df for _, at, df in batches(spark, sf_dir) if moment is None or at <= moment]
-    return plain(reduce(lambda a, b: upsert(a, b, "trip_id"), frames))
+    return plain(upsert(frames[0], frames[1:], "trip_id", late=True))
 
 
 def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

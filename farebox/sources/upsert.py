@@ -10,24 +10,28 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from farebox.session import materialize
 
 
-def refuse_bad_keys(df: DataFrame, key: str, what: str) -> None:
-    """Raise for a NULL or doubled key: which row should win would not be defined."""
-    bad = df.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
-    if not bad.isEmpty():
-        raise ValueError(f"{what} has a NULL {key} or more than one row for some {key}")
+def refuse_bad_keys(key: str, sides: dict[str, DataFrame]) -> None:
+    """Raise for a NULL or doubled key of a side: which row should win would not be defined. One shuffle for all sides."""
+    keys = reduce(DataFrame.unionAll, [df.select(F.col(key).alias("key"), F.lit(name).alias("side")) for name, df in sides.items()])
+    bad = keys.groupBy("key", "side").agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col("key").isNull())
+    first = bad.select("side").first()
+    if first is not None:
+        raise ValueError(f"{first['side']} has a NULL {key} or more than one row for some {key}")
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str, check: bool = True) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame | list[DataFrame], key: str, check: bool = True, late: bool = False) -> DataFrame:
     """``target`` with the rows of ``batch`` instead of those that have their keys.
 
-    A column only one side has is NULL in the other's rows. NULL and doubled
-    keys on either side are refused; ``check=False`` leaves that to the caller.
+    Several batches are laid over it in turn, all in one shuffle by key. A
+    column only one side has is NULL in the other's rows. NULL and doubled
+    keys on any side are refused: at once, or with ``late`` by the job that
+    computes the result, without a pass for it. ``check=False`` leaves that to the caller.
     """
-    if check:
-        refuse_bad_keys(batch, key, "batch")
-        refuse_bad_keys(target, key, "target")
-    kept = target.join(batch.select(key), key, "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    layers = [batch] if isinstance(batch, DataFrame) else list(batch)
+    if check and not late:
+        names = ["batch"] if len(layers) == 1 else [f"batch {i + 1}" for i in range(len(layers))]
+        refuse_bad_keys(key, {**dict(zip(names, layers)), "target": target})
+    return merged(target, layers, [key], refuse=check)
 
 
 def in_partitions(df: DataFrame, by: tuple[str, ...], values: list[tuple]) -> DataFrame:
@@ -38,20 +42,28 @@ def in_partitions(df: DataFrame, by: tuple[str, ...], values: list[tuple]) -> Da
     return df.filter(reduce(lambda a, b: a | b, map(one, values), F.lit(False)))
 
 
-def merged(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """Both sides by name, the batch's row where both have a key.
+def merged(target: DataFrame, batch: DataFrame | list[DataFrame], key: list[str], refuse: bool = True) -> DataFrame:
+    """All sides by name, of rows with the same key those of the last batch that has it.
 
     One shuffle by key. A NULL key, or one that a side has twice, ends the job
-    that computes the result: no pass of its own looks for them.
+    that computes the result: no pass of its own looks for them. Without
+    ``refuse`` they are kept, and a NULL key equals no other.
     """
-    both = target.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    layers = [target, *([batch] if isinstance(batch, DataFrame) else batch)]
+    marked = [df.withColumn("_layer", F.lit(i)) for i, df in enumerate(layers)]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     own = Window.partitionBy(*key)
-    counted = both.withColumns({"_batch": F.sum("_new").over(own), "_all": F.count("*").over(own)})
     null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
-    doubled = (F.col("_batch") > 1) | (F.col("_all") - F.col("_batch") > 1)
-    refused = F.raise_error(F.lit(f"a NULL {', '.join(key)}, or one that a side has more than once"))
-    kept = F.when(null | doubled, refused.cast("boolean")).otherwise(F.col("_new") == F.least(F.col("_batch"), F.lit(1)))
-    return counted.filter(kept).drop("_new", "_batch", "_all")
+    counted = both.withColumn("_last", F.max("_layer").over(own))
+    kept = F.col("_layer") == F.col("_last")
+    if refuse:
+        # more rows than sides that have the key
+        counted = counted.withColumns({"_sides": F.bit_or(F.expr("shiftleft(1L, _layer)")).over(own), "_all": F.count("*").over(own)})
+        refused = F.raise_error(F.lit(f"a NULL {', '.join(key)}, or one that a side has more than once"))
+        kept = F.when(null | (F.col("_all") > F.bit_count("_sides")), refused.cast("boolean")).otherwise(kept)
+    else:
+        kept = null | kept
+    return counted.filter(kept).drop("_layer", "_last", "_sides", "_all")
 
 
 def upsert_partitions(

@@ -43,6 +43,28 @@ def test_upsert_refuses_doubled_and_null_keys(spark, bad):
         upsert(rows_of(spark, *bad), good, "id")
 
 
+def test_upsert_of_several_batches_in_one_shuffle(spark):
+    target = rows_of(spark, ("a", 1), ("b", 2), ("c", 3)).repartition(3)
+    layers = [rows_of(spark, ("b", 20), ("d", 4)).repartition(3), rows_of(spark, ("b", 200), ("e", 5)).repartition(3)]
+    done = upsert(target, layers, "id", late=True)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("hashpartitioning(id") == 1
+    assert sorted(map(tuple, done.collect())) == [("a", 1), ("b", 200), ("c", 3), ("d", 4), ("e", 5)]
+    assert content(done) == content(upsert(upsert(target, layers[0], "id"), layers[1], "id"))
+    with pytest.raises(ValueError, match="batch 2 has"):
+        upsert(target, [layers[0], rows_of(spark, ("z", 1), ("z", 2))], "id")
+
+
+@pytest.mark.parametrize("bad", [[("b", 1), ("b", 2)], [(None, 1)]])
+def test_upsert_refuses_late_or_leaves_it_to_the_caller(spark, bad):
+    good = rows_of(spark, ("b", 1))
+    for target, batch in ((good, rows_of(spark, *bad)), (rows_of(spark, *bad), good)):
+        with pytest.raises(Exception, match="a NULL id, or one"):
+            upsert(target, batch, "id", late=True).collect()
+    kept = upsert(good, rows_of(spark, *bad), "id", check=False).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, rows_of(spark, *bad, *([] if bad[0][0] else [("b", 1)])).collect()))
+
+
 def test_z_order_lets_a_box_skip_files(spark):
     rng = spark.range(40000).select(
         F.col("id").cast("string").alias("u"),
