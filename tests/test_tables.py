@@ -265,3 +265,16 @@ def test_clusters(spark, small):
     share = {r["is_outlier"]: r["count"] for r in flagged}
     assert 0 < share[True] < 0.02 * sum(share.values())
     assert clustered.filter("centre_distance < 0 or centre_distance is null").isEmpty()
+
+
+def test_clean_rows_are_written_from_the_raw_folders_without_a_shuffle(spark, small, monkeypatch):
+    raw = catalog.bronze(spark, small)
+    hinted, real = [], type(raw).hint
+    monkeypatch.setattr(type(raw), "hint", lambda self, name, *by: hinted.append((name, *by)) or real(self, name, *by))
+    lake = Lake(spark, work_dir(spark, "lake"))
+    counted = lake.load(raw)
+    # the raw layer and the cube are dealt by month, what is read from months is not
+    assert hinted == [("rebalance", "source_year", "source_month")] * 2
+    assert counted["clean"] + counted["quarantined"] == counted["rows"] == raw.count()
+    months = lake.read(S.SILVER_TRIPS).groupBy("source_year", "source_month").agg(F.countDistinct(F.col("_metadata.file_path")).alias("n"))
+    assert months.agg(F.max("n")).first()[0] <= 2
