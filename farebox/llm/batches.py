@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 256 << 10
 # fixed values: the six ASCII white-space bytes
 WHITE = b" \t\n\x0b\x0c\r"
 

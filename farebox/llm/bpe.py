@@ -38,8 +38,9 @@ ENCODED_BYTES = 2 << 20  # text encoded at once
 @lru_cache(maxsize=1)
 def _newer_characters() -> str:
     """Letters and digits known to the pattern library but not to the Unicode version of the vocabulary."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+    blocks = (lo for lo in range(0, 0x110000, 0x800) if lo != 0xD800)  # not the surrogates
+    found = (regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, range(lo, lo + 0x800)))) for lo in blocks)
+    return "".join(c for block in found for c in block if unicodedata.category(c) == "Cn")
 
 
 def _uneven(text: str) -> bool:

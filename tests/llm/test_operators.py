@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import gzip
 import random
+import tracemalloc
+import unicodedata
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
-from farebox.llm import bpe, catalog, contamination, jaccard, licenses, lines, quality, sql, substrings, suffixes, urls, warc
+from farebox.llm import bpe, catalog, contamination, frames, jaccard, licenses, lines, quality, sql, substrings, suffixes, urls, warc
 
 ROWS = brute.EDGES
 
@@ -237,6 +240,59 @@ def test_pairs_of_two_blocks_count_once():
     assert links.tolist() == [0, 0, 0, 0]  # counted under the smaller key
 
 
+def test_rows_meet_their_buckets_once_per_level(spark, monkeypatch):
+    """Large buckets are split from the rows that have met them: no second join with all rows."""
+    written = []
+
+    def noted(df, label, *rest):
+        written.append((label, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return frames.stored(df, label, *rest)
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    rows = [(i, " ".join(f"t{j}" for j in range(40)) + f" e{i}") for i in range(12)]
+    docs = brute.edge_table(spark, rows)
+    assert pairs(jaccard.classes_of(docs, limit=3, last_level=4), "doc_id", "class_id", "n_links") == ordered(brute.near_duplicates(rows))
+    assert {n for label, n in written if label == "split-nodes"} == {1}
+    assert {n for label, n in written if label == "members"} == {1}
+
+
+# ------------------------------------------------------ memory of Python workers
+def test_statistics_hold_a_bounded_multiple_of_a_chunk():
+    texts = pa.array([f"word{i} " * 300 for i in range(1500)])  # 4 MB
+    tracemalloc.start()
+    try:
+        quality._batch(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < texts.nbytes + (50 << 20)
+
+
+def test_functions_of_columns_get_large_batches_in_slices(spark):
+    batch = pa.record_batch({"k": pa.array(range(1000)), "t": pa.array(["x" * 1000] * 1000)})
+    parts = list(frames.slices(batch, 1, 100_000))
+    assert max(p.num_rows for p in parts) < 110 and pa.Table.from_batches(parts).combine_chunks().to_batches()[0].equals(batch)
+    assert [p.num_rows for p in frames.slices(batch, 1, 10)] == [1] * 1000
+    assert list(frames.slices(batch.slice(0, 0), 1)) == []
+    df = spark.range(3000).select("id", F.repeat(F.lit("ab"), 5000).alias("t")).coalesce(1)
+    sizes = frames.with_columns(df, "t", {"n": "bigint"}, lambda: lambda c: [pa.array([len(c)] * len(c), pa.int64())])
+    most, rows = sizes.agg(F.max("n"), F.count("*")).first()
+    assert most * 10_000 <= frames.SLICE_BYTES and rows == 3000
+
+
+def test_letters_newer_than_the_vocabulary_are_found_block_by_block():
+    bpe._newer_characters.cache_clear()
+    tracemalloc.start()
+    try:
+        found = bpe._newer_characters()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    every = (chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    assert found == "".join(c for c in every if unicodedata.category(c) == "Cn" and bpe.regex.match(r"[\p{L}\p{N}]", c))
+    assert peak < 2 << 20
+
+
 # ------------------------------------------------------------- substring dedup
 @pytest.mark.parametrize("hot", [suffixes.HOT, 1])
 def test_byte_substrings(edges, hot):
