@@ -188,15 +188,16 @@ def buckets(classes: DataFrame, similarity: float, limit: int = LIMIT, last_leve
         out = pairs if out is None else out.unionByName(pairs)
         final = F.lit(True) if level == last_level else F.col("n") <= limit
         more = sizes.filter("n > 2").select("key", "n", final.alias("final"))
-        members = stored(rows.join(more.filter("final").drop("final"), "key").select("id", "key", "n"), "members")
+        # one meeting with all rows, for the buckets that are ready and for those to split
+        met = stored(rows.join(more, "key").select("id", "key", "n", "final"), "members")
+        members = met.filter("final").drop("final")
         ready = members.groupBy("key", "n").agg(
             F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
         ).groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
         out = out.unionByName(stored(members.join(ready, "key", "left_semi").select("id", "key", "n"), "buckets"))
-        large = more.filter("NOT final").select("key")
-        if level == last_level or large.isEmpty():
+        split = met.filter("NOT final").select("id", "key")
+        if level == last_level or split.isEmpty():
             return out
-        split = rows.join(large, "key").select("id", "key")
         rows = stored(_deeper(split.join(classes.select("id", "tokens"), "id"), similarity).drop("tokens").distinct(), "split-nodes")
         level += 1
 
