@@ -20,6 +20,8 @@ TIP_WEIGHT = {"yellow": 4, "green": 3}
 
 # A table of such a size is often one row group, which one task would read and derive alone; larger ones have many.
 SPREAD_BYTES = (4 << 20, 256 << 20)
+# More partitions than a table is read in: coalescing to so many changes none of them.
+AS_READ = 1 << 20
 
 
 def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,9 @@ def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if SPREAD_BYTES[0] <= size < SPREAD_BYTES[1]:
         return lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
-    return lines
+    # Ends the scan's generated function before the trips are derived. In one function with them
+    # it would pass the 8000 bytes up to which the JVM compiles, and every row be interpreted.
+    return lines.coalesce(AS_READ)
 
 
 def is_yellow() -> Column:

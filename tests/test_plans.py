@@ -7,7 +7,9 @@ from pathlib import Path
 
 import pytest
 
+from farebox.operators import silver
 from farebox.plans import catalog
+from farebox.sources import lineitem
 
 LIBRARY = Path(__file__).resolve().parent.parent / "farebox"
 MARTS = ("gold_monthly", "gold_hourly_may", "gold_comparison", "q1_extended", "q2_ranked_hours",
@@ -135,3 +137,19 @@ def test_ordered_reports_come_in_order(spark, small, name, keys):
     rows = catalog.queries()[name](spark, small).collect()
     seen = [tuple(r[k] for k in keys) for r in rows]
     assert len(rows) > 1 and seen == sorted(seen)
+
+
+def test_trips_of_large_tables_are_derived_in_functions_the_jvm_compiles(spark, small, monkeypatch):
+    """A table too large for the extra shuffle is read and derived in one stage; methods over 8000 bytes are interpreted."""
+    monkeypatch.setattr(lineitem, "SPREAD_BYTES", (1 << 60, 1 << 60))
+    raw = catalog.bronze(spark, small)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (catalog.plain(silver.silver(raw)), silver.quarantine(raw)):
+            code = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+            sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+            assert sizes and all(0 < n <= 8000 for n in sizes), sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
