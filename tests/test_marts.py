@@ -78,6 +78,28 @@ def test_drifting_repeated_and_late_files(spark, tmp_path):
     assert before == {p: os.path.getmtime(p) for p in parquet_files(f"{root}/mart")}
 
 
+def test_a_file_that_comes_again_adds_only_rows_it_did_not_have(spark, tmp_path):
+    """Within a batch and in a later one; the stream of hours keeps state by hour and none by row."""
+    landing, root = f"{tmp_path}/landing", f"{tmp_path}/root"
+    may, june = month(2023, 5), month(2023, 6)
+
+    def put(folder, rows, number):
+        land(trips(spark, "tpep", rows), path := f"{landing}/{folder}/yellow_tripdata_2023-{number:02d}")
+        os.rename(parquet_files(path)[0], f"{path}/part-0.parquet")
+
+    put("a", may, 5)
+    put("b", may, 5)
+    put("a", june[:25], 6)
+    assert hour_rows(marts.follow(spark, landing, root)) == expected(("yellow", may), ("yellow", june[:25]))
+    put("c", june, 6)
+    put("c", may, 5)
+    batches = marts.take_up(spark, landing, f"{root}/rows", f"{root}/state")
+    marts.sum_up(spark, f"{root}/rows", f"{root}/mart", f"{root}/state")
+    assert marts.mend(spark, f"{root}/rows", f"{root}/mart", batches) == 0
+    assert hour_rows(marts.follow(spark, landing, root)) == expected(("yellow", may), ("yellow", june))
+    assert [d for d in os.listdir(f"{root}/state/hours/state") if d.isdigit()] == ["0"]
+
+
 def test_rows_later_than_the_watermark_are_mended(spark, tmp_path):
     """Files one by one, so that the last is months behind the watermark of the rest."""
     landing, root = f"{tmp_path}/landing", f"{tmp_path}/root"
